@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.checks import query, table, workspace
@@ -69,7 +68,7 @@ def load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_acctbal", "s_nationkey", "s_name", "s_suppkey"
     )
     bound = bind_by_name(shuffled, spark.table(target).schema)
-    load_batch(bound.select(*reversed(bound.columns)), target, by_name=True)
+    load_batch(bound.select(*reversed(bound.columns)), target)
     return spark.table(target)
 
 
@@ -155,4 +154,4 @@ def cast_error_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", text)
     target = DDL("order_key BIGINT, part_key INT")
     bound = bind(records, ["l_orderkey", "part"], target, errors=True)
-    return bound.withColumnsRenamed({ERROR: "error", RAW: "raw"}).withColumn("error", F.col("error"))
+    return bound.withColumnsRenamed({ERROR: "error", RAW: "raw"})

@@ -71,7 +71,7 @@ def delimited_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_name", "c_custkey", "c_acctbal", F.concat("c_mktsegment", F.lit("é")).alias("segment")
     )
     path = scratch_path(spark, "customers")
-    write_delimited(customers, path, ";", charset="ISO-8859-1", files=2)
+    write_delimited(customers, path, ";", charset="ISO-8859-1", target_bytes=100_000)
     text = read_delimited(spark, path, ";", "ISO-8859-1")
     target = T.StructType.fromDDL(
         "c_name STRING, c_custkey BIGINT, c_acctbal DECIMAL(12,2), segment STRING"

@@ -34,8 +34,8 @@ def bind(
     """Bind the i-th field to the i-th target column, cast to its type.
 
     A field may feed several columns; fields that are not named are never read. A field that the
-    records lack leaves its column null (`null`), out of the result so that the table's default
-    applies (`default`), or raises (`error`). `keep` passes columns through as they are. `errors`
+    records lack leaves its column null (`null`), sets it to the default of the table (`default`), or
+    raises (`error`). `keep` passes columns through as they are. `errors`
     adds `_error`, which names the fields whose value could not be cast, and `_raw`, which holds the
     record as read; without it a failed cast is a null.
     """
@@ -50,8 +50,8 @@ def bind(
             if on_absent == "error":
                 raise SchemaMissing(f"no field {name!r} for column {column.name!r}")
             logger.warning("field %r is absent, column %r is left unset", name, column.name)
-            if on_absent == "null":
-                columns.append(F.lit(None).cast(column.dataType).alias(column.name))
+            value = _default(column) if on_absent == "default" else F.lit(None)
+            columns.append(value.cast(column.dataType).alias(column.name))
             continue
         value = cast_expr(source, column.dataType)
         columns.append(value.alias(column.name))
@@ -59,25 +59,28 @@ def bind(
             bad = F.col(f"`{name}`").isNotNull() & value.isNull()
             failures.append(F.when(bad, F.lit(name)))
     if errors:
-        reason = _reason(df, failures)
-        columns += [reason.alias(ERROR), _raw(df, fields, reason).alias(RAW)]
+        read = [F.col(f"`{name}`") for name in dict.fromkeys(fields) if name in known]
+        columns += _error_columns(df, failures, read)
     return df.select(*columns, *keep)
 
 
-def _reason(df: DataFrame, failures: list[Column]) -> Column:
-    named = F.nullif(F.concat_ws(",", *failures), F.lit("")) if failures else F.lit(None)
-    named = named.cast("string")
-    if MALFORMED in df.columns:
-        return F.when(F.col(MALFORMED).isNotNull(), F.lit("malformed")).otherwise(named)
-    return named
+def _default(column: T.StructField) -> Column:
+    """The default of a table column, else null."""
+    text = (column.metadata or {}).get("CURRENT_DEFAULT")
+    return F.expr(text) if text else F.lit(None)
 
 
-def _raw(df: DataFrame, fields: Sequence[str], reason: Column) -> Column:
-    read = [F.col(f"`{name}`") for name in dict.fromkeys(fields) if name in df.columns]
-    text = F.to_json(F.struct(*read)) if read else F.lit(None).cast("string")
+def _error_columns(df: DataFrame, failures: list[Column], read: list[Column]) -> list[Column]:
+    """Why a row is bad, and its bound values as read; only bound fields are named, so the scan
+    still reads no other columns."""
+    nothing = F.lit(None).cast("string")
+    reason = F.nullif(F.concat_ws(",", *failures), F.lit("")) if failures else nothing
+    text = F.to_json(F.struct(*read)) if read else nothing
     if MALFORMED in df.columns:
-        text = F.coalesce(F.col(MALFORMED), text)
-    return F.when(reason.isNotNull(), text)
+        malformed = F.col(MALFORMED)
+        reason = F.when(malformed.isNotNull(), F.lit("malformed")).otherwise(reason)
+        text = F.coalesce(malformed, text)
+    return [reason.alias(ERROR), F.when(reason.isNotNull(), text).alias(RAW)]
 
 
 def strict(bound: DataFrame) -> DataFrame:
@@ -104,14 +107,27 @@ def bind_expr(
     expressions: Mapping[str, str],
     target: T.StructType,
     keep: Sequence[str] = (),
+    errors: bool = False,
 ) -> DataFrame:
-    """Bind target columns to SQL expressions over the fields; each is cast to its column's type."""
+    """Bind target columns to SQL expressions over the fields; each is cast to its column's type.
+
+    Columns without an expression take the default of the table. `errors` is as in `bind`; it names
+    target columns.
+    """
     unknown = set(expressions) - set(target.fieldNames())
     if unknown:
         raise SchemaMissing(f"no target columns {sorted(unknown)}")
-    bound = [
-        F.expr(expressions[c.name]).try_cast(c.dataType).alias(c.name)
-        for c in target.fields
-        if c.name in expressions
-    ]
-    return df.select(*bound, *keep)
+    columns: list[Column] = []
+    failures: list[Column] = []
+    for column in target.fields:
+        if column.name not in expressions:
+            columns.append(_default(column).cast(column.dataType).alias(column.name))
+            continue
+        computed = F.expr(expressions[column.name])
+        value = computed.try_cast(column.dataType)
+        columns.append(value.alias(column.name))
+        failures.append(F.when(computed.isNotNull() & value.isNull(), F.lit(column.name)))
+    if errors:
+        computed = [F.expr(text).alias(name) for name, text in expressions.items()]
+        columns += _error_columns(df, failures, computed)
+    return df.select(*columns, *keep)

@@ -8,8 +8,7 @@ readers see the old rows until that one catalog change and the new rows after it
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.operators.loading import LOAD_COLUMNS, LoadResult, load_batch
-from loadkit.session import materialise, partition_columns, table_location
+from loadkit.session import materialise, partition_columns, setting, table_location
 
 # Up to this many touched partitions are named in the scan; beyond it a join finds them.
 MAX_LISTED_PARTITIONS = 1_000
@@ -34,7 +33,7 @@ class MergeResult:
 
 def publish_append(spark: SparkSession, staging: str, core: str) -> LoadResult:
     """Append staged rows to the core table by column name."""
-    return load_batch(spark.table(staging), core, by_name=True)
+    return load_batch(spark.table(staging), core)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -163,23 +162,13 @@ def rewrite_partitions(
     if can_empty:
         emptied = touched.join(rows.select(*partitions).distinct(), partitions, "left_anti").collect()
     ordered = rows.select(*spark.table(table).columns).hint("rebalance", *partitions)
-    with _setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.write.insertInto(table, overwrite=True)
     for row in emptied:
         drop_partition(spark, table, {p: row[p] for p in partitions})
     spark.catalog.refreshTable(table)
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def drop_partition(spark: SparkSession, table: str, values: Mapping[str, object]) -> None:
     """Drop a partition with its files; no row is read."""
     quoted = {

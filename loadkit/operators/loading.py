@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.operators.binding import ERROR, bind_by_name
 from loadkit.operators.units import load_context, unit_counts
-from loadkit.session import table_location
+from loadkit.session import discard, scratch_path, table_location
 from loadkit.sources.delimited import read_delimited
-from loadkit.sources.records import UNIT
+from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
 LOAD_COLUMNS = (TABLE_ID, COMMIT_EPOCH)
 STAGING_NAME = f"stg_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
@@ -72,11 +72,11 @@ def create_staging(spark: SparkSession, target: str, name: str, ctx: RunContext)
     return staging
 
 
-def load_batch(df: DataFrame, table: str, by_name: bool = False) -> LoadResult:
+def load_batch(df: DataFrame, table: str) -> LoadResult:
     """Append a bound frame to a table in one job and count the rows on the way.
 
-    The append is committed as a whole or not at all. Columns that the frame lacks take the default
-    of the table. The rows are counted in the writing stage, whose tasks each report once however
+    Columns go to those of the same name, in any order; the table's defaults fill the ones that the
+    frame lacks. The append is committed as a whole or not at all. The rows are counted in the writing stage, whose tasks each report once however
     often they are retried.
     """
     spark = df.sparkSession
@@ -84,8 +84,7 @@ def load_batch(df: DataFrame, table: str, by_name: bool = False) -> LoadResult:
     written = Observation("load")
     observed = df.observe(written, F.count(F.lit(1)).alias("rows"))
     names = ", ".join(f"`{c}`" for c in df.columns)
-    into = "BY NAME" if by_name else f"({names})"
-    spark.sql(f"INSERT INTO {table} {into} SELECT {names} FROM {{rows}}", rows=observed)
+    spark.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {{rows}}", rows=observed)
     return LoadResult(written.get["rows"], start, now_millis())
 
 
@@ -102,14 +101,16 @@ def load_delimited(
     """
     text = read_delimited(spark, paths, sep, charset)
     target = spark.table(table).schema
-    unknown = [c for c in text.columns if not c.startswith("_") and c not in target.fieldNames()]
+    added = (UNIT, UNIT_SIZE, MALFORMED)
+    unknown = [c for c in text.columns if c not in added and c not in target.fieldNames()]
     if unknown:
-        raise ValueError(f"{table} has no columns {unknown}")
-    location = f"{table_location(spark, table)}-landing-{now_millis()}"
-    landed = land(bind_by_name(text, target, keep=(UNIT,), errors=True), location)
+        raise SchemaMissing(f"{table} has no columns {unknown}")
+    bound = bind_by_name(text, target, on_absent="default", keep=(UNIT,), errors=True)
+    landed = land(bound, scratch_path(spark, "landing"))
     if landed.bad:
         raise BadRecords(landed)
     result = load_batch(landed_rows(spark, landed, target), table)
+    discard(spark, landed.location)
     return LoadResult(result.rows, landed.start, result.stop)
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.context import RunContext, new_context
+from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, new_context, with_context
 from loadkit.operators.binding import ERROR, RAW, bind, bind_by_name, bind_expr, strict
 from loadkit.operators.loading import (
     LOAD_COLUMNS,
@@ -24,14 +24,16 @@ from loadkit.operators.loading import (
 )
 from loadkit.operators.routing import UNIT_POLICY, split_bad
 from loadkit.operators.units import BIN, bin_units
-from loadkit.plans.report import build_reports, report_row
+from loadkit.plans.report import build_reports, report_row, write_reports
 from loadkit.plans.scripts import Statement, Step, now_millis, run_script
-from loadkit.session import partition_columns, scratch_path
+from loadkit.session import discard, partition_columns, scratch_path
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 logger = logging.getLogger(__name__)
 
 RAISE_POLICY = "raise"
+LANDED_VIEW = f"landed_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
+MAX_FILES_PER_UNIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -43,6 +45,10 @@ class Unit:
     read: Callable[[SparkSession], DataFrame]
 
 
+# Loads a bound unit; calls the given function with the good rows before it publishes them.
+Loader = Callable[[DataFrame, "LoadSpec", RunContext, Callable[[DataFrame], None]], LoadResult]
+
+
 @dataclass(frozen=True)
 class LoadSpec:
     """What to do with every unit of a run.
@@ -51,26 +57,33 @@ class LoadSpec:
     as a partition; any other table is appended to. Columns are bound by position (`fields`), by SQL
     expression (`expressions`) or else by name.
 
+    `before_publish` runs once the rows are written and before anyone can see them; it finds them in
+    the view `landed_%TABLE_ID%_%COMMIT_EPOCH%`, and an error there publishes nothing.
+
     `failure` says what a bad record does: `unit` keeps the rows of its file out of the target, `row`
     only the record itself, and `raise` fails the load. Rows kept out go to the `failures` folder.
+
+    `loader` replaces the load itself, for targets on another channel such as a database.
     """
 
     target: str
     fields: Sequence[str] | None = None
     expressions: Mapping[str, str] | None = None
     before_loading: Sequence[Statement] = ()
+    before_publish: Sequence[Statement] = ()
     after_loaded: Sequence[Statement] = ()
     failure: str = UNIT_POLICY
     failures: str | None = None
-    loader: Callable[[DataFrame, LoadSpec, RunContext], LoadResult] | None = None
+    loader: Loader | None = None
 
 
 class Run:
     """The state of a run. `ctx` belongs to the load that runs next; `reports` to those done."""
 
-    def __init__(self, spark: SparkSession, ctx: RunContext):
+    def __init__(self, spark: SparkSession, ctx: RunContext, reports_path: str | None = None):
         self.spark = spark
         self.ctx = ctx
+        self.reports_path = reports_path
         self.rows: list[tuple] = []
         self.loaded: list[tuple] = []
 
@@ -79,17 +92,32 @@ class Run:
         start = now_millis()
         step = run_script(self.spark, name, statements, self.ctx)
         if step:
-            self.rows.append(report_row(self.ctx, 0, [step], None, start, now_millis()))
+            self._report(report_row(self.ctx, 0, [step], None, start, now_millis()))
+
+    def _report(self, row: tuple) -> None:
+        self.rows.append(row)
+        if self.reports_path:
+            write_reports(build_reports(self.spark, [row]), self.reports_path)
 
     def load(self, unit: Unit, spec: LoadSpec) -> LoadResult:
         """Load one unit: script, load, publish, script, report. An error publishes nothing."""
         ctx, start = self.ctx, now_millis()
         steps: list[Step | None] = []
-        steps.append(run_script(self.spark, "beforeLoading", spec.before_loading, ctx))
+
+        def script(name: str, statements: Sequence[Statement]) -> None:
+            steps.append(run_script(self.spark, name, statements, ctx))
+
+        def before_publish(rows: DataFrame) -> None:
+            if spec.before_publish:
+                rows.createOrReplaceTempView(ctx.evaluate(LANDED_VIEW))
+                script("beforePublish", spec.before_publish)
+                self.spark.catalog.dropTempView(ctx.evaluate(LANDED_VIEW))
+
+        script("beforeLoading", spec.before_loading)
         loader = spec.loader or load_unit
-        result = loader(unit.read(self.spark), spec, ctx)
-        steps.append(run_script(self.spark, "afterLoaded", spec.after_loaded, ctx))
-        self.rows.append(report_row(ctx, unit.size, steps, result, start, now_millis()))
+        result = loader(unit.read(self.spark), spec, ctx, before_publish)
+        script("afterLoaded", spec.after_loaded)
+        self._report(report_row(ctx, unit.size, steps, result, start, now_millis()))
         self.loaded.append((unit.name, unit.size, result.rows, *ctx.as_map().values()))
         self.ctx = ctx.next_epoch()
         return result
@@ -121,9 +149,13 @@ def open_run(
     after_connected: Sequence[Statement] | None = None,
     before_disconnecting: Sequence[Statement] | None = None,
     ctx: RunContext | None = None,
+    reports_path: str | None = None,
 ) -> Iterator[Run]:
-    """Open a run; the closing script also runs after a failure."""
-    run = Run(run_session(spark), ctx or new_context())
+    """Open a run; the closing script also runs after a failure.
+
+    `reports_path` is a folder to which each report is appended as soon as it is there.
+    """
+    run = Run(run_session(spark), ctx or new_context(), reports_path)
     logger.info("run %s opened", run.ctx.table_id)
     run.script("afterConnected", after_connected)
     try:
@@ -138,45 +170,55 @@ def bind_unit(df: DataFrame, spec: LoadSpec, target: str) -> DataFrame:
     if UNIT not in df.columns:
         df = df.withColumn(UNIT, F.lit(None).cast("string"))
     if spec.expressions is not None:
-        bound = bind_expr(df, spec.expressions, schema, keep=(UNIT,))
-        return bound.withColumns({ERROR: F.lit(None).cast("string"), RAW: F.lit(None).cast("string")})
+        return bind_expr(df, spec.expressions, schema, keep=(UNIT,), errors=True)
     if spec.fields is not None:
         return bind(df, spec.fields, schema, on_absent="default", keep=(UNIT,), errors=True)
     return bind_by_name(df, schema, on_absent="default", keep=(UNIT,), errors=True)
 
 
-def load_unit(df: DataFrame, spec: LoadSpec, ctx: RunContext) -> LoadResult:
-    """Bind a unit, keep bad records out, and make the rest visible in one step."""
+def load_unit(
+    df: DataFrame,
+    spec: LoadSpec,
+    ctx: RunContext,
+    before_publish: Callable[[DataFrame], None] = lambda rows: None,
+) -> LoadResult:
+    """Bind a unit, keep bad records out, and make the rest visible in one step.
+
+    The source is read once. A target partitioned by load gets the written files as they are, unless
+    bad records have to be taken out; other targets get a copy in one committed append.
+    """
     spark = df.sparkSession
     target = ctx.evaluate(spec.target)
     bound = bind_unit(df, spec, target)
     attach = set(LOAD_COLUMNS) <= set(partition_columns(spark, target))
     if spec.failure == RAISE_POLICY:
-        good = strict(bound).drop(UNIT)
-        return _attach(good, target, ctx) if attach else load_batch(good, target)
+        bound = strict(bound)
+        if not attach and not spec.before_publish:
+            return load_batch(bound.drop(UNIT), target)
 
     location = load_location(spark, target, ctx) if attach else scratch_path(spark, "landing")
     landed = land(bound, location)
-    if attach and not landed.bad:
-        publish_attach(spark, target, location, ctx)
-        return landed
     rows = landed_rows(spark, landed, bound.schema)
+    if landed.bad:
+        rows, failed = split_bad(rows, spec.failure)
+        logger.warning("%d bad records kept out of %s, see %s", landed.bad, target, location)
+        if spec.failures:
+            failed = with_context(failed, ctx)
+            failed.write.mode("append").parquet(ctx.evaluate(spec.failures))
+    rows = rows.drop(UNIT, ERROR, RAW)
+    if attach and landed.bad:
+        # A second folder beside the first: what was landed stays for inspection.
+        kept = land(rows, load_location(spark, target, ctx, "--good"))
+        landed = replace(kept, bad=landed.bad, start=landed.start)
+        rows = landed_rows(spark, landed, rows.schema)
+    before_publish(rows)
+    if attach:
+        publish_attach(spark, target, landed.location, ctx)
+        return replace(landed, stop=now_millis())
+    result = load_batch(rows, target)
     if not landed.bad:
-        return load_batch(rows.drop(UNIT, ERROR, RAW), target)
-
-    good, failed = split_bad(rows, spec.failure)
-    if spec.failures:
-        failed.write.mode("append").parquet(ctx.evaluate(spec.failures))
-    logger.warning("%d bad records kept out of %s, landed in %s", landed.bad, target, location)
-    good = good.drop(UNIT, ERROR, RAW)
-    return _attach(good, target, ctx, "--good") if attach else load_batch(good, target)
-
-
-def _attach(df: DataFrame, target: str, ctx: RunContext, part: str = "") -> LoadResult:
-    spark = df.sparkSession
-    landed = land(df, load_location(spark, target, ctx, part))
-    publish_attach(spark, target, landed.location, ctx)
-    return landed
+        discard(spark, location)
+    return replace(result, start=landed.start, bad=landed.bad)
 
 
 def file_units(
@@ -189,7 +231,10 @@ def file_units(
     Only paths and sizes reach the driver, one unit at a time.
     """
     if target_bytes:
-        binned = bin_units(listing.select(UNIT, UNIT_SIZE), target_bytes)
+        # Very small files count as more than they are, which bounds the paths of a bin.
+        weight = F.greatest(F.col(UNIT_SIZE), F.lit(target_bytes // MAX_FILES_PER_UNIT))
+        weighted = listing.select(UNIT, UNIT_SIZE, weight.alias("_weight"))
+        binned = bin_units(weighted, target_bytes, size="_weight")
         grouped = binned.groupBy(BIN).agg(
             F.sort_array(F.collect_list(UNIT)).alias("paths"), F.sum(UNIT_SIZE).alias(UNIT_SIZE)
         )

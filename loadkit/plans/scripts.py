@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.context import RunContext
+from loadkit.context import RunContext, assert_unused
 from loadkit.operators.elt import MergeResult, publish_append, publish_merge, purge
 from loadkit.operators.loading import LoadResult, now_millis
 from loadkit.session import scratch_path
@@ -115,6 +115,4 @@ def purge_load(table: str) -> Statement:
 
 def fail_if_used(ledger: str) -> Statement:
     """A statement that stops the run when its table id is already in use."""
-    from loadkit.context import assert_unused
-
     return lambda spark, ctx: assert_unused(spark, ledger, ctx)

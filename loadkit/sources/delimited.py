@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.functions.text import blank_delimiters
+from loadkit.session import setting
 from loadkit.sources.records import read_records
 
 # An empty quote option switches quoting off, so quote characters are data.
@@ -54,12 +55,12 @@ def write_delimited(
     sep: str = "|",
     replacement: str = " ",
     charset: str = "UTF-8",
-    files: int | None = None,
+    target_bytes: int | None = None,
 ) -> None:
     """Write records as delimited text; reserved characters in strings are replaced.
 
-    `files` merges small packages into that many large units. The write is otherwise free of
-    shuffles. Null and the empty string are the same in this format.
+    `target_bytes` gathers small packages into units of about that size and splits larger ones; it
+    costs a shuffle. Null and the empty string are the same in this format.
     """
     texts = {
         f.name: blank_delimiters(F.col(f"`{f.name}`"), sep, replacement)
@@ -67,14 +68,18 @@ def write_delimited(
         if isinstance(f.dataType, T.StringType)
     }
     cleaned = df.withColumns(texts) if texts else df
-    if files:
-        cleaned = cleaned.repartition(files)
     # The writer trims fields unless told not to.
-    cleaned.write.options(
-        sep=sep,
-        encoding=charset,
-        emptyValue="",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+    options = {
+        "sep": sep,
+        "encoding": charset,
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
         **_NO_QUOTES,
-    ).csv(path)
+    }
+    if not target_bytes:
+        cleaned.write.options(**options).csv(path)
+        return
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with setting(df.sparkSession, size, str(target_bytes)):
+        cleaned.hint("rebalance").write.options(**options).csv(path)

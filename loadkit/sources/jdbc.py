@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, **properties: str) -> DataFrame:
@@ -71,30 +72,38 @@ def jdbc_transaction(connect: Callable, statements: Sequence[str]) -> list[int]:
         connection.close()
 
 
+def jdbc_statement(connect: Callable, text: str) -> Callable:
+    """A script statement for the database, run in a transaction of its own; gives its update count."""
+    return lambda spark, ctx: jdbc_transaction(connect, [ctx.evaluate(text)])[0]
+
+
+def jdbc_query(url: str, text: str, **properties: str) -> Callable:
+    """A script statement for the database that returns rows."""
+    return lambda spark, ctx: read_jdbc(spark, url, ctx.evaluate(text), **properties)
+
+
 def load_staged_jdbc(
     df: DataFrame,
     url: str,
     staging: str,
     connect: Callable,
     publish: Sequence[str],
-    prepare: Sequence[str] = (),
+    before_publish: Callable[[DataFrame], None] = lambda rows: None,
     **load_options: Any,
-) -> list[int]:
-    """Load through a staging table: prepare it, fill it in parallel, publish in one transaction.
+) -> int:
+    """Fill a staging table in parallel, then publish it in one transaction; return the rows sent.
 
-    The final table changes only in the last step, so a failed partition leaves it as it was. Task
-    retries can leave extra rows behind in the staging table, which is why its row count is checked
-    against the rows sent before anything is published.
+    The final table changes only in the last step, so a failed partition leaves it as it was. A
+    retried task can leave extra rows in the staging table, which is why its row count must equal
+    the rows sent before anything is published.
     """
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
-    if prepare:
-        jdbc_transaction(connect, prepare)
+    spark = df.sparkSession
     sent = Observation("rows_sent")
     load_jdbc(df.observe(sent, F.count(F.lit(1)).alias("rows")), url, staging, **load_options)
-    spark = df.sparkSession
-    counted = read_jdbc(spark, url, f"SELECT COUNT(*) AS N FROM {staging}").first()[0]
-    if counted != sent.get["rows"]:
-        raise RuntimeError(f"{staging} holds {counted} rows, {sent.get['rows']} were sent")
-    return jdbc_transaction(connect, publish)
+    rows = sent.get["rows"]
+    found = read_jdbc(spark, url, f"SELECT COUNT(*) AS N FROM {staging}").first()[0]
+    if found != rows:
+        raise RuntimeError(f"{staging} holds {found} rows, {rows} were sent")
+    before_publish(read_jdbc(spark, url, f"SELECT * FROM {staging}"))
+    jdbc_transaction(connect, publish)
+    return rows
