@@ -62,7 +62,7 @@ def merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS n, min(value) AS low,
-           max(value) AS high, sum(CAST(value AS DECIMAL(18,2))) AS total
+           max(value) AS high, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
     FROM events GROUP BY 1, 2
 """)
 def rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,7 +78,8 @@ def load_append_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS COMMIT_EPOCH, count(*) AS update_count
+    SELECT CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS COMMIT_EPOCH,
+           count(*) AS update_count
     FROM orders GROUP BY o_orderpriority
 """)
 def update_count(spark: SparkSession, sf_dir: str) -> DataFrame:

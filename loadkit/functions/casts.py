@@ -145,6 +145,21 @@ def cast_expr(source: T.StructField, target: T.DataType, value: Column | None =
     return col.try_cast(target)
 
 
+def may_fail(source: T.StructField, target: T.DataType) -> bool:
+    """Whether a value can be present and its cast null; most numbers and times always fit."""
+    native, kind = source.dataType, record_type(source)
+    if kind == TIME and not isinstance(native, T.TimeType):
+        return True
+    if native == target or isinstance(target, T.StringType):
+        return False
+    temporal = T.DateType | T.TimestampType | T.TimestampNTZType
+    if kind in (DATE, TIMESTAMP):
+        return not isinstance(target, temporal)
+    if isinstance(native, T.IntegerType):
+        return not isinstance(target, T.LongType | T.DoubleType | temporal)
+    return not (isinstance(native, T.LongType) and isinstance(target, T.DoubleType))
+
+
 def cast_error(source: T.StructField, target: T.DataType, value: Column | None = None) -> Column:
     """True where a value is present but cannot be cast."""
     col = F.col(f"`{source.name}`") if value is None else value

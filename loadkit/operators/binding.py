@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadkit.functions.casts import cast_expr
-from loadkit.sources.records import MALFORMED, SchemaMissing
+from loadkit.functions.casts import cast_expr, may_fail
+from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
 logger = logging.getLogger(__name__)
 
@@ -43,7 +44,7 @@ def bind(
         raise ArityError(f"{len(fields)} fields bound to {len(target.fields)} columns")
     known = {f.name: f for f in df.schema.fields}
     columns: list[Column] = []
-    failures: list[Column] = []
+    failures: list[tuple[str, Column]] = []
     for name, column in zip(fields, target.fields, strict=True):
         source = known.get(name)
         if source is None:
@@ -55,9 +56,8 @@ def bind(
             continue
         value = cast_expr(source, column.dataType)
         columns.append(value.alias(column.name))
-        if errors:
-            bad = F.col(f"`{name}`").isNotNull() & value.isNull()
-            failures.append(F.when(bad, F.lit(name)))
+        if errors and may_fail(source, column.dataType):
+            failures.append((name, F.col(f"`{name}`").isNotNull() & value.isNull()))
     if errors:
         read = [F.col(f"`{name}`") for name in dict.fromkeys(fields) if name in known]
         columns += _error_columns(df, failures, read)
@@ -70,17 +70,27 @@ def _default(column: T.StructField) -> Column:
     return F.expr(text) if text else F.lit(None)
 
 
-def _error_columns(df: DataFrame, failures: list[Column], read: list[Column]) -> list[Column]:
-    """Why a row is bad, and its bound values as read; only bound fields are named, so the scan
-    still reads no other columns."""
-    nothing = F.lit(None).cast("string")
-    reason = F.nullif(F.concat_ws(",", *failures), F.lit("")) if failures else nothing
-    text = F.to_json(F.struct(*read)) if read else nothing
+def _error_columns(
+    df: DataFrame, failures: list[tuple[str, Column]], read: list[Column]
+) -> list[Column]:
+    """Why a row is bad, and its values as read.
+
+    A columnar scan stays limited to the bound fields. Text has to be parsed in full: a reader that
+    skips a field does not see that it is malformed, so the whole record is named.
+    """
+    bad = reduce(lambda a, b: a | b, [failed for _, failed in failures], F.lit(False))
+    reason = F.concat_ws(",", *[F.when(failed, F.lit(name)) for name, failed in failures])
     if MALFORMED in df.columns:
         malformed = F.col(MALFORMED)
+        bad = malformed.isNotNull() | bad
         reason = F.when(malformed.isNotNull(), F.lit("malformed")).otherwise(reason)
-        text = F.coalesce(malformed, text)
-    return [reason.alias(ERROR), F.when(reason.isNotNull(), text).alias(RAW)]
+        added = (MALFORMED, UNIT, UNIT_SIZE)
+        record = [F.col(f"`{name}`") for name in df.columns if name not in added]
+        text = F.coalesce(malformed, F.to_json(F.struct(*record)))
+    else:
+        text = F.to_json(F.struct(*read)) if read else F.lit(None).cast("string")
+    # Good rows only pay for the test: both texts are built behind it.
+    return [F.when(bad, reason).alias(ERROR), F.when(bad, text).alias(RAW)]
 
 
 def strict(bound: DataFrame) -> DataFrame:
@@ -118,7 +128,7 @@ def bind_expr(
     if unknown:
         raise SchemaMissing(f"no target columns {sorted(unknown)}")
     columns: list[Column] = []
-    failures: list[Column] = []
+    failures: list[tuple[str, Column]] = []
     for column in target.fields:
         if column.name not in expressions:
             columns.append(_default(column).cast(column.dataType).alias(column.name))
@@ -126,7 +136,7 @@ def bind_expr(
         computed = F.expr(expressions[column.name])
         value = computed.try_cast(column.dataType)
         columns.append(value.alias(column.name))
-        failures.append(F.when(computed.isNotNull() & value.isNull(), F.lit(column.name)))
+        failures.append((column.name, computed.isNotNull() & value.isNull()))
     if errors:
         computed = [F.expr(text).alias(name) for name, text in expressions.items()]
         columns += _error_columns(df, failures, computed)

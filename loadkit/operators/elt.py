@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.operators.loading import LOAD_COLUMNS, LoadResult, load_batch
-from loadkit.session import materialise, partition_columns, setting, table_location
+from loadkit.session import discard, materialise, partition_columns, setting, table_location
 
 # Up to this many touched partitions are named in the scan; beyond it a join finds them.
 MAX_LISTED_PARTITIONS = 1_000
@@ -78,12 +78,13 @@ def publish_merge(
     staging: str | DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
+    keep_old: bool = False,
 ) -> MergeResult:
     """Merge staged rows into the core table by key: replace matches, add the rest.
 
     `order_by` picks the latest of several staged rows of a key; without it the staged keys must be
     unique. A partitioned core table is rewritten only in the partitions that lose or gain rows, an
-    unpartitioned one as a whole.
+    unpartitioned one as a whole; `keep_old` then leaves the former files in place.
     """
     staged = spark.table(staging) if isinstance(staging, str) else staging
     # Written once: read for the join and for the insert, and of known size for the planner.
@@ -93,7 +94,7 @@ def publish_merge(
         return _merge_partitions(spark, core, staged, keys, partitions)
     before = spark.table(core)
     old_rows = before.count()  # no column is read: file footers hold the counts
-    replace_rows(spark, core, merge_rows(before, staged, keys))
+    replace_rows(spark, core, merge_rows(before, staged, keys), keep_old)
     return _merge_result(old_rows, spark.table(core).count(), staged)
 
 
@@ -179,10 +180,13 @@ def drop_partition(spark: SparkSession, table: str, values: Mapping[str, object]
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
-def replace_rows(spark: SparkSession, table: str, df: DataFrame) -> str:
-    """Give an unpartitioned table new content and return the folder of the old one.
+def replace_rows(
+    spark: SparkSession, table: str, df: DataFrame, keep_old: bool = False
+) -> str:
+    """Give an unpartitioned table new content, which may be computed from the old one.
 
-    The old folder is left for queries that still read it.
+    Returns the former folder. It is deleted like the files of any overwritten table, unless
+    `keep_old` leaves it for queries that still read it.
     """
     old = table_location(spark, table)
     root = old.split("--")[0]
@@ -190,6 +194,8 @@ def replace_rows(spark: SparkSession, table: str, df: DataFrame) -> str:
     df.write.parquet(new)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
     spark.catalog.refreshTable(table)
+    if not keep_old:
+        discard(spark, old)
     return old
 
 

@@ -1,0 +1,328 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loadkit.context import RunContext
+from loadkit.operators.loading import LOAD_COLUMNS, create_core, is_published, load_staged
+from loadkit.operators.loading import BadRecords
+from loadkit.operators.binding import bind_by_name
+from loadkit.plans.report import (
+    build_reports,
+    explode_steps,
+    load_summary,
+    meantimes,
+    report_json,
+    report_row,
+    step_summary,
+    with_meantime,
+    write_reports,
+)
+from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load
+from loadkit.plans.scripts import (
+    ResultSet,
+    Step,
+    append_rows,
+    collect_result,
+    fail_if_used,
+    merge_into,
+    purge_load,
+    run_script,
+)
+from loadkit.sources.delimited import read_delimited
+from loadkit.sources.records import list_units, read_records
+
+DDL = T.StructType.fromDDL
+SCHEMA = "id int, v double"
+
+
+def unit(name, rows, ddl="id string, v string"):
+    return Unit(name, len(rows), lambda spark: spark.createDataFrame(rows, ddl))
+
+
+GOOD = unit("good", [("1", "0.5"), ("2", "1.5")])
+MORE = unit("more", [("3", "2.5")])
+BAD = unit("bad", [("4", "3.5"), ("x", "4.5")])
+EMPTY = unit("empty", [])
+
+
+@pytest.fixture
+def core(spark, db):
+    create_core(spark, f"{db}.core", DDL(SCHEMA))
+    return f"{db}.core"
+
+
+@pytest.fixture
+def plain(spark, db):
+    spark.sql(f"CREATE TABLE {db}.plain ({SCHEMA}) USING parquet")
+    return f"{db}.plain"
+
+
+def ids(spark, table):
+    return sorted(r["id"] for r in spark.table(table).collect())
+
+
+# Scripts ------------------------------------------------------------------------------------------
+
+
+def test_every_statement_gives_rows_or_a_count(spark, db, ctx):
+    statements = [
+        f"CREATE TABLE {db}.core (a INT) USING parquet",
+        f"CREATE TABLE {db}.stg_%TABLE_ID%_%COMMIT_EPOCH% LIKE {db}.core",
+        "SELECT 1 AS a, CAST(NULL AS INT) AS b",
+        f"INSERT INTO {db}.stg_%TABLE_ID%_%COMMIT_EPOCH% VALUES (1), (2)",
+        append_rows(f"{db}.stg_%TABLE_ID%_%COMMIT_EPOCH%", f"{db}.core"),
+        "SELECT * FROM range(0)",
+        lambda s, c: s.sql(f"SELECT '{c.table_id}' AS id"),
+        lambda s, c: None,
+    ]
+    step = run_script(spark, "afterLoaded", statements, ctx)
+    assert [(r.rows, r.update_count) for r in step.result_sets] == [
+        (None, 0),
+        (None, 0),
+        (['{"a":1}'], None),
+        (None, 0),
+        (None, 2),
+        ([], None),
+        (['{"id":"0123abcdef"}'], None),
+        (None, 0),
+    ]
+    assert step.start <= step.stop
+
+
+@pytest.mark.parametrize("script", [None, [], ["", "  "]])
+def test_an_empty_script_is_no_step(spark, ctx, script):
+    assert run_script(spark, "s", script, ctx) is None
+
+
+def test_large_results_are_written_as_a_whole(spark):
+    small = collect_result(spark.range(5), max_rows=5)
+    assert len(small.rows) == 5 and small.location is None
+    large = collect_result(spark.range(6), max_rows=5)
+    assert large.rows == []
+    assert spark.read.parquet(large.location).count() == 6
+
+
+def test_duplicate_result_columns_are_refused(spark):
+    with pytest.raises(ValueError, match="'a'"):
+        collect_result(spark.sql("SELECT 1 AS a, 2 AS a"))
+
+
+# Reports ------------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def reports(spark, ctx):
+    steps = [
+        Step("beforeLoading", 100, 150, [ResultSet(update_count=0)]),
+        None,
+        Step("afterLoaded", 400, 420, [ResultSet(rows=['{"a":1}'])]),
+        Step("check", 420, 500),
+    ]
+    return build_reports(spark, [report_row(ctx, 7, steps, None, 90, 500)])
+
+
+def test_meantimes(reports):
+    assert meantimes(90, [Step("a", 100, 150), Step("b", 400, 420), Step("c", 420, 500)]) == [10, 250, 0]
+    got = [(r["step_no"], r["name"], r["meantime"]) for r in explode_steps(reports).collect()]
+    assert got == [(0, "beforeLoading", 10), (1, "afterLoaded", 250), (2, "check", 0)]
+
+
+def test_meantimes_of_a_column(reports):
+    blank = reports.withColumn(
+        "steps", F.transform("steps", lambda s: s.withField("meantime", F.lit(0).cast("bigint")))
+    )
+    filled = blank.withColumn("steps", with_meantime(F.col("steps"), F.col("start")))
+    assert [r["meantime"] for r in explode_steps(filled).collect()] == [10, 250, 0]
+
+
+def test_report_document(spark, reports, path):
+    document = json.loads(report_json(reports, pretty=True).first()["report"])
+    assert (document["elapsed"], document["size"]) == (410, 7)
+    assert document["attributes"] == {"TABLE_ID": "0123abcdef", "COMMIT_EPOCH": 0}
+    assert document["steps"][0]["resultSets"] == [{"updateCount": 0}]
+    assert document["steps"][1]["resultSets"] == [{"rows": ['{"a":1}']}]
+    assert "load" not in document
+    for as_json in (False, True):
+        where = path("reports")
+        write_reports(reports, where, as_json)
+        write_reports(reports, where, as_json)
+        fmt = "json" if as_json else "parquet"
+        assert spark.read.format(fmt).load(where).count() == 2
+
+
+# Runs ---------------------------------------------------------------------------------------------
+
+
+def test_a_run_loads_its_units_in_order(spark, core):
+    with open_run(spark, ["SELECT 1 AS connected"], ["SELECT %COMMIT_EPOCH% AS loads"]) as run:
+        for u in (GOOD, EMPTY, MORE):
+            run.load(u, LoadSpec(core, before_loading=["SELECT '%COMMIT_EPOCH%' AS e"]))
+    assert ids(spark, core) == [1, 2, 3]
+    epochs = {r["id"]: r["COMMIT_EPOCH"] for r in spark.table(core).collect()}
+    assert epochs == {1: 0, 2: 0, 3: 2}
+    rows = run.reports().collect()
+    assert [r["load"] and r["load"]["updateCount"] for r in rows] == [None, 2, 0, 1, None]
+    assert rows[-1]["steps"][0]["resultSets"][0]["rows"] == ['{"loads":3}']
+    assert [r["attributes"]["COMMIT_EPOCH"] for r in rows] == [0, 0, 1, 2, 3]
+    assert [r["rows"] for r in run.loaded_units().collect()] == [2, 0, 1]
+    summary = load_summary(run.reports()).first()
+    assert (summary["loads"], summary["rows"]) == (3, 3)
+    assert {r["name"]: r["runs"] for r in step_summary(run.reports()).collect()} == {
+        "afterConnected": 1,
+        "beforeLoading": 3,
+        "beforeDisconnecting": 1,
+    }
+
+
+def test_a_staging_table_is_merged_and_dropped(spark, db, plain):
+    staging = f"{db}.stg_%TABLE_ID%_%COMMIT_EPOCH%"
+    spec = LoadSpec(
+        staging,
+        fields=["id", "v"],
+        before_loading=[f"CREATE TABLE {staging} LIKE {plain}"],
+        after_loaded=[merge_into(plain, staging, ["id"], ["v"]), f"DROP TABLE {staging}"],
+    )
+    changed = unit("changed", [("1", "9.5"), ("1", "8.5"), ("5", "0.0")])
+    reports = run_load(spark, [GOOD, changed], spec).collect()
+    assert {r["id"]: r["v"] for r in spark.table(plain).collect()} == {1: 9.5, 2: 1.5, 5: 0.0}
+    assert [r["steps"][1]["resultSets"][0]["updateCount"] for r in reports] == [2, 2]
+    assert not spark.sql(f"SHOW TABLES IN {db} LIKE 'stg*'").collect()
+
+
+def test_a_failed_load_publishes_nothing_and_still_disconnects(spark, core):
+    seen = []
+    with pytest.raises(Exception, match="no_such_table"):
+        with open_run(spark, before_disconnecting=[lambda s, c: seen.append(c)]) as run:
+            run.load(GOOD, LoadSpec(core))
+            run.load(MORE, LoadSpec(core, before_publish=["SELECT * FROM no_such_table"]))
+    assert ids(spark, core) == [1, 2]
+    assert [c.commit_epoch for c in seen] == [1]
+    assert len(run.rows) == 2
+
+
+def test_rows_can_be_checked_before_they_are_visible(spark, core):
+    check = "SELECT count(*) AS n FROM landed_%TABLE_ID%_%COMMIT_EPOCH%"
+    visible = lambda s, c: s.sql(f"SELECT count(*) AS n FROM {core}")
+    reports = run_load(spark, [GOOD], LoadSpec(core, before_publish=[check, visible])).collect()
+    step = reports[0]["steps"][0]
+    assert step["name"] == "beforePublish"
+    assert [s["rows"] for s in step["resultSets"]] == [['{"n":2}'], ['{"n":0}']]
+
+
+@pytest.mark.parametrize("table", ["core", "plain"])
+def test_strict_loads_fail_as_a_whole(spark, request, table):
+    target = request.getfixturevalue(table)
+    run_load(spark, [GOOD], LoadSpec(target, failure="raise"))
+    with pytest.raises(Exception, match="cannot load record"):
+        run_load(spark, [BAD], LoadSpec(target, failure="raise"))
+    assert ids(spark, target) == [1, 2]
+
+
+@pytest.mark.parametrize("table", ["core", "plain"])
+def test_row_policy_keeps_the_good_rows(spark, request, path, table):
+    target, failures = request.getfixturevalue(table), path("failures")
+    run_load(spark, [BAD], LoadSpec(target, failure="row", failures=failures))
+    assert ids(spark, target) == [4]
+    failed = spark.read.parquet(failures).collect()
+    assert [(r["_error"], r["_raw"], r["COMMIT_EPOCH"]) for r in failed] == [("id", '{"id":"x","v":"4.5"}', 0)]
+
+
+@pytest.mark.parametrize("table", ["core", "plain"])
+def test_unit_policy_keeps_whole_files_out(spark, request, folder, path, table):
+    (folder / "a.csv").write_text("id|v\n1|0.5\n2|1.5\n")
+    (folder / "b.csv").write_text("id|v\n3|0.5\n4|x\n")
+    (folder / "c.csv").write_text("id|v\n5|0.5\n6\n")
+    target, failures = request.getfixturevalue(table), path("failures")
+    whole = Unit("all", 0, lambda s: read_delimited(s, str(folder)))
+    reports = run_load(spark, [whole], LoadSpec(target, failures=failures)).collect()
+    assert ids(spark, target) == [1, 2]
+    assert reports[0]["load"]["updateCount"] == 2
+    failed = spark.read.parquet(failures)
+    assert failed.count() == 4
+    assert {r["_unit"].rsplit("/")[-1] for r in failed.collect()} == {"b.csv", "c.csv"}
+
+
+def test_good_and_bad_make_up_the_input(spark, core, path):
+    rows = [(str(i) if i % 7 else "x", "1.0") for i in range(200)]
+    failures = path("failures")
+    run_load(spark, [unit("u", rows)], LoadSpec(core, failure="row", failures=failures))
+    assert spark.table(core).count() + spark.read.parquet(failures).count() == 200
+
+
+def test_a_load_cannot_be_published_twice(spark, core, ctx):
+    frame = bind_by_name(spark.createDataFrame([("1", "2")], "id string, v string"), DDL(SCHEMA))
+    load_staged(frame, core, ctx)
+    assert is_published(spark, core, ctx)
+    assert not is_published(spark, core, ctx.next_epoch())
+    with pytest.raises(Exception, match="(?i)exist"):
+        load_staged(frame, core, ctx)
+    assert spark.table(core).count() == 1
+
+
+def test_staged_load_refuses_bad_records(spark, core, ctx):
+    frame = spark.createDataFrame([("x", "2")], "id string, v string")
+    with pytest.raises(BadRecords):
+        load_staged(bind_by_name(frame, DDL(SCHEMA), errors=True), core, ctx)
+    assert spark.table(core).isEmpty()
+    assert not is_published(spark, core, ctx)
+
+
+def test_a_used_id_stops_the_run(spark, db, core):
+    ctx = RunContext("0123abcdef")
+    run_load(spark, [GOOD], LoadSpec(core), ctx=ctx)
+    with pytest.raises(Exception, match="already in use"):
+        run_load(spark, [MORE], LoadSpec(core), after_connected=[fail_if_used(core)], ctx=ctx)
+    assert ids(spark, core) == [1, 2]
+
+
+def test_a_load_is_purged_after_elt(spark, core, plain):
+    spec = LoadSpec(core, after_loaded=[
+        lambda s, c: s.sql(f"INSERT INTO {plain} SELECT id, v FROM {core} WHERE TABLE_ID = '{c.table_id}'"),
+        purge_load(core),
+    ])
+    run_load(spark, [GOOD, MORE], spec)
+    assert spark.table(core).isEmpty()
+    assert ids(spark, plain) == [1, 2, 3]
+
+
+def test_settings_of_a_run_stay_in_it(spark, core):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with open_run(spark, after_connected=[f"SET {key} = 3"]) as run:
+        assert run.spark.conf.get(key) == "3"
+    assert spark.conf.get(key) == before
+
+
+def test_reports_are_written_as_they_come(spark, core, path):
+    where = path("reports")
+    with pytest.raises(Exception, match="no_such_table"):
+        with open_run(spark, reports_path=where) as run:
+            run.load(GOOD, LoadSpec(core))
+            run.load(MORE, LoadSpec(core, before_loading=["SELECT * FROM no_such_table"]))
+    assert [r["load"]["updateCount"] for r in spark.read.parquet(where).collect()] == [2]
+
+
+def test_files_are_units(spark, folder, core):
+    for name, value in (("a", 1), ("b", 2), ("c", 3)):
+        (folder / f"{name}.json").write_text(json.dumps({"id": value, "v": 0.5}) + "\n")
+    listing = list_units(spark, str(folder), "*.json")
+    read = lambda s, paths: read_records(s, paths, "json", DDL(SCHEMA))
+    run_load(spark, file_units(listing, read), LoadSpec(core))
+    assert [tuple(r) for r in spark.table(core).select("id", "COMMIT_EPOCH").orderBy("id").collect()] == [
+        (1, 0),
+        (2, 1),
+        (3, 2),
+    ]
+    size = listing.first()["_unit_size"]
+    binned = list(file_units(listing, read, target_bytes=2 * size))
+    assert [u.size for u in binned] == [2 * size, size]
+    assert [r["id"] for r in binned[1].read(spark).collect()] == [3]
+
+
+def test_load_columns_do_not_leak(spark, core):
+    run_load(spark, [GOOD], LoadSpec(core))
+    assert spark.table(core).columns == ["id", "v", *LOAD_COLUMNS]
