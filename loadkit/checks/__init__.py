@@ -15,13 +15,14 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under the name of its function."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, by default under the name of its function."""
 
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        key = name or run.__name__
+        QUERIES[key] = run
         if sql:
-            ORACLES[run.__name__] = sql
+            ORACLES[key] = sql
         return run
 
     return register

@@ -47,7 +47,7 @@ def bind_absent_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT p_partkey AS part_key, upper(p_name) AS name, CAST(p_size + 1 AS INTEGER) AS next_size,
            CAST(round(p_retailprice * 100) AS BIGINT) AS cents
     FROM part
-""")
+""", name="bind_expr")
 def bind_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = DDL("part_key BIGINT, name STRING, next_size INT, cents BIGINT")
     expressions = {

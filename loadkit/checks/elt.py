@@ -14,7 +14,7 @@ from loadkit.operators.elt import latest_per_key, publish_merge, rollup
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
         FROM events)
     WHERE rn = 1
-""")
+""", name="latest_per_key")
 def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 

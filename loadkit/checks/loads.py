@@ -153,7 +153,7 @@ def purge_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
     SELECT doc_id, CAST(floor((sum(n_chars) OVER (ORDER BY doc_id) - n_chars) / 100000) AS BIGINT) AS bin
     FROM documents
-""")
+""", name="bin_units")
 def bin_small_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consecutive documents gathered into units of about 100,000 characters."""
     listing = table(spark, sf_dir, "documents").select("doc_id", "n_chars")

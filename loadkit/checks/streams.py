@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from loadkit.checks import query, table, workspace
+from loadkit.context import RunContext
 from loadkit.operators.loading import LOAD_COLUMNS, create_core
-from loadkit.plans.run import LoadSpec, file_units, open_run
+from loadkit.operators.units import plan_units
+from loadkit.plans.run import LoadSpec, file_units, open_run, run_load
 from loadkit.session import scratch_path
 from loadkit.sources.records import list_units, read_records, read_unit_stream
-from loadkit.streaming.drain import create_ledger, drain, load_once, run_stream
+from loadkit.streaming.drain import create_ledger, drain, load_unpublished, run_stream
 
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value FROM events"
 # A bound timestamp keeps milliseconds.
@@ -17,6 +22,10 @@ BOUND_EVENTS_SQL = EVENTS_SQL.replace(" ts,", " date_trunc('millisecond', ts) AS
 FILES = 6
 
 
+class Stopped(Exception):
+    """Ends a run half-way."""
+
+
 def _event_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """The events as a queue of files."""
     events = table(spark, sf_dir, "events").select(
@@ -53,7 +62,7 @@ def stream_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(BOUND_EVENTS_SQL)
 def replay_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run stops half-way; the next one is given all units again and loads each only once."""
+    """A run stops half-way; the next ones are given all units again, and each is loaded once."""
     db = workspace(spark)
     path, events = _event_files(spark, sf_dir)
     create_core(spark, f"{db}.core", events.schema)
@@ -64,12 +73,16 @@ def replay_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(session: SparkSession, paths: list[str]) -> DataFrame:
         return read_records(session, paths, "parquet", events.schema)
 
-    for stop_after in (FILES // 2, None):
+    def stop(_: SparkSession, ctx: RunContext) -> None:
+        if ctx.commit_epoch == FILES // 2:
+            raise Stopped
+
+    stopping = replace(spec, before_publish=[stop])
+    with suppress(Stopped), open_run(spark) as run:
+        load_unpublished(run, listing, read, stopping, f"{db}.ledger", "events")
+    for _ in range(2):
         with open_run(spark) as run:
-            for i, unit in enumerate(file_units(listing, read)):
-                if i == stop_after:
-                    break
-                load_once(run, unit, spec, f"{db}.ledger", "events")
+            load_unpublished(run, listing, read, spec, f"{db}.ledger", "events")
     return spark.table(f"{db}.core").drop(*LOAD_COLUMNS)
 
 
@@ -86,7 +99,5 @@ def load_binned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     def read(session: SparkSession, paths: list[str]) -> DataFrame:
         return read_records(session, paths, "parquet", events.schema)
 
-    with open_run(spark) as run:
-        for unit in file_units(listing, read, target_bytes=200_000):
-            run.load(unit, spec)
+    run_load(spark, file_units(plan_units(listing, target_bytes=200_000), read), spec)
     return spark.table(f"{db}.core").drop(*LOAD_COLUMNS)

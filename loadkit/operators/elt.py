@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.operators.loading import LOAD_COLUMNS, LoadResult, load_batch
-from loadkit.session import discard, materialise, partition_columns, setting, table_location
+from loadkit.session import (
+    discard,
+    materialised,
+    partition_columns,
+    same_values,
+    setting,
+    table_location,
+)
 
 # Up to this many touched partitions are named in the scan; beyond it a join finds them.
 MAX_LISTED_PARTITIONS = 1_000
@@ -86,9 +93,18 @@ def publish_merge(
     unique. A partitioned core table is rewritten only in the partitions that lose or gain rows, an
     unpartitioned one as a whole; `keep_old` then leaves the former files in place.
     """
-    staged = spark.table(staging) if isinstance(staging, str) else staging
+    if isinstance(staging, str):
+        staging = spark.table(staging)
+        if not order_by:
+            return _merge(spark, core, staging, keys, keep_old)
     # Written once: read for the join and for the insert, and of known size for the planner.
-    staged = materialise(staged_for_merge(staged, keys, order_by), "merge")
+    with materialised(staged_for_merge(staging, keys, order_by), "merge") as staged:
+        return _merge(spark, core, staged, keys, keep_old)
+
+
+def _merge(
+    spark: SparkSession, core: str, staged: DataFrame, keys: Sequence[str], keep_old: bool
+) -> MergeResult:
     partitions = partition_columns(spark, core)
     if partitions:
         return _merge_partitions(spark, core, staged, keys, partitions)
@@ -117,13 +133,13 @@ def _merge_partitions(
     if keys_can_move:
         matched = before.join(staged.select(*keys), list(keys), "left_semi")
         touched = touched.unionByName(matched.select(*partitions))
-    touched = materialise(touched.distinct(), "touched")
-    affected = in_partitions(before, touched, partitions)
-    old_rows = affected.count()
-    merged = merge_rows(affected, staged, keys)
-    rewrite_partitions(spark, core, merged, touched, partitions, can_empty=keys_can_move)
-    new_rows = in_partitions(spark.table(core), touched, partitions).count()
-    return _merge_result(old_rows, new_rows, staged)
+    with materialised(touched.distinct(), "touched") as touched:
+        affected = in_partitions(before, touched, partitions)
+        old_rows = affected.count()
+        merged = merge_rows(affected, staged, keys)
+        rewrite_partitions(spark, core, merged, touched, partitions, can_empty=keys_can_move)
+        new_rows = in_partitions(spark.table(core), touched, partitions).count()
+        return _merge_result(old_rows, new_rows, staged)
 
 
 def in_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -132,7 +148,7 @@ def in_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str])
     if not listed:
         return df.limit(0)
     if len(listed) > MAX_LISTED_PARTITIONS:
-        same = [F.col(f"d.`{p}`").eqNullSafe(F.col(f"t.`{p}`")) for p in partitions]
+        same = same_values("d", "t", partitions)
         return df.alias("d").join(touched.alias("t"), same, "left_semi")
     if len(partitions) == 1:
         name = partitions[0]
@@ -161,7 +177,9 @@ def rewrite_partitions(
     """
     emptied = []
     if can_empty:
-        emptied = touched.join(rows.select(*partitions).distinct(), partitions, "left_anti").collect()
+        filled = rows.select(*partitions).distinct().alias("f")
+        same = same_values("t", "f", partitions)
+        emptied = touched.alias("t").join(filled, same, "left_anti").collect()
     ordered = rows.select(*spark.table(table).columns).hint("rebalance", *partitions)
     with setting(rows.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         ordered.write.insertInto(table, overwrite=True)
@@ -225,9 +243,9 @@ def purge(spark: SparkSession, table: str, ctx: RunContext) -> None:
         replace_rows(spark, table, before.filter(~load_rows(ctx)))
         return
     touched = before.filter(load_rows(ctx)).select(*partitions).distinct()
-    touched = materialise(touched, "touched")
-    kept = in_partitions(before, touched, partitions).filter(~load_rows(ctx))
-    rewrite_partitions(spark, table, kept, touched, partitions, can_empty=True)
+    with materialised(touched, "touched") as touched:
+        kept = in_partitions(before, touched, partitions).filter(~load_rows(ctx))
+        rewrite_partitions(spark, table, kept, touched, partitions, can_empty=True)
 
 
 def drop_staging(spark: SparkSession, name: str, ctx: RunContext) -> None:

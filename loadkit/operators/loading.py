@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
+from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, TableIdInUse
 from loadkit.operators.binding import ERROR, bind_by_name
 from loadkit.operators.units import load_context, unit_counts
 from loadkit.session import discard, scratch_path, table_location
@@ -193,11 +193,17 @@ def load_many(
 ) -> DataFrame:
     """Load the units of a frame in one job, each under an epoch of its own; return their counts.
 
+    Raises when epochs of this run, from its current one on, are in the table already.
+
     The job for a large number of small units: its cost depends on the rows and not on the number of
     units. The whole set is committed at once. Rows are not shuffled unless `gather` asks for few
     files per unit; a unit that holds many rows is split then. The counts come from file footers.
     """
     spark = df.sparkSession
+    taken = spark.sql(f"SHOW PARTITIONS {core} PARTITION ({TABLE_ID} = '{ctx.table_id}')")
+    epochs = [int(row["partition"].rsplit("=", 1)[1]) for row in taken.collect()]
+    if any(epoch >= ctx.commit_epoch for epoch in epochs):
+        raise TableIdInUse(f"loads of {ctx.table_id} from {ctx.commit_epoch} on are in {core}")
     stamped = load_context(df, units, ctx).select(*spark.table(core).columns)
     if gather:
         stamped = stamped.hint("rebalance", COMMIT_EPOCH)

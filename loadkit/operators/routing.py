@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.operators.binding import ERROR
-from loadkit.session import materialise, scratch_path
+from loadkit.session import materialise, same_values, scratch_path
 from loadkit.sources.records import UNIT
 
 UNIT_POLICY = "unit"
@@ -34,18 +34,22 @@ def split_bad(
     if policy != UNIT_POLICY:
         raise ValueError(f"unknown failure policy {policy!r}")
     failed = materialise(df.filter(is_bad).select(*unit).distinct(), "failed_units")
-    same = [F.col(f"d.{name}").eqNullSafe(F.col(f"f.{name}")) for name in unit]
+    same = same_values("d", "f", unit)
     rows, failed = df.alias("d"), failed.alias("f")
     return rows.join(failed, same, "left_anti"), rows.join(failed, same, "left_semi")
 
 
-def land_routes(df: DataFrame, on: str, path: str | None = None) -> DataFrame:
-    """Write rows once into a folder per route, without a shuffle, and read them back.
+def land_routes(df: DataFrame, on: str, gather: bool = False) -> DataFrame:
+    """Write rows once into a folder per route and read them back.
 
-    The route itself stays a column of the files: a folder name cannot tell null from empty text.
+    Every task writes a file per route, without a shuffle. With many routes the files get small;
+    `gather` shuffles rows by route first, and splits routes that hold many rows. The route itself
+    stays a column of the files: a folder name cannot tell null from empty text.
     """
-    path = path or scratch_path(df.sparkSession, "routes")
+    path = scratch_path(df.sparkSession, "routes")
     foldered = df.withColumn(_FOLDER, F.col(on).cast("string"))
+    if gather:
+        foldered = foldered.hint("rebalance", _FOLDER)
     foldered.write.partitionBy(_FOLDER).parquet(path)
     return df.sparkSession.read.schema(foldered.schema).parquet(path)
 
@@ -57,13 +61,15 @@ def route_rows(keys: Sequence) -> Column:
     return folder if len(folders) == len(keys) else folder | F.col(_FOLDER).isNull()
 
 
-def route(df: DataFrame, control: DataFrame, on: str) -> dict[str | None, DataFrame]:
+def route(
+    df: DataFrame, control: DataFrame, on: str, gather: bool = False
+) -> dict[str | None, DataFrame]:
     """The rows for each target named in the control table, and under `None` those without one.
 
     `control` has a row per route with at least the columns `on` and `target`. Each target is loaded
     with its own statements, so the control table is configuration that the driver reads.
     """
-    landed = land_routes(df, on)
+    landed = land_routes(df, on, gather)
     routes: dict[str, list] = {}
     seen = set()
     for row in control.select(on, "target").collect():

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.functions.sequence import number_rows, running_total
-from loadkit.session import materialise
+from loadkit.session import materialise, same_values
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 BIN = "bin"
+MAX_FILES_PER_BIN = 10_000
 
 
 def bin_units(
@@ -26,7 +27,28 @@ def bin_units(
     A unit belongs to the bin in which it starts, so no unit is split.
     """
     placed = running_total(listing, order_by, F.col(size), "_start")
-    return placed.withColumn(BIN, F.floor(F.col("_start") / F.lit(target_bytes))).drop("_start")
+    return placed.withColumn(BIN, F.expr(f"_start div {int(target_bytes)}")).drop("_start")
+
+
+def plan_units(listing: DataFrame, target_bytes: int | None = None) -> DataFrame:
+    """The loads for a file listing, in path order: `unit_no`, the paths, and their total size.
+
+    A load per file, or per bin of consecutive small files.
+    """
+    listing = listing.select(UNIT, UNIT_SIZE)
+    if not target_bytes:
+        numbered = number_rows(listing, [UNIT], "unit_no")
+        return materialise(numbered.select("unit_no", F.array(UNIT).alias("paths"), UNIT_SIZE))
+    # Very small files count as more than they are, which bounds the paths of a bin.
+    weight = F.greatest(F.col(UNIT_SIZE), F.lit(max(1, target_bytes // MAX_FILES_PER_BIN)))
+    binned = bin_units(listing.withColumn("_weight", weight), target_bytes, size="_weight")
+    bins = materialise(
+        binned.groupBy(BIN).agg(
+            F.sort_array(F.collect_list(UNIT)).alias("paths"), F.sum(UNIT_SIZE).alias(UNIT_SIZE)
+        )
+    )
+    numbers = number_rows(bins.select(BIN), [BIN], "unit_no")
+    return materialise(bins.join(numbers, BIN).select("unit_no", "paths", UNIT_SIZE))
 
 
 def number_units(df: DataFrame, units: Sequence[str]) -> DataFrame:
@@ -42,10 +64,9 @@ def load_context(df: DataFrame, units: Sequence[str], ctx: RunContext) -> DataFr
     where adaptive execution splits units that hold many rows.
     """
     epochs = number_units(df, units)
-    epoch = (F.col(COMMIT_EPOCH) + F.lit(ctx.commit_epoch)).cast("int")
-    return df.join(epochs, list(units)).withColumns(
-        {TABLE_ID: F.lit(ctx.table_id), COMMIT_EPOCH: epoch}
-    )
+    epoch = (F.col(f"u.{COMMIT_EPOCH}") + F.lit(ctx.commit_epoch)).cast("int")
+    joined = df.alias("d").join(epochs.alias("u"), same_values("d", "u", units))
+    return joined.select("d.*", F.lit(ctx.table_id).alias(TABLE_ID), epoch.alias(COMMIT_EPOCH))
 
 
 def unit_counts(df: DataFrame, units: Sequence[str | Column]) -> DataFrame:

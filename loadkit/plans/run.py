@@ -23,7 +23,6 @@ from loadkit.operators.loading import (
     publish_attach,
 )
 from loadkit.operators.routing import UNIT_POLICY, split_bad
-from loadkit.operators.units import BIN, bin_units
 from loadkit.plans.report import build_reports, report_row, write_reports
 from loadkit.plans.scripts import Statement, Step, now_millis, run_script
 from loadkit.session import discard, partition_columns, scratch_path
@@ -33,7 +32,6 @@ logger = logging.getLogger(__name__)
 
 RAISE_POLICY = "raise"
 LANDED_VIEW = f"landed_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
-MAX_FILES_PER_UNIT = 10_000
 
 
 @dataclass(frozen=True)
@@ -222,26 +220,11 @@ def load_unit(
 
 
 def file_units(
-    listing: DataFrame,
-    read: Callable[[SparkSession, list[str]], DataFrame],
-    target_bytes: int | None = None,
+    planned: DataFrame, read: Callable[[SparkSession, list[str]], DataFrame]
 ) -> Iterator[Unit]:
-    """Units from a file listing, in path order: a unit per file, or per bin of small files.
-
-    Only paths and sizes reach the driver, one unit at a time.
-    """
-    if target_bytes:
-        # Very small files count as more than they are, which bounds the paths of a bin.
-        weight = F.greatest(F.col(UNIT_SIZE), F.lit(target_bytes // MAX_FILES_PER_UNIT))
-        weighted = listing.select(UNIT, UNIT_SIZE, weight.alias("_weight"))
-        binned = bin_units(weighted, target_bytes, size="_weight")
-        grouped = binned.groupBy(BIN).agg(
-            F.sort_array(F.collect_list(UNIT)).alias("paths"), F.sum(UNIT_SIZE).alias(UNIT_SIZE)
-        )
-        listed = grouped.orderBy(BIN).select(F.col(BIN).cast("string"), "paths", UNIT_SIZE)
-    else:
-        listed = listing.orderBy(UNIT).select(UNIT, F.array(UNIT).alias("paths"), UNIT_SIZE)
-    for name, paths, size in listed.toLocalIterator():
+    """The units of `plan_units` in order; only paths and sizes reach the driver, unit by unit."""
+    for number, paths, size in planned.orderBy("unit_no").toLocalIterator():
+        name = paths[0] if len(paths) == 1 else f"unit {number}, {len(paths)} files"
         yield Unit(name, size, lambda spark, paths=paths: read(spark, paths))
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "loadkit", master: str | None = None, **conf: str) -> SparkSession:
@@ -20,6 +22,7 @@ def build_session(app: str = "loadkit", master: str | None = None, **conf: str)
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         **conf,
     }
     for key, value in settings.items():
@@ -54,10 +57,28 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     Cuts the lineage, fixes non-deterministic columns, survives lost executors, and gives later joins
     a size that is measured instead of estimated (so the planner broadcasts only what is small).
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return _write_and_read(df, scratch_path(df.sparkSession, name))
+
+
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def materialised(df: DataFrame, name: str = "step") -> Iterator[DataFrame]:
+    """`materialise` for a frame that nothing needs after a block."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        yield _write_and_read(df, path)
+    finally:
+        discard(df.sparkSession, path)
+
+
+def same_values(left: str, right: str, names: Sequence[str]) -> Column:
+    """A join condition between two aliased frames under which nulls are equal."""
+    pairs = [F.col(f"{left}.`{n}`").eqNullSafe(F.col(f"{right}.`{n}`")) for n in names]
+    return reduce(lambda a, b: a & b, pairs)
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -77,11 +98,21 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def describe(spark: SparkSession, table: str) -> list[tuple[str, str]]:
+    """What the catalog says about a table, as names and values in sections; runs no job."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return [(row["col_name"], row["data_type"]) for row in rows]
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     """Where the files of a catalog table live."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return described.filter("col_name = 'Location'").first()["data_type"]
+    return next(value for name, value in describe(spark, table) if name == "Location")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """The partition columns of a table: the first section after its columns, if there is one."""
+    names = [name for name, _ in describe(spark, table)]
+    if "# Partition Information" not in names:
+        return []
+    section = names[names.index("# Partition Information") + 1 :]
+    return [n for n in section[: section.index("")] if not n.startswith("# ")]

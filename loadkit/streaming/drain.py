@@ -7,13 +7,16 @@ folder that the ledger does not know as published.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
 from loadkit.operators.loading import LOAD_COLUMNS
-from loadkit.plans.run import LoadSpec, Run, Unit, open_run
+from loadkit.operators.units import plan_units
+from loadkit.plans.run import LoadSpec, Run, Unit, file_units, open_run
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 BATCH = "_batch"
@@ -46,13 +49,16 @@ def create_ledger(spark: SparkSession, ledger: str) -> None:
     )
 
 
-def note_units(spark: SparkSession, ledger: str, units: DataFrame, name: str, ctx: RunContext):
-    """Enter units into the ledger before their load is published."""
+def note_units(ledger: str, units: DataFrame, name: str, ctx: RunContext) -> None:
+    """Enter units into the ledger before any of their loads is published.
+
+    `units` has the unit and `unit_no`, which counts the loads of the run that are to come.
+    """
     entries = units.select(
         F.lit(name).alias("stream"),
         F.col(UNIT),
         F.lit(ctx.table_id).alias(TABLE_ID),
-        F.lit(ctx.commit_epoch).cast("int").alias(COMMIT_EPOCH),
+        (F.col("unit_no") + F.lit(ctx.commit_epoch)).cast("int").alias(COMMIT_EPOCH),
     )
     entries.write.insertInto(ledger)
 
@@ -79,19 +85,29 @@ def unpublished(
     return units.join(published_units(spark, ledger, core, name), UNIT, "left_anti")
 
 
-def _entry(spark: SparkSession, unit: str) -> DataFrame:
-    return spark.range(1).select(F.lit(unit).alias(UNIT))
-
+def load_unpublished(
+    run: Run,
+    listing: DataFrame,
+    read: Callable[[SparkSession, list[str]], DataFrame],
+    spec: LoadSpec,
+    ledger: str,
+    name: str,
+    target_bytes: int | None = None,
+) -> int:
+    """Load the files of a listing that are not yet published; return the number of loads.
 
-def load_once(run: Run, unit: Unit, spec: LoadSpec, ledger: str, name: str) -> bool:
-    """Load a unit into a core table made by `create_core`, unless it is already published."""
-    spark, core = run.spark, run.ctx.evaluate(spec.target)
-    entry = _entry(spark, unit.name)
-    if unpublished(spark, entry, ledger, core, name).isEmpty():
-        return False
-    note_units(spark, ledger, entry, name, run.ctx)
-    run.load(unit, spec)
-    return True
+    The target must be made by `create_core`. The ledger is read and written once per run, however
+    many units there are.
+    """
+    core = run.ctx.evaluate(spec.target)
+    waiting = unpublished(run.spark, listing, ledger, core, name)
+    planned = plan_units(waiting, target_bytes)
+    note_units(ledger, planned.select("unit_no", F.explode("paths").alias(UNIT)), name, run.ctx)
+    loads = 0
+    for unit in file_units(planned, read):
+        run.load(unit, spec)
+        loads += 1
+    return loads
 
 
 def landed_batches(spark: SparkSession, landing: str, schema) -> list[str]:
@@ -122,12 +138,13 @@ def run_stream(
         create_ledger(run.spark, ledger)
         core = run.ctx.evaluate(spec.target)
         done = {row[UNIT] for row in published_units(run.spark, ledger, core, name).collect()}
-        for batch in landed_batches(run.spark, landing, schema):
-            if batch in done:
-                continue
-            unit = _batch_unit(run.spark, landing, schema, batch)
-            note_units(run.spark, ledger, _entry(run.spark, batch), name, run.ctx)
-            run.load(unit, spec)
+        waiting = [b for b in landed_batches(run.spark, landing, schema) if b not in done]
+        numbered = run.spark.createDataFrame(
+            list(enumerate(waiting)), f"unit_no int, {UNIT} string"
+        )
+        note_units(ledger, numbered, name, run.ctx)
+        for batch in waiting:
+            run.load(_batch_unit(run.spark, landing, schema, batch), spec)
     return run.reports()
 
 

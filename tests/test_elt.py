@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadkit.context import with_context
+from loadkit.context import TableIdInUse, with_context
 from loadkit.operators import elt
 from loadkit.operators.elt import (
     MergeResult,
@@ -133,7 +133,7 @@ def test_merge_into_two_partition_columns(spark, db):
     assert rows(spark, f"{db}.core") == [(1, 1, "a", 1), (2, 9, "b", 1), (3, 8, "b", 1)]
 
 
-keyed = st.lists(st.tuples(st.integers(0, 8) | st.none(), st.integers(0, 9), st.sampled_from("abc")), max_size=12)
+keyed = st.lists(st.tuples(st.integers(0, 8) | st.none(), st.integers(0, 9), st.sampled_from(["a", "b", None])), max_size=12)
 
 
 @pytest.mark.parametrize("partition", [None, "p"])
@@ -149,7 +149,7 @@ def test_merge_agrees_with_a_dictionary(spark, db, partition, core, staged):
     latest = {}
     for k, v, p in staged:
         if k is not None:
-            latest[k] = max(latest.get(k, (k, v, p)), (k, v, p))
+            latest[k] = max(latest.get(k, (k, v, p)), (k, v, p), key=lambda r: (r[1], r[2] or ""))
     want.update(latest)
     nulls = [r for r in unique + staged if r[0] is None]
     assert rows(spark, name) == sorted([*want.values(), *nulls], key=repr)
@@ -210,6 +210,8 @@ def test_many_units_with_one_that_holds_most_rows(spark, db, ctx, gather):
     df = spark.range(3000).selectExpr("CAST(id AS INT) AS v", "IF(id % 3 = 0, 'hot', concat('u', id % 7)) AS u")
     create_core(spark, f"{db}.core", T.StructType.fromDDL("v int, u string"))
     counts = load_many(df, ["u"], f"{db}.core", ctx, gather)
+    with pytest.raises(TableIdInUse):
+        load_many(df, ["u"], f"{db}.core", ctx)
     got = {r["COMMIT_EPOCH"]: r["update_count"] for r in counts.collect()}
     want = {r["u"]: r["count"] for r in df.groupBy("u").count().collect()}
     assert got == {i: want[u] for i, u in enumerate(sorted(want))}

@@ -10,6 +10,7 @@ from loadkit.context import RunContext
 from loadkit.operators.loading import LOAD_COLUMNS, create_core, is_published, load_staged
 from loadkit.operators.loading import BadRecords
 from loadkit.operators.binding import bind_by_name
+from loadkit.operators.units import plan_units
 from loadkit.plans.report import (
     build_reports,
     explode_steps,
@@ -311,14 +312,14 @@ def test_files_are_units(spark, folder, core):
         (folder / f"{name}.json").write_text(json.dumps({"id": value, "v": 0.5}) + "\n")
     listing = list_units(spark, str(folder), "*.json")
     read = lambda s, paths: read_records(s, paths, "json", DDL(SCHEMA))
-    run_load(spark, file_units(listing, read), LoadSpec(core))
+    run_load(spark, file_units(plan_units(listing), read), LoadSpec(core))
     assert [tuple(r) for r in spark.table(core).select("id", "COMMIT_EPOCH").orderBy("id").collect()] == [
         (1, 0),
         (2, 1),
         (3, 2),
     ]
     size = listing.first()["_unit_size"]
-    binned = list(file_units(listing, read, target_bytes=2 * size))
+    binned = list(file_units(plan_units(listing, target_bytes=2 * size), read))
     assert [u.size for u in binned] == [2 * size, size]
     assert [r["id"] for r in binned[1].read(spark).collect()] == [3]
 

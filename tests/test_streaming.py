@@ -7,13 +7,13 @@ from pyspark.sql import types as T
 
 from loadkit.context import RunContext
 from loadkit.operators.loading import create_core
-from loadkit.plans.run import LoadSpec, Unit, open_run
+from loadkit.plans.run import LoadSpec, open_run
 from loadkit.sources.records import UNIT, list_units, read_records, read_unit_stream
 from loadkit.streaming.drain import (
     create_ledger,
     drain,
     landed_batches,
-    load_once,
+    load_unpublished,
     note_units,
     published_units,
     run_stream,
@@ -104,28 +104,39 @@ def test_malformed_units_of_a_stream_are_kept_out(spark, folder, queue, path, db
     assert spark.read.parquet(spec.failures).count() == 2
 
 
-def units(spark, folder):
-    listing = list_units(spark, str(folder), "*.json").orderBy(UNIT).collect()
-    return [
-        Unit(r[UNIT], r["_unit_size"], lambda s, p=r[UNIT]: read_records(s, p, "json", SCHEMA))
-        for r in listing
-    ]
+def read(session, paths):
+    return read_records(session, paths, "json", SCHEMA)
 
 
 def test_replayed_units_load_once(spark, folder, queue, db, core):
     spec, ledger = LoadSpec(core, fields=["id", "v"]), f"{db}.ledger"
+    listing = list_units(spark, str(folder), "*.json")
     with open_run(spark) as run:
-        assert [load_once(run, u, spec, ledger, "s") for u in units(spark, folder)[:2]] == [True, True]
-    with open_run(spark) as run:
-        done = [load_once(run, u, spec, ledger, "s") for u in units(spark, folder)]
-    assert done == [False, False, True]
+        first = listing.filter(f"{UNIT} NOT LIKE '%c.json'")
+        assert load_unpublished(run, first, read, spec, ledger, "s") == 2
+    for expected in (1, 0):
+        with open_run(spark) as run:
+            assert load_unpublished(run, listing, read, spec, ledger, "s") == expected
     assert ids(spark, core) == [1, 2, 3, 4, 5, 6]
-    listing = list_units(spark, str(folder), "*.json")
     assert unpublished(spark, listing, ledger, core, "s").isEmpty()
     assert unpublished(spark, listing, ledger, core, "other").count() == 3
 
 
+def test_a_stopped_run_is_finished_by_the_next(spark, folder, queue, db, core):
+    ledger = f"{db}.ledger"
+    listing = list_units(spark, str(folder), "*.json")
+    broken = LoadSpec(core, fields=["id", "v"], before_loading=["SELECT 1 / (1 - %COMMIT_EPOCH%)"])
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        with open_run(spark) as run:
+            load_unpublished(run, listing, read, broken, ledger, "s")
+    assert ids(spark, core) == [1, 2]
+    with open_run(spark) as run:
+        spec = LoadSpec(core, fields=["id", "v"])
+        assert load_unpublished(run, listing, read, spec, ledger, "s", target_bytes=10_000) == 1
+    assert ids(spark, core) == [1, 2, 3, 4, 5, 6]
+
+
 def test_an_entry_without_a_load_does_not_count(spark, db, core):
     ledger = f"{db}.ledger"
-    note_units(spark, ledger, spark.sql(f"SELECT 'u' AS {UNIT}"), "s", RunContext("0123abcdef"))
+    note_units(ledger, spark.sql(f"SELECT 'u' AS {UNIT}, 0 AS unit_no"), "s", RunContext("0123abcdef"))
     assert published_units(spark, ledger, core, "s").isEmpty()

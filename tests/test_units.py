@@ -39,9 +39,9 @@ def test_bins_hold_whole_units(spark):
 
 
 def test_context_of_many_units(spark, ctx):
-    df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3)], "u string, v int")
+    df = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), (None, 4)], "u string, v int")
     rows = load_context(df, ["u"], ctx.next_epoch()).collect()
-    assert sorted((r["v"], r["COMMIT_EPOCH"]) for r in rows) == [(1, 2), (2, 1), (3, 2)]
+    assert sorted((r["v"], r["COMMIT_EPOCH"]) for r in rows) == [(1, 3), (2, 2), (3, 3), (4, 1)]
 
 
 def test_unit_policy_with_a_unit_of_a_third_of_all_rows(spark):
@@ -71,10 +71,11 @@ def test_unknown_policy(spark):
 ROUTES = [(1, "a"), (2, "b"), (3, ""), (4, None), (5, "c"), (6, "x=1/y")]
 
 
-def test_routes(spark):
+@pytest.mark.parametrize("gather", [False, True])
+def test_routes(spark, gather):
     df = spark.createDataFrame(ROUTES, "i int, r string")
     control = spark.createDataFrame([("a", "t1"), ("b", "t1"), ("", "t2"), ("x=1/y", "t3")], "r string, target string")
-    got = {t: sorted(r["i"] for r in rows.collect()) for t, rows in route(df, control, "r").items()}
+    got = {t: sorted(r["i"] for r in rows.collect()) for t, rows in route(df, control, "r", gather).items()}
     assert got == {"t1": [1, 2], "t2": [3], "t3": [6], None: [4, 5]}
 
 
