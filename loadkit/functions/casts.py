@@ -54,14 +54,18 @@ def record_type(field: T.StructField) -> str:
     return kind
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
 def millis_to_timestamp(millis: Column, target: T.DataType) -> Column:
     """Epoch milliseconds to a timestamp; out-of-range values become null."""
     millis = millis.try_cast("bigint")
     if isinstance(target, T.TimestampNTZType):
-        value = F.timestamp_add("MILLISECOND", millis, F.lit("1970-01-01").cast("timestamp_ntz"))
+        value = F.timestamp_add("MILLISECOND", millis, _epoch())
     else:
         value = F.timestamp_millis(millis)
-    return F.when(F.abs(millis.try_cast("decimal(20,0)")) <= MAX_EPOCH_MILLIS, value)
+    return F.when(millis.between(-MAX_EPOCH_MILLIS, MAX_EPOCH_MILLIS), value)
 
 
 def truncate_to_millis(ts: Column, source: T.DataType) -> Column:
@@ -91,16 +95,10 @@ def time_millis(value: Column) -> Column:
 
 def time_text(value: Column) -> Column:
     """Milliseconds of day as `HH:mm:ss.SSS`, independent of the session time zone."""
-    millis = time_millis(value)
-    seconds = F.floor(millis / 1000)
-    text = F.format_string(
-        "%02d:%02d:%02d.%03d",
-        F.floor(seconds / 3600),
-        F.floor(seconds / 60) % 60,
-        seconds % 60,
-        millis % 1000,
-    )
-    return F.when(millis.isNotNull(), text)
+    moment = F.timestamp_add("MILLISECOND", time_millis(value), _epoch())
+    time = F.substr(moment.cast("string"), F.lit(12))
+    # The text of a timestamp leaves out zeros at the end.
+    return F.rpad(F.when(F.length(time) == 8, F.concat(time, F.lit("."))).otherwise(time), 12, "0")
 
 
 def cast_expr(source: T.StructField, target: T.DataType, value: Column | None = None) -> Column:

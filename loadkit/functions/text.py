@@ -11,5 +11,6 @@ def blank_delimiters(text: Column, sep: str, replacement: str = " ") -> Column:
 
     A NUL goes as well: it marks "no quote character" for the reader and would be taken as a quote.
     """
-    reserved = sep + "\n\r\0"
-    return F.translate(text, reserved, replacement * len(reserved))
+    for reserved in (sep, "\n", "\r", "\0"):
+        text = F.replace(text, F.lit(reserved), F.lit(replacement))
+    return text

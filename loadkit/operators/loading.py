@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, TableIdInUse
-from loadkit.operators.binding import ERROR, bind_by_name
+from loadkit.operators.binding import ERROR, bind_by_name, strict
 from loadkit.operators.units import load_context, unit_counts
-from loadkit.session import discard, scratch_path, table_location
+from loadkit.session import table_location
 from loadkit.sources.delimited import read_delimited
 from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
@@ -97,7 +97,8 @@ def load_delimited(
 ) -> LoadResult:
     """Bulk load delimited files whose header names columns of the table.
 
-    Any malformed record or failed cast leaves the table as it was.
+    Read, cast and written in one pass. Any malformed record or failed cast fails the job, which
+    leaves the table as it was.
     """
     text = read_delimited(spark, paths, sep, charset)
     target = spark.table(table).schema
@@ -105,13 +106,7 @@ def load_delimited(
     unknown = [c for c in text.columns if c not in added and c not in target.fieldNames()]
     if unknown:
         raise SchemaMissing(f"{table} has no columns {unknown}")
-    bound = bind_by_name(text, target, on_absent="default", keep=(UNIT,), errors=True)
-    landed = land(bound, scratch_path(spark, "landing"))
-    if landed.bad:
-        raise BadRecords(landed)
-    result = load_batch(landed_rows(spark, landed, target), table)
-    discard(spark, landed.location)
-    return LoadResult(result.rows, landed.start, result.stop)
+    return load_batch(strict(bind_by_name(text, target, on_absent="default", errors=True)), table)
 
 
 class BadRecords(ValueError):
