@@ -21,40 +21,47 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
-           CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal
-    FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 <> 0
+           CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal
+    FROM customer
+    UNION ALL
+    SELECT c_custkey + 1000000000000, c_name, c_nationkey, c_mktsegment, c_acctbal FROM customer
 """)
 def merge_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two staged versions per key; the later one replaces or extends the core rows."""
+    """Some customers change twice, others stay, and as many new ones arrive."""
     core = f"{workspace(spark)}.customer_core"
     customers = table(spark, sf_dir, "customer")
-    customers.filter("c_custkey % 2 = 0").write.saveAsTable(core)
-    changed = customers.filter("c_custkey % 3 <> 0")
-    staged = changed.withColumns({"c_acctbal": F.col("c_acctbal") + 10, "version": F.lit(1)}).union(
-        changed.withColumns({"c_acctbal": F.col("c_acctbal") + 100, "version": F.lit(2)})
-    )
+    customers.write.saveAsTable(core)
+    changed = customers.filter("c_mktsegment <> 'HOUSEHOLD'")
+    new_key = F.col("c_custkey") + F.lit(1_000_000_000_000)
+    versions = [
+        changed.withColumns({"c_acctbal": F.col("c_acctbal") + 10, "version": F.lit(1)}),
+        changed.withColumns({"c_acctbal": F.col("c_acctbal") + 100, "version": F.lit(2)}),
+        customers.withColumns({"c_custkey": new_key, "version": F.lit(1)}),
+    ]
+    staged = versions[0].unionByName(versions[1]).unionByName(versions[2])
     publish_merge(spark, core, staged, ["c_custkey"], ["version"])
     return spark.table(core)
 
 
 @query("""
-    SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS o_totalprice,
-           CASE WHEN o_orderkey % 4 = 0 AND o_orderpriority = '5-LOW' THEN '1-URGENT'
+    SELECT o_orderkey, o_orderstatus,
+           o_totalprice + CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS o_totalprice,
+           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '1-URGENT'
                 ELSE o_orderpriority END AS o_orderpriority
     FROM orders
 """)
 def merge_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge that moves rows between the partitions of the core table."""
     core = f"{workspace(spark)}.orders_core"
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
+    )
     orders.write.partitionBy("o_orderpriority").saveAsTable(core)
-    staged = orders.filter("o_orderkey % 4 = 0").withColumns(
-        {
-            "o_totalprice": F.col("o_totalprice") + 1,
-            "o_orderpriority": F.expr(
-                "CASE WHEN o_orderpriority = '5-LOW' THEN '1-URGENT' ELSE o_orderpriority END"
-            ),
-        }
+    raised = F.when(F.col("o_orderpriority") == "5-LOW", "1-URGENT").otherwise(
+        F.col("o_orderpriority")
+    )
+    staged = orders.filter("o_orderstatus = 'P'").withColumns(
+        {"o_totalprice": F.col("o_totalprice") + 1, "o_orderpriority": raised}
     )
     publish_merge(spark, core, staged, ["o_orderkey"])
     return spark.table(core)

@@ -28,7 +28,7 @@ def drain(stream: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
     The folder of a micro-batch is named by its time, which the checkpoint keeps: a batch that runs
     again after a failure gets the same name.
     """
-    named = stream.withColumn(BATCH, F.date_format(F.current_timestamp(), "yyyyMMddHHmmssSSS"))
+    named = stream.withColumn(BATCH, F.unix_millis(F.current_timestamp()).cast("string"))
     query = (
         named.writeStream.format("parquet")
         .option("path", landing)
