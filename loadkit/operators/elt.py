@@ -228,24 +228,27 @@ def loaded_rows(df: DataFrame, ctx: RunContext) -> DataFrame:
     return df.filter(load_rows(ctx))
 
 
-def purge(spark: SparkSession, table: str, ctx: RunContext) -> None:
-    """Delete the rows of one load once ELT is done with them.
+def purge(spark: SparkSession, table: str, ctx: RunContext) -> int:
+    """Delete the rows of one load once ELT is done with them; return how many.
 
     A table partitioned by load drops the partition. Any other table is rewritten without the rows,
     in the partitions that hold some of them.
     """
     partitions = partition_columns(spark, table)
+    before = spark.table(table)
     if set(LOAD_COLUMNS) == set(partitions):
+        rows = loaded_rows(before, ctx).count()
         drop_partition(spark, table, {TABLE_ID: ctx.table_id, COMMIT_EPOCH: ctx.commit_epoch})
-        return
-    before = spark.table(table)
+        return rows
+    rows = before.count()
     if not partitions:
         replace_rows(spark, table, before.filter(~load_rows(ctx)))
-        return
-    touched = before.filter(load_rows(ctx)).select(*partitions).distinct()
-    with materialised(touched, "touched") as touched:
-        kept = in_partitions(before, touched, partitions).filter(~load_rows(ctx))
-        rewrite_partitions(spark, table, kept, touched, partitions, can_empty=True)
+    else:
+        touched = loaded_rows(before, ctx).select(*partitions).distinct()
+        with materialised(touched, "touched") as touched:
+            kept = in_partitions(before, touched, partitions).filter(~load_rows(ctx))
+            rewrite_partitions(spark, table, kept, touched, partitions, can_empty=True)
+    return rows - spark.table(table).count()
 
 
 def drop_staging(spark: SparkSession, name: str, ctx: RunContext) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from loadkit.functions.text import blank_delimiters
 from loadkit.session import setting
-from loadkit.sources.records import read_records
+from loadkit.sources.records import SchemaMissing, read_records
 
 # An empty quote option switches quoting off, so quote characters are data.
 _NO_QUOTES = {"quote": "", "header": True}
@@ -36,6 +36,8 @@ def read_delimited(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     names = list(columns) if columns else read_header(spark, paths[0], sep, charset)
+    if not names:
+        raise SchemaMissing(f"{paths[0]} has no header")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     return read_records(
         spark,

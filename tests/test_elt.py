@@ -185,10 +185,10 @@ def test_purge_deletes_one_load(spark, db, ctx, layout):
         stamped = with_context(df, c)
         stamped.select(*spark.table(name).columns).write.insertInto(name)
     assert loaded_rows(spark.table(name), ctx.next_epoch()).count() == 1
-    purge(spark, name, ctx)
+    assert purge(spark, name, ctx) == 2
     left = [] if layout == "load" else [9]
     assert sorted(r["k"] for r in spark.table(name).collect()) == [*left, 12]
-    purge(spark, name, ctx)
+    assert purge(spark, name, ctx) == 0
     assert spark.table(name).count() == len(left) + 1
 
 

@@ -63,6 +63,16 @@ def test_files_with_different_headers_are_refused(spark, folder):
         read_delimited(spark, str(folder)).collect()
 
 
+def test_units_without_records(spark, folder, db):
+    (folder / "a.csv").write_text("id|n\n")
+    spark.sql(f"CREATE TABLE {db}.t (id INT, n STRING) USING parquet")
+    assert load_delimited(spark, str(folder), f"{db}.t").rows == 0
+    (folder / "empty").mkdir()
+    (folder / "empty" / "a.csv").write_text("")
+    with pytest.raises(SchemaMissing, match="no header"):
+        read_delimited(spark, str(folder / "empty"))
+
+
 def test_unknown_columns_are_refused(spark, folder, db):
     (folder / "a.csv").write_text("id|other\n1|x\n")
     spark.sql(f"CREATE TABLE {db}.t (id INT) USING parquet")
