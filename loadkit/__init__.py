@@ -20,7 +20,7 @@ from loadkit.operators.loading import (
 )
 from loadkit.operators.routing import route, split_bad
 from loadkit.operators.units import bin_units, plan_units
-from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load
+from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load, run_routes
 from loadkit.session import build_session
 from loadkit.sources.delimited import read_delimited, write_delimited
 from loadkit.sources.records import list_units, read_records, read_unit_stream
@@ -58,6 +58,7 @@ __all__ = [
     "rollup",
     "route",
     "run_load",
+    "run_routes",
     "run_stream",
     "split_bad",
     "write_delimited",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ from loadkit.operators.loading import (
 )
 from loadkit.operators.routing import route
 from loadkit.operators.units import bin_units, load_context, unit_counts
+from loadkit.plans.run import run_routes
 from loadkit.sources.records import UNIT, read_records
 
 LINEITEM_FIELDS = [
@@ -127,14 +130,29 @@ def route_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.select(F.lit(target).alias("target"), "event_id")
         for target, rows in route(events, control, "event_type").items()
     ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union.groupBy("target").agg(
+    return reduce(DataFrame.unionByName, parts).groupBy("target").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event")
     )
 
 
+@query("SELECT event_type, event_id, CAST(value AS DECIMAL(12,2)) AS amount FROM events")
+def route_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event type is loaded into a table of its own, with statements from a control table."""
+    db = workspace(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    control = events.select("event_type").distinct().selectExpr(
+        "event_type",
+        f"concat('{db}.', event_type) AS target",
+        "array('event_id', 'value') AS fields",
+        f"""array(concat('CREATE TABLE {db}.', event_type,
+            ' (event_id BIGINT, amount DECIMAL(12,2)) USING parquet')) AS before_loading""",
+    )
+    run_routes(spark, events, control, "event_type")
+    names = [row["tableName"] for row in spark.sql(f"SHOW TABLES IN {db}").collect()]
+    parts = [spark.table(f"{db}.{n}").withColumn("event_type", F.lit(n)) for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("""
     SELECT o_orderkey, o_totalprice, o_orderpriority FROM (
         SELECT *, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS epoch FROM orders)

@@ -219,8 +219,12 @@ def replace_rows(
 
 def load_rows(ctx: RunContext) -> Column:
     """A filter on the rows of one load; partition values on a core table made by `create_core`."""
-    same_run = F.col(TABLE_ID).eqNullSafe(F.lit(ctx.table_id))
-    return same_run & F.col(COMMIT_EPOCH).eqNullSafe(F.lit(ctx.commit_epoch))
+    return (F.col(TABLE_ID) == ctx.table_id) & (F.col(COMMIT_EPOCH) == ctx.commit_epoch)
+
+
+def other_rows(ctx: RunContext) -> Column:
+    """A filter on all rows but those of one load, rows that belong to no load included."""
+    return ~F.coalesce(load_rows(ctx), F.lit(False))
 
 
 def loaded_rows(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -242,11 +246,11 @@ def purge(spark: SparkSession, table: str, ctx: RunContext) -> int:
         return rows
     rows = before.count()
     if not partitions:
-        replace_rows(spark, table, before.filter(~load_rows(ctx)))
+        replace_rows(spark, table, before.filter(other_rows(ctx)))
     else:
         touched = loaded_rows(before, ctx).select(*partitions).distinct()
         with materialised(touched, "touched") as touched:
-            kept = in_partitions(before, touched, partitions).filter(~load_rows(ctx))
+            kept = in_partitions(before, touched, partitions).filter(other_rows(ctx))
             rewrite_partitions(spark, table, kept, touched, partitions, can_empty=True)
     return rows - spark.table(table).count()
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadkit.operators.binding import ERROR
 from loadkit.session import materialise, same_values, scratch_path
@@ -39,26 +42,54 @@ def split_bad(
     return rows.join(failed, same, "left_anti"), rows.join(failed, same, "left_semi")
 
 
-def land_routes(df: DataFrame, on: str, gather: bool = False) -> DataFrame:
-    """Write rows once into a folder per route and read them back.
+@dataclass(frozen=True)
+class LandedRoutes:
+    """Rows in a folder per route. The route is also a column of the files: a folder name cannot
+    tell null from empty text."""
+
+    path: str
+    schema: T.StructType
+    on: str
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        folder = T.StructField(_FOLDER, T.StringType())
+        return spark.read.schema(T.StructType([*self.schema.fields, folder])).parquet(self.path)
+
+    def rows(self, spark: SparkSession, keys: Sequence) -> DataFrame:
+        """The rows of the given routes; no other folder is opened."""
+        folders = [str(k) for k in keys if k not in (None, "")]
+        folder = F.col(_FOLDER).isin(folders)
+        if len(folders) < len(keys):
+            folder = folder | F.col(_FOLDER).isNull()
+        return self.read(spark).filter(folder & F.col(self.on).isin(list(keys))).drop(_FOLDER)
+
+    def rest(self, spark: SparkSession, keys: Sequence) -> DataFrame:
+        """The rows of all other routes, and those without a route."""
+        known = F.coalesce(F.col(self.on).isin(list(keys)), F.lit(False)) if keys else F.lit(False)
+        return self.read(spark).filter(~known).drop(_FOLDER)
+
+
+def land_routes(df: DataFrame, on: str, gather: bool = False) -> LandedRoutes:
+    """Write rows once into a folder per route.
 
     Every task writes a file per route, without a shuffle. With many routes the files get small;
-    `gather` shuffles rows by route first, and splits routes that hold many rows. The route itself
-    stays a column of the files: a folder name cannot tell null from empty text.
+    `gather` shuffles rows by route first, and splits routes that hold many rows.
     """
     path = scratch_path(df.sparkSession, "routes")
     foldered = df.withColumn(_FOLDER, F.col(on).cast("string"))
     if gather:
         foldered = foldered.hint("rebalance", _FOLDER)
     foldered.write.partitionBy(_FOLDER).parquet(path)
-    return df.sparkSession.read.schema(foldered.schema).parquet(path)
+    return LandedRoutes(path, df.schema, on)
 
 
-def route_rows(keys: Sequence) -> Column:
-    """A filter on landed routes that opens only the folders of the given keys."""
-    folders = [str(k) for k in keys if k not in (None, "")]
-    folder = F.col(_FOLDER).isin(folders)
-    return folder if len(folders) == len(keys) else folder | F.col(_FOLDER).isNull()
+def read_control(control: DataFrame, on: str) -> list[Row]:
+    """The rows of a control table: configuration of a row per route, which the driver acts on."""
+    rows = control.collect()
+    for key, times in Counter(row[on] for row in rows).items():
+        if times > 1:
+            raise ValueError(f"route {key!r} is given {times} times")
+    return rows
 
 
 def route(
@@ -66,23 +97,14 @@ def route(
 ) -> dict[str | None, DataFrame]:
     """The rows for each target named in the control table, and under `None` those without one.
 
-    `control` has a row per route with at least the columns `on` and `target`. Each target is loaded
-    with its own statements, so the control table is configuration that the driver reads.
+    `control` has a row per route with at least the columns `on` and `target`.
     """
-    landed = land_routes(df, on, gather)
+    spark, landed = df.sparkSession, land_routes(df, on, gather)
     routes: dict[str, list] = {}
-    seen = set()
-    for row in control.select(on, "target").collect():
-        if row[on] in seen:
-            raise ValueError(f"route {row[on]!r} is given twice")
-        seen.add(row[on])
+    for row in read_control(control, on):
         routes.setdefault(row["target"], []).append(row[on])
-    targets: dict[str | None, DataFrame] = {
-        target: landed.filter(route_rows(keys) & F.col(on).isin(keys)).drop(_FOLDER)
-        for target, keys in routes.items()
-    }
-    known = F.coalesce(F.col(on).isin(list(seen)), F.lit(False)) if seen else F.lit(False)
-    targets[None] = landed.filter(~known).drop(_FOLDER)
+    targets: dict[str | None, DataFrame] = {t: landed.rows(spark, k) for t, k in routes.items()}
+    targets[None] = landed.rest(spark, [key for keys in routes.values() for key in keys])
     return targets
 
 

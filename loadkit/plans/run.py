@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
@@ -22,7 +24,7 @@ from loadkit.operators.loading import (
     load_location,
     publish_attach,
 )
-from loadkit.operators.routing import UNIT_POLICY, split_bad
+from loadkit.operators.routing import UNIT_POLICY, land_routes, read_control, split_bad
 from loadkit.plans.report import build_reports, report_row, write_reports
 from loadkit.plans.scripts import Statement, Step, now_millis, run_script
 from loadkit.session import discard, partition_columns, scratch_path
@@ -235,12 +237,62 @@ def run_load(
     after_connected: Sequence[Statement] | None = None,
     before_disconnecting: Sequence[Statement] | None = None,
     ctx: RunContext | None = None,
+    parallel: int = 1,
 ) -> DataFrame:
-    """Load every waiting unit in one run and return the reports.
+    """Load every waiting unit and return the reports.
 
     Every unit is a Spark job over all executors. Loads of many small files should bin them first.
+    `parallel` bounds the units that load at a time: as many runs, each with a context and a session
+    of its own, take units from the same queue. Scripts that rewrite one table, such as a merge, must
+    not run side by side.
     """
-    with open_run(spark, after_connected, before_disconnecting, ctx) as run:
-        for unit in units:
-            run.load(unit, spec)
-    return run.reports()
+    if parallel > 1 and ctx:
+        raise ValueError("runs side by side need a context each")
+    queue, taking = iter(units), threading.Lock()
+    stop = threading.Event()
+
+    def take() -> Unit | None:
+        with taking:
+            return None if stop.is_set() else next(queue, None)
+
+    def work() -> Run:
+        try:
+            with open_run(spark, after_connected, before_disconnecting, ctx) as run:
+                while unit := take():
+                    run.load(unit, spec)
+            return run
+        except BaseException:
+            stop.set()
+            raise
+
+    if parallel == 1:
+        return work().reports()
+    with ThreadPoolExecutor(parallel) as pool:
+        runs = [future.result() for future in [pool.submit(work) for _ in range(parallel)]]
+    return build_reports(spark, [row for run in runs for row in run.rows])
+
+
+def run_routes(
+    spark: SparkSession,
+    df: DataFrame,
+    control: DataFrame,
+    on: str,
+    gather: bool = False,
+    ctx: RunContext | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Load the rows of every route into its own target with its own bindings and scripts.
+
+    `control` has a row per route: `on`, `target` and optionally `fields`, `before_loading`,
+    `before_publish` and `after_loaded`, each an array of text. The rows are written once and each
+    load reads its own. Returns the reports and the rows that no route takes.
+    """
+    landed = land_routes(df, on, gather)
+    rows = read_control(control, on)
+    with open_run(spark, ctx=ctx) as run:
+        for row in rows:
+            settings = row.asDict()
+            key, target = settings.pop(on), settings.pop("target")
+            given = {name: value for name, value in settings.items() if value is not None}
+            unit = Unit(str(key), 0, lambda session, key=key: landed.rows(session, [key]))
+            run.load(unit, LoadSpec(target, **given))
+    return run.reports(), landed.rest(spark, [row[on] for row in rows])

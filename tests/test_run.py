@@ -22,7 +22,7 @@ from loadkit.plans.report import (
     with_meantime,
     write_reports,
 )
-from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load
+from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load, run_routes
 from loadkit.plans.scripts import (
     ResultSet,
     Step,
@@ -324,6 +324,42 @@ def test_files_are_units(spark, folder, core):
     assert [r["id"] for r in binned[1].read(spark).collect()] == [3]
 
 
+def test_runs_side_by_side(spark, core):
+    units = [unit(f"u{i}", [(str(i), "0.5")]) for i in range(8)]
+    spec = LoadSpec(core, before_publish=["SELECT count(*) AS n FROM landed_%TABLE_ID%_%COMMIT_EPOCH%"])
+    reports = run_load(spark, units, spec, after_connected=["SELECT 1 AS a"], parallel=3)
+    assert ids(spark, core) == list(range(8))
+    loads = reports.filter("load IS NOT NULL").select("attributes.*").collect()
+    assert len({tuple(r) for r in loads}) == 8
+    assert reports.filter("load IS NULL").count() == 3
+    with pytest.raises(ValueError, match="context each"):
+        run_load(spark, [], spec, ctx=RunContext("x"), parallel=2)
+
+
+def test_an_error_stops_runs_side_by_side(spark, core):
+    units = [BAD, *(unit(f"u{i}", [(str(i), "0.5")]) for i in range(20))]
+    with pytest.raises(Exception, match="cannot load record"):
+        run_load(spark, units, LoadSpec(core, failure="raise"), parallel=2)
+    assert spark.table(core).count() < 20
+
+
+def test_every_route_has_its_own_target_and_scripts(spark, db, path):
+    rows = [(1, "a", "0.5"), (2, "b", "1.5"), (3, "a", "2.5"), (4, "c", "3.5"), (5, None, "4.5")]
+    df = spark.createDataFrame(rows, "i int, r string, v string")
+    control = spark.createDataFrame(
+        [
+            ("a", f"{db}.ta", ["v", "i"], [f"CREATE TABLE {db}.ta (x DOUBLE, y INT) USING parquet"]),
+            ("b", f"{db}.tb_%COMMIT_EPOCH%", None, [f"CREATE TABLE {db}.tb_%COMMIT_EPOCH% (i INT) USING parquet"]),
+        ],
+        "r string, target string, fields array<string>, before_loading array<string>",
+    )
+    reports, rest = run_routes(spark, df, control, "r")
+    assert [r["load"]["updateCount"] for r in reports.collect()] == [2, 1]
+    assert sorted(tuple(r) for r in spark.table(f"{db}.ta").collect()) == [(0.5, 1), (2.5, 3)]
+    assert [tuple(r) for r in spark.table(f"{db}.tb_1").collect()] == [(2,)]
+    assert sorted(r["i"] for r in rest.collect()) == [4, 5]
+
+
 def test_load_columns_do_not_leak(spark, core):
     run_load(spark, [GOOD], LoadSpec(core))
     assert spark.table(core).columns == ["id", "v", *LOAD_COLUMNS]
