@@ -3,9 +3,11 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.context import RunContext
+from loadkit.operators.elt import rollup
 from loadkit.operators.loading import create_core
 from loadkit.plans.run import LoadSpec, open_run
 from loadkit.sources.records import UNIT, list_units, read_records, read_unit_stream
@@ -140,3 +142,22 @@ def test_an_entry_without_a_load_does_not_count(spark, db, core):
     ledger = f"{db}.ledger"
     note_units(ledger, spark.sql(f"SELECT 'u' AS {UNIT}, 0 AS unit_no"), "s", RunContext("0123abcdef"))
     assert published_units(spark, ledger, core, "s").isEmpty()
+
+
+def test_a_stream_is_rolled_up_behind_its_watermark(spark, folder, path):
+    lines = [json.dumps({"ts": f"2024-01-01 0{h}:{m}:00", "v": h}) for h in (0, 1, 5) for m in (10, 50)]
+    (folder / "a.json").write_text("\n".join(lines) + "\n")
+    schema = T.StructType().add("ts", T.TimestampType()).add("v", T.IntegerType())
+    source = read_unit_stream(spark, str(folder), "json", schema)
+    hourly = rollup(source, "ts", "1 hour", [], {"n": F.count(F.lit(1))}, watermark="1 hour")
+    out = path("hourly")
+    query = (
+        hourly.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", path("checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    got = spark.read.schema("bucket timestamp, n long").parquet(out).collect()
+    assert sorted((r["bucket"].hour, r["n"]) for r in got) == [(0, 2), (1, 2)]
