@@ -87,7 +87,10 @@ def cast_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(table(spark, sf_dir, "lineitem"), fields, target)
 
 
-@query("SELECT event_id, date_trunc('millisecond', ts) AS ts, date_trunc('millisecond', ts) AS ts_native FROM events")
+@query("""
+    SELECT event_id, date_trunc('millisecond', ts) AS ts, date_trunc('millisecond', ts) AS ts_native
+    FROM events
+""")
 def cast_epoch_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     millis = f"timestampdiff(MILLISECOND, {EPOCH_START}, ts) AS millis"
     records = table(spark, sf_dir, "events").selectExpr("event_id", millis, "ts")

@@ -120,7 +120,10 @@ def placeholder_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", statement.alias("statement"))
 
 
-@query("SELECT 'core_' || event_type AS target, count(*) AS n, max(event_id) AS last_event FROM events GROUP BY event_type")
+@query("""
+    SELECT 'core_' || event_type AS target, count(*) AS n, max(event_id) AS last_event
+    FROM events GROUP BY event_type
+""")
 def route_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flow into several targets: the rows are written once, each target reads its own."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type")

@@ -64,7 +64,11 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
-@query("SELECT c_name, c_custkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment || chr(233) AS segment FROM customer")
+@query("""
+    SELECT c_name, c_custkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal,
+           c_mktsegment || chr(233) AS segment
+    FROM customer
+""")
 def delimited_charset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Another delimiter, another charset, and large units merged from small packages."""
     customers = table(spark, sf_dir, "customer").select(

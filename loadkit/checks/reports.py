@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadkit.checks import query, table, workspace
 from loadkit.context import RunContext
@@ -164,11 +165,9 @@ def report_step_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports as JSON text."""
-    reports = _order_reports(spark, sf_dir).select(
+    reports = _order_reports(spark, sf_dir).selectExpr(
         "attributes",
-        F.transform("steps", lambda s: F.struct(s["name"].alias("name"), s["meantime"].alias("meantime"))).alias(
-            "steps"
-        ),
+        "transform(steps, s -> named_struct('name', s.name, 'meantime', s.meantime)) AS steps",
     )
     epoch = F.get_json_object("report", "$.attributes.COMMIT_EPOCH").cast("int")
     return report_json(reports).select(epoch.alias("COMMIT_EPOCH"), "report")
@@ -192,8 +191,6 @@ def run_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that binds SQL expressions and attaches the load to its core table."""
     core = f"{workspace(spark)}.part_core"
     part = table(spark, sf_dir, "part")
-    from pyspark.sql import types as T
-
     create_core(spark, core, T.StructType.fromDDL("part_key BIGINT, brand STRING"))
     spec = LoadSpec(target=core, expressions={"part_key": "p_partkey", "brand": "upper(p_brand)"})
     unit = Unit("part", 0, lambda s: s.read.schema(part.schema).parquet(f"{sf_dir}/part.parquet"))

@@ -235,8 +235,8 @@ def loaded_rows(df: DataFrame, ctx: RunContext) -> DataFrame:
 def purge(spark: SparkSession, table: str, ctx: RunContext) -> int:
     """Delete the rows of one load once ELT is done with them; return how many.
 
-    A table partitioned by load drops the partition. Any other table is rewritten without the rows,
-    in the partitions that hold some of them.
+    A table partitioned by load drops the partition (whose files stay if the table is external).
+    Any other table is rewritten without the rows, in the partitions that hold some of them.
     """
     partitions = partition_columns(spark, table)
     before = spark.table(table)

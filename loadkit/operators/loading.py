@@ -76,8 +76,8 @@ def load_batch(df: DataFrame, table: str) -> LoadResult:
     """Append a bound frame to a table in one job and count the rows on the way.
 
     Columns go to those of the same name, in any order; the table's defaults fill the ones that the
-    frame lacks. The append is committed as a whole or not at all. The rows are counted in the writing stage, whose tasks each report once however
-    often they are retried.
+    frame lacks. The append is committed as a whole or not at all. The rows are counted in the
+    writing stage, whose tasks each report once however often they are retried.
     """
     spark = df.sparkSession
     start = now_millis()
@@ -132,18 +132,15 @@ def land(df: DataFrame, location: str) -> LoadResult:
     return LoadResult(found["rows"], start, now_millis(), found.get("bad", 0), location)
 
 
-def landed_rows(
-    spark: SparkSession, landed: LoadResult, target: T.StructType, extra: Sequence[str] = ()
-) -> DataFrame:
-    """Read a landing back; `extra` names passed-through text columns such as the unit."""
-    fields = [*target.fields, *(T.StructField(name, T.StringType()) for name in extra)]
-    return spark.read.schema(T.StructType(fields)).parquet(landed.location)
+def landed_rows(spark: SparkSession, landed: LoadResult, schema: T.StructType) -> DataFrame:
+    """Read the given columns of a landing back."""
+    return spark.read.schema(schema).parquet(landed.location)
 
 
 def load_location(spark: SparkSession, core: str, ctx: RunContext, part: str = "") -> str:
-    """Where the files of a load go: below the core table, in a folder no reader looks into yet."""
-    folder = f"{TABLE_ID}={ctx.table_id}/{COMMIT_EPOCH}={ctx.commit_epoch}"
-    return f"{table_location(spark, core)}{part}/{folder}"
+    """Where the files of a load go: below the core table, in a folder that only the partition of
+    the load will point to. Its name keeps a repair of the table's partitions from finding it."""
+    return f"{table_location(spark, core)}/_loads/{ctx.table_id}/{ctx.commit_epoch}{part}"
 
 
 def publish_attach(spark: SparkSession, core: str, location: str, ctx: RunContext) -> None:
@@ -188,11 +185,12 @@ def load_many(
 ) -> DataFrame:
     """Load the units of a frame in one job, each under an epoch of its own; return their counts.
 
-    Raises when epochs of this run, from its current one on, are in the table already.
-
     The job for a large number of small units: its cost depends on the rows and not on the number of
-    units. The whole set is committed at once. Rows are not shuffled unless `gather` asks for few
-    files per unit; a unit that holds many rows is split then. The counts come from file footers.
+    units. All files are written before any unit is visible; the partitions are then added in as few
+    catalog calls as the catalog allows. Rows are not shuffled unless `gather` asks for few files per
+    unit; a unit that holds many rows is split then. The counts come from file footers.
+
+    Raises when epochs of this run, from its current one on, are in the table already.
     """
     spark = df.sparkSession
     taken = spark.sql(f"SHOW PARTITIONS {core} PARTITION ({TABLE_ID} = '{ctx.table_id}')")

@@ -208,7 +208,7 @@ def load_unit(
     rows = rows.drop(UNIT, ERROR, RAW)
     if attach and landed.bad:
         # A second folder beside the first: what was landed stays for inspection.
-        kept = land(rows, load_location(spark, target, ctx, "--good"))
+        kept = land(rows, load_location(spark, target, ctx, "-good"))
         landed = replace(kept, bad=landed.bad, start=landed.start)
         rows = landed_rows(spark, landed, rows.schema)
     before_publish(rows)

@@ -17,8 +17,12 @@ def main() -> int:
     spark = build_session(
         "check",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-           "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf_dir), 0
@@ -35,7 +39,9 @@ def main() -> int:
         except Exception:
             found = [traceback.format_exc()[-1500:]]
         failed += bool(found)
-        print(f"{'FAIL' if found else 'ok':5}{name:28}{time.time() - start:6.2f}s", *found, sep="\n      "[: 1 if not found else None])
+        print(f"{'FAIL' if found else 'ok':5}{name:28}{time.time() - start:6.2f}s")
+        for line in found:
+            print("      ", line)
     print(f"{failed} failed")
     return failed
 

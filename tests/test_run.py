@@ -270,6 +270,8 @@ def test_staged_load_refuses_bad_records(spark, core, ctx):
         load_staged(bind_by_name(frame, DDL(SCHEMA), errors=True), core, ctx)
     assert spark.table(core).isEmpty()
     assert not is_published(spark, core, ctx)
+    spark.sql(f"MSCK REPAIR TABLE {core}")
+    assert spark.table(core).isEmpty()
 
 
 def test_a_used_id_stops_the_run(spark, db, core):
