@@ -110,10 +110,10 @@ def load_unpublished(
     return loads
 
 
-def landed_batches(spark: SparkSession, landing: str, schema) -> list[str]:
-    """The micro-batches of a landing in the order they came in, from its folder names."""
-    batches = spark.read.schema(schema).parquet(landing).select(BATCH).distinct()
-    return sorted(row[BATCH] for row in batches.collect())
+def landed_batches(spark: SparkSession, landing: str, schema) -> DataFrame:
+    """The micro-batches of a landing; no data column is read."""
+    landed = spark.read.schema(schema).parquet(landing)
+    return landed.select(F.col(BATCH).alias(UNIT)).distinct()
 
 
 def run_stream(
@@ -137,8 +137,9 @@ def run_stream(
     with open_run(spark, after_connected, before_disconnecting, ctx) as run:
         create_ledger(run.spark, ledger)
         core = run.ctx.evaluate(spec.target)
-        done = {row[UNIT] for row in published_units(run.spark, ledger, core, name).collect()}
-        waiting = [b for b in landed_batches(run.spark, landing, schema) if b not in done]
+        batches = landed_batches(run.spark, landing, schema)
+        new = unpublished(run.spark, batches, ledger, core, name).orderBy(UNIT)
+        waiting = [row[UNIT] for row in new.collect()]
         numbered = run.spark.createDataFrame(
             list(enumerate(waiting)), f"unit_no int, {UNIT} string"
         )

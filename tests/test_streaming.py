@@ -58,7 +58,7 @@ def test_drain_lands_every_unit_and_stops(spark, folder, queue, path):
     query = drain(source, landing, checkpoint)
     assert not query.isActive
     schema = source.schema.add("_batch", "string")
-    assert len(landed_batches(spark, landing, schema)) == 3
+    assert landed_batches(spark, landing, schema).count() == 3
     queue("d", 7)
     drain(stream(spark, folder), landing, checkpoint)
     landed = spark.read.schema(schema).parquet(landing)
