@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from loadkit.checks import workspace
 from loadkit.llm.common import table
 from loadkit.llm.exact_dedup import DigestIndex
+from loadkit.llm.language import predict_languages
 from loadkit.llm.mixing import SCHEDULE, mix
+from loadkit.llm.secrets import scan_secrets, secret_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,3 +124,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies", "position"
     )
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of all documents."""
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find the secrets of all documents."""
+    return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
