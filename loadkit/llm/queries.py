@@ -11,6 +11,7 @@ from loadkit.llm.common import table
 from loadkit.llm.exact_dedup import DigestIndex
 from loadkit.llm.language import predict_languages
 from loadkit.llm.mixing import SCHEDULE, mix
+from loadkit.llm.quality import classify_quality
 from loadkit.llm.secrets import scan_secrets, secret_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +137,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Find the secrets of all documents."""
     return secret_digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score the quality of all documents."""
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
