@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loadkit.checks import workspace
@@ -13,6 +14,8 @@ from loadkit.llm.language import predict_languages
 from loadkit.llm.mixing import SCHEDULE, mix
 from loadkit.llm.quality import classify_quality
 from loadkit.llm.secrets import scan_secrets, secret_digest
+from loadkit.llm.token_files import TokenStore, with_checksums, write_tokens
+from loadkit.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,3 +146,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score the quality of all documents."""
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of all documents to a token store and read it back."""
+    path = scratch_path(spark, "tokens")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary, end_id=2)
+    return with_checksums(TokenStore(spark, path).documents(tokens=True))
