@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loadkit.checks import workspace
-from loadkit.llm.common import table
+from loadkit.llm.common import table, texts
 from loadkit.llm.exact_dedup import DigestIndex
 from loadkit.llm.language import predict_languages
+from loadkit.llm.language_model import model_scores
 from loadkit.llm.mixing import SCHEDULE, mix
+from loadkit.llm.pieces import decode_pieces, encode_pieces
 from loadkit.llm.quality import classify_quality
 from loadkit.llm.secrets import scan_secrets, secret_digest
 from loadkit.llm.token_files import TokenStore, with_checksums, write_tokens
@@ -155,3 +158,23 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     write_tokens(table(spark, sf_dir, "documents"), path, vocabulary, end_id=2)
     return with_checksums(TokenStore(spark, path).documents(tokens=True))
+
+
+@query()
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents to pieces and decode them again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = encode_pieces(texts(table(spark, sf_dir, "documents")), model, name="tokens")
+    rows = decode_pieces(rows, model, "tokens").select(
+        "doc_id",
+        F.size("tokens").cast("bigint").alias("n_pieces"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "tokens",
+    )
+    return with_checksums(rows)
+
+
+@query()
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score all documents by the language model."""
+    return model_scores(table(spark, sf_dir, "documents"))
