@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadkit.checks import workspace
 from loadkit.llm.common import table, texts
+from loadkit.llm.embeddings import near_duplicates
 from loadkit.llm.exact_dedup import DigestIndex
 from loadkit.llm.language import predict_languages
 from loadkit.llm.language_model import model_scores
@@ -178,3 +179,33 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score all documents by the language model."""
     return model_scores(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    ), ok AS (
+        SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+            AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(e, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            AND list_cosine_similarity(a.e, b.e) >= 0.93
+    ), reach AS (
+        SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), smallest AS (
+        SELECT a, min(b) AS b FROM reach GROUP BY a
+    ), counted AS (
+        SELECT a, count(*) AS n FROM links GROUP BY a
+    )
+    SELECT vec_id, coalesce(n, 0) AS n_links,
+        least(vec_id, coalesce(smallest.b, vec_id)) AS component_id,
+        vec_id = least(vec_id, coalesce(smallest.b, vec_id)) AS kept
+    FROM v LEFT JOIN counted ON counted.a = vec_id LEFT JOIN smallest ON smallest.a = vec_id
+    """
+)
+def op6_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link and group near-duplicates of all embeddings."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
