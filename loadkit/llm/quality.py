@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadkit.llm.common import bounded_batches, held_out, may_learn
+from loadkit.llm.hashing import WordHasher, spaces_of
 
 #: The fit sees at most this many labelled documents, in the order of a hash of their ids.
 SAMPLE_DOCS = 4_000
@@ -33,16 +34,6 @@ LEARN_FOLDS, HELD_OUT = 5, 0
 PIECE = 1 << 19
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0x100000001B3
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 _SHIFT = np.uint64(64 - BUCKET_BITS)
 
 
@@ -61,11 +52,7 @@ class Features:
     """Bucket numbers of the features of byte strings, vectorised over a whole buffer."""
 
     def __init__(self) -> None:
-        self.power, self.inverse = _powers(_BASE, 2), _powers(_INVERSE, 2)
-
-    def _grow(self, n: int) -> None:
-        if n > len(self.power):
-            self.power, self.inverse = _powers(_BASE, n), _powers(_INVERSE, n)
+        self.hasher = WordHasher()
 
     def __call__(self, buffer: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
         """Pairs of positions in `buffer` and buckets, one pair for each kind of feature.
@@ -73,17 +60,11 @@ class Features:
         `buffer` must begin and end with white space.
         """
         raw = np.frombuffer(buffer, np.uint8)
-        space = (raw == 32) | ((raw >= 9) & (raw <= 13))
+        space = spaces_of(raw)
         code = raw.astype(np.uint64)
         code[space] = 32
         found = []
-        # Words, by differences of a running polynomial.
-        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-        starts, ends = edge[0::2], edge[1::2]
-        self._grow(len(raw) + 1)
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((code + np.uint64(1)) * self.power[: len(raw)], out=total[1:])
-        words = (total[ends] - total[starts]) * self.inverse[starts]
+        starts, words = self.hasher(raw, space)
         found.append((starts, (words ^ (words >> np.uint64(29))) * _MULTIPLIER >> _SHIFT))
         # Pairs of words, by the difference of their hashes: any word repeated is the same feature.
         pairs = (words[1:] - words[:-1]) * np.uint64(3)

@@ -12,6 +12,7 @@ from loadkit.checks import workspace
 from loadkit.llm.common import table, texts
 from loadkit.llm.embeddings import near_duplicates
 from loadkit.llm.exact_dedup import DigestIndex
+from loadkit.llm.jaccard import similar_groups
 from loadkit.llm.language import predict_languages
 from loadkit.llm.language_model import model_scores
 from loadkit.llm.mixing import SCHEDULE, mix
@@ -209,3 +210,35 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link and group near-duplicates of all embeddings."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    """
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS gram
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2)::BIGINT)) AS i FROM w WHERE len(words) > 0)
+    ), n AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), c AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+        FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+        WHERE 100 * c >= 85 * (x.n + y.n - c)
+    ), reach AS (
+        SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), smallest AS (
+        SELECT a, min(b) AS b FROM reach GROUP BY a
+    )
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN smallest ON a = doc_id
+    """
+)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group all documents by similar sets of four words."""
+    return similar_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
