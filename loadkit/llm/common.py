@@ -45,21 +45,29 @@ def may_learn(key: Column, folds: int, remainder: int) -> Column:
     return F.coalesce(fold(key, folds) != remainder, F.lit(False))
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """`name`, or a longer one that `docs` does not have in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs` whose id is in the one column of `ids`, with the columns of `docs` alone.
 
     The ids go under a name that `docs` does not have, so no column of `docs` can clash.
     """
-    key = "_id"
-    while key in docs.columns:
-        key += "_"
+    key = free_name(docs, "_id")
     return docs.join(ids.toDF(key), F.col(id_col) == F.col(key), "left_semi")
 
 
 def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Leave one of several rows that have the same id; other rows are not shuffled by content."""
-    twice = docs.groupBy(id_col).count().filter("count > 1").select(id_col).toDF("_twice")
-    match = F.col(id_col) == F.col("_twice")
+    key, number = free_name(docs, "_twice"), free_name(docs, "_number")
+    counted = docs.groupBy(id_col).agg(F.count("*").alias(number))
+    twice = counted.filter(F.col(number) > 1).select(id_col).toDF(key)
+    match = F.col(id_col) == F.col(key)
     return docs.join(twice, match, "left_anti").unionByName(
         docs.join(twice, match, "left_semi").dropDuplicates([id_col])
     )

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import bounded_batches, held_out, may_learn
+from loadkit.llm.common import bounded_batches, free_name, held_out, may_learn
 
 #: The fit sees at most this many documents of each language, in the order of a hash of their ids,
 #: and this many characters of each.
@@ -136,7 +136,8 @@ def identify(
     `score` is the softmax over the bits per character of the languages, so it is 1 / (number of
     languages) when all compress alike. Null and empty texts, and texts without a letter, give
     `und`, 0.0, rejected; so does every text when nothing could be learned. Ties go to the first
-    language name and are rejected. Rows repeated get the same answer; other columns stay as they are.
+    language name and are rejected. Rows repeated get the same answer; other columns stay as they are,
+    and a column of that name is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a bounded dictionary per language
 
@@ -188,8 +189,6 @@ def known_language(
 ) -> DataFrame:
     """The rows of `docs` whose language is not rejected, with their columns."""
     learn = docs.filter(may_learn(F.col(id_col), LEARN_FOLDS, HELD_OUT))
-    name = "_language"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_language")
     found = identify(docs, fit_languages(learn, id_col, text_col, lang_col), text_col, name)
     return found.filter(~F.col(f"{name}.rejected")).drop(name)

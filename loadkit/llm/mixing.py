@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.functions.sequence import running_total
-from loadkit.llm.common import WORD
+from loadkit.llm.common import WORD, free_name
 from loadkit.session import materialise
 
 #: No document is taken more often than this.
@@ -180,9 +180,7 @@ def mixed_rows(
         ).alias("_mix")
     )
     plan = materialise(plan, "mix")
-    name = "_mix"
-    while name in docs.columns:
-        name += "_"
+    name = free_name(docs, "_mix")
     joined = docs.join(plan.toDF(name), F.col(id_col) == F.col(f"{name}.key"))
     order = [F.col(f"{name}.position"), F.col(f"{name}.key"), F.col(f"{name}.copy")]
     return joined.repartitionByRange(*order).sortWithinPartitions(*order).drop(name)

@@ -225,9 +225,6 @@ class PieceTransducer:
 
 
 def _added(docs: DataFrame, *fields: T.StructField) -> T.StructType:
-    clash = [f.name for f in fields if f.name in docs.columns]
-    if clash:
-        raise ValueError(f"the columns {clash} exist already; give other names")
     return T.StructType([*docs.schema.fields, *fields])
 
 
@@ -236,7 +233,8 @@ def encode_pieces(
 ) -> DataFrame:
     """Add the ids of the whole text as an array of integers; other columns stay as they are.
 
-    Null and empty texts have no ids. Rows repeated get the same ids. A name that exists raises.
+    Null and empty texts have no ids. Rows repeated get the same ids. A column of that name is
+    replaced.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,6 +247,7 @@ def encode_pieces(
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
 
     bounded_batches(docs.sparkSession)
+    docs = docs.drop(name)
     schema = _added(docs, T.StructField(name, T.ArrayType(T.IntegerType())))
     return docs.mapInArrow(encode, schema)
 
@@ -256,7 +255,10 @@ def encode_pieces(
 def decode_pieces(
     rows: DataFrame, model_path: str, ids_col: str = "ids", name: str = "decoded"
 ) -> DataFrame:
-    """Add the text of an array of ids; null ids give null, no ids the empty text."""
+    """Add the text of an array of ids; null ids give null, no ids the empty text.
+
+    A column of that name is replaced.
+    """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = PieceTransducer(PieceModel.load(model_path))
@@ -269,4 +271,5 @@ def decode_pieces(
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     bounded_batches(rows.sparkSession)
+    rows = rows.drop(name)
     return rows.mapInArrow(decode, _added(rows, T.StructField(name, T.StringType())))

@@ -187,7 +187,8 @@ def score_quality(
     """Add the probability that a document is of good quality.
 
     Null and empty texts, and texts of white space only, have no features and get the score of the
-    bias alone. Every text is read whole. Rows repeated get the same score; other columns stay.
+    bias alone. Every text is read whole. Rows repeated get the same score; other columns stay, and a
+    column of that name is replaced.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.margins(), model.prior()))
