@@ -6,7 +6,7 @@ pair is counted in each fragment on its own and summed per pair (vertical partit
 
 What keeps it small:
 * Documents with the same set are one node from the start, however many they are.
-* A first pass, in the order of hashes, takes a fifth of each set. Only nodes that share enough of
+* A first pass, in the order of hashes, takes a quarter of each set. Only nodes that share enough of
   that part with others are looked at again; by the prefix principle no link is lost.
 * Among those, frequencies are exact, and n-grams of one node alone are dropped but keep their places.
 * Of the nodes under one n-gram, each is first compared with a single leader. Pairs that the links
@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from loadkit.llm.common import bounded_batches, one_row_per_id, rows_of, texts
 from loadkit.llm.components import components
 from loadkit.llm.hashing import WordHasher, mixed, spaces_of
-from loadkit.session import materialise
+from loadkit.session import materialise, materialised
 
 #: For near duplicates in general; a query may ask for others.
 WORDS, PERCENT = 5, 80
 #: The first pass takes this part of a set more than the prefix principle asks for, and then asks
 #: for as many more shared n-grams.
-MORE = 20
+MORE = 10
+#: Suspects up to this number are sent to the tasks that read the texts; more of them are joined.
+FEW = 1_000_000
 #: Each range of frequencies is cut into so many fragments by hash.
 CUTS = 4
 
@@ -112,6 +114,8 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("node"), grams], names=["node", "grams"])
 
     chosen = nodes.select("node", F.col("first").alias("doc_id"), "one")
+    if nodes.count() <= FEW:  # three numbers each, so the texts need no shuffle
+        chosen = F.broadcast(chosen)
     rows = docs.join(chosen, "doc_id").select("node", "one", "text")
     found = rows.mapInArrow(scan, "node bigint, grams array<bigint>")
     return found.select("node", F.explode("grams").alias("gram"))
@@ -234,22 +238,24 @@ def similar_groups(
     an id get no component unless they are linked with others. Repeated rows get the same answer.
     """
     rows = texts(docs, id_col, text_col)
-    known = materialise(shingled(rows, words, percent), "shingled")
-    # Partial aggregation: a set with a third of all rows sends one row per task.
-    groups = known.filter("n_shingles > 0").groupBy("one", "two", F.col("n_shingles").alias("n")).agg(
-        F.min("doc_id").alias("first"), F.any_value("front").alias("front")
-    )
-    nodes = materialise(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    may = materialise(suspects(nodes, percent), "suspects")
-    sets = materialise(full_sets(rows, may, words), "sets")
-    ordered = materialise(ordered_sets(sets, may, percent), "ordered")
+    # Fronts and sets are deleted as soon as they are used.
+    with materialised(shingled(rows, words, percent), "shingled") as scanned:
+        known = materialise(scanned.drop("front"), "known")
+        # Partial aggregation: a set with a third of all rows sends one row per task.
+        groups = scanned.filter("n_shingles > 0").groupBy("one", "two", F.col("n_shingles").alias("n"))
+        groups = groups.agg(F.min("doc_id").alias("first"), F.any_value("front").alias("front"))
+        with materialised(groups.withColumn("node", F.monotonically_increasing_id()), "nodes") as full:
+            nodes = materialise(full.drop("front"), "sets-of-nodes")
+            may = materialise(suspects(full, percent), "suspects")
+    with materialised(full_sets(rows, may, words), "sets") as sets:
+        ordered = materialise(ordered_sets(sets, may, percent), "ordered")
     member = components(node_links(ordered, percent)).withColumnRenamed("vertex", "node")
     named = nodes.select("node", "one", "two", "n", "first").join(member, "node", "left")
     smallest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("least"))
     of_set = named.join(smallest, "component", "left").select(
         "one", "two", F.col("n").alias("n_shingles"), F.coalesce("least", "first").alias("component")
     )
-    return known.drop("front").join(of_set, ["one", "two", "n_shingles"], "left").select(
+    return known.join(of_set, ["one", "two", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
