@@ -191,7 +191,7 @@ class PieceTransducer:
         for piece in reversed(path):
             known = self.ids.get(piece)
             ids += [known] if known is not None else [self.byte_ids[b] for b in piece.encode()]
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_part(self, text: str) -> bytes:
         """Cut a part where every path must pass, and join the shortest paths."""
