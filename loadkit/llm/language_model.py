@@ -29,6 +29,8 @@ VOCABULARY = 512
 SHARED, END = 0, 1
 DIMENSIONS = 16
 NOISE, BATCH, RATE = 64, 2_048, 0.1
+#: A task with little text goes over its last documents again until it has made so many steps.
+LEAST_STEPS = 200
 #: Words that are at least this share of all training tokens are broadcast; so there are at most as
 #: many. Words longer than `LONGEST` bytes are joined, however frequent.
 FREQUENT = 1 << 19
@@ -119,7 +121,7 @@ class Trainer:
         self.cumulated = np.cumsum(noise)
         self.log_noise = np.log(noise * NOISE)
         self.squares = [np.full(p.shape, 1e-2) for p in self.parameters()]
-        self.tokens = 0
+        self.steps = 0
 
     def parameters(self) -> list[np.ndarray]:
         return [self.context, self.predicted, self.places, self.bias]
@@ -153,7 +155,7 @@ class Trainer:
             slope = slope / len(token)
             square += slope * slope
             value += RATE * slope / np.sqrt(square)
-        self.tokens += len(token)
+        self.steps += 1
 
     def learn(self, tokens: np.ndarray, first: np.ndarray) -> None:
         one, two = contexts(tokens, first)
@@ -184,23 +186,26 @@ def train(docs: DataFrame, vocabulary: dict[bytes, int], noise: np.ndarray) -> P
     start = first_parameters(noise)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, waiting, size = Trainer(start, noise, 5), [], 0
+        trainer, waiting, size, tokens, last = Trainer(start, noise, 5), [], 0, 0, None
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 waiting.append(words_of(text))
                 size += len(waiting[-1]) + 1
                 if size >= 32 * BATCH:
-                    trainer.learn(*classes(waiting, vocabulary))
-                    waiting, size = [], 0
+                    trainer.learn(*(last := classes(waiting, vocabulary)))
+                    waiting, size, tokens = [], 0, tokens + size
         if waiting:
-            trainer.learn(*classes(waiting, vocabulary))
-        if trainer.tokens:
+            trainer.learn(*(last := classes(waiting, vocabulary)))
+            tokens += size
+        if tokens:
+            while trainer.steps < LEAST_STEPS:
+                trainer.learn(*last)
             rows = trainer.result().pack()
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(len(rows))),
                     pa.array(list(rows), pa.list_(pa.float64())),
-                    pa.array(np.full(len(rows), float(trainer.tokens))),
+                    pa.array(np.full(len(rows), float(tokens))),
                 ],
                 names=["row", "numbers", "weight"],
             )

@@ -30,7 +30,7 @@ THRESHOLD = 0.3
 
 LEARN_FOLDS, HELD_OUT = 5, 0
 
-#: Bytes worked on at a time; longer texts are cut at white space, which changes no feature.
+#: Bytes worked on at a time; longer texts are cut at white space, at the cost of one pair of words.
 PIECE = 1 << 19
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -54,10 +54,13 @@ class Features:
     def __init__(self) -> None:
         self.hasher = WordHasher()
 
-    def __call__(self, buffer: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    def __call__(
+        self, buffer: bytes, begins: np.ndarray | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
         """Pairs of positions in `buffer` and buckets, one pair for each kind of feature.
 
-        `buffer` must begin and end with white space.
+        `buffer` must begin and end with white space. `begins` says where its documents begin, so
+        that no pair of words spans two of them.
         """
         raw = np.frombuffer(buffer, np.uint8)
         space = spaces_of(raw)
@@ -68,7 +71,12 @@ class Features:
         found.append((starts, (words ^ (words >> np.uint64(29))) * _MULTIPLIER >> _SHIFT))
         # Pairs of words, by the difference of their hashes: any word repeated is the same feature.
         pairs = (words[1:] - words[:-1]) * np.uint64(3)
-        found.append((starts[1:], (pairs ^ (pairs >> np.uint64(31))) * _MULTIPLIER >> _SHIFT))
+        pairs = (pairs ^ (pairs >> np.uint64(31))) * _MULTIPLIER >> _SHIFT
+        own = np.zeros(len(starts), np.int64)
+        if begins is not None:
+            own = np.searchsorted(begins, starts, "right")
+        inside = own[1:] == own[:-1]
+        found.append((starts[1:][inside], pairs[inside]))
         # Character n-grams as whole numbers.
         spaces = np.concatenate([[0], np.cumsum(space)])
         for n in GRAMS:
@@ -214,7 +222,7 @@ def document_margins(texts: pd.Series, features: Features, margins: np.ndarray)
         nonlocal buffer, owners, starts, size
         if owners:
             begin = np.array(starts)
-            for at, buckets in features(b"".join(buffer)):
+            for at, buckets in features(b"".join(buffer), begin):
                 values = margins[buckets]
                 row = np.array(owners)[np.searchsorted(begin, at, "right") - 1]
                 total[:] += np.bincount(row, values, len(total))
