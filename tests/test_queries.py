@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from loadkit.checks import ORACLES, QUERIES
 from tests.oracle import TABLES, compare, connect
 
 SF_DIR = f"{TABLES}/sf0.001"
@@ -15,9 +16,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    assert compare(spark, con, queries()[name], oracle_sql()[name], SF_DIR) == []
+    assert compare(spark, con, QUERIES[name], ORACLES[name], SF_DIR) == []
 
 
 def test_entry(spark):
