@@ -129,6 +129,11 @@ class PieceTransducer:
         self.ids = {p: i for p, _, i in usable}
         self.scores = {p: s for p, s, _ in usable}
         self.longest = max((len(p) for p in self.ids), default=1)
+        # By the last two characters, how long the arcs that read them can be.
+        found: dict[str, set[int]] = {}
+        for piece in self.ids:
+            found.setdefault(piece[-2:], {1}).add(len(piece))
+        self.lengths = {ending: tuple(sorted(n)) for ending, n in found.items()}
         self.glued = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
         # Spaces start parts only if no piece has one behind another character.
@@ -137,7 +142,7 @@ class PieceTransducer:
         self.stable = _Cache(self._stable)
         self.lattices = _Cache(self._shortest_path)
         self.parts = _Cache(self._encode_part)
-        self.words = _Cache(lambda word: self.parts[SPACE + word])
+        self.words = _Cache(lambda word: self._encode_part(SPACE + word))
         self.written = [self._write(p, kind) for p, _, kind in model.pieces]
 
     @staticmethod
@@ -148,41 +153,60 @@ class PieceTransducer:
 
     def _merge(self, text: str) -> list[str]:
         """Merge characters by the highest score, the leftmost first."""
-        parts = list(text)
-        while len(parts) > 1:
-            pairs = [self.scores.get(a + b, -np.inf) for a, b in zip(parts, parts[1:])]
+        parts, score, none = list(text), self.scores.get, -np.inf
+        pairs = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs:
             best = max(pairs)
-            if best == -np.inf:
+            if best == none:
                 break
             at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
     def _stable(self, pair: tuple[str, str]) -> bool:
         """Whether the acceptor of pairs has an arc of weight 0 from one piece to the next."""
         return self._merge(pair[0] + pair[1]) == [p for p in pair if p]
 
-    def _arcs(self, text: str, end: int) -> Iterator[tuple[int, str]]:
-        """The lexicon's arcs into a position: where they start and the piece they read."""
-        for start in range(max(0, end - self.longest), end):
-            piece = text[start:end]
-            if piece in self.ids or end - start == 1:
-                yield start, piece
+    def _zero_path(self, text: str) -> list[str]:
+        """The path of weight 0 in a merge model: of all arcs into a position exactly one is on it."""
+        via, ids, known, lengths = [""], self.ids, self.stable.get, self.lengths
+        for end in range(1, len(text) + 1):
+            # Short pieces are tried first, for they are the most.
+            for length in lengths.get(text[end - 2 : end], (1,)) if end > 1 else (1,):
+                if length > end:
+                    continue
+                piece = text[end - length : end]
+                if length > 1 and piece not in ids:
+                    continue
+                pair = (via[end - length], piece)
+                stable = known(pair)
+                if stable or stable is None and self.stable[pair]:
+                    via.append(piece)
+                    break
+            else:
+                raise ValueError(f"no path reads {text[:end]!r}")
+        return via
+
+    def _least_path(self, text: str) -> list[str]:
+        """The last arcs of the least weights to all positions in a unigram model."""
+        best, via, scores = [0.0] + [np.inf] * len(text), [""] * (len(text) + 1), self.scores
+        for end in range(1, len(text) + 1):
+            for start in range(max(0, end - self.longest), end):
+                piece = text[start:end]
+                if piece in scores or end - start == 1:
+                    weight = best[start] - scores.get(piece, self.worst)
+                    if weight < best[end]:
+                        best[end], via[end] = weight, piece
+        return via
 
     def _shortest_path(self, text: str) -> bytes:
         """Compose a part with the machines and write the ids of the shortest path."""
-        best, via = [0.0] + [np.inf] * len(text), [""] * (len(text) + 1)
-        merges, stable, scores = self.model.kind == BPE, self.stable, self.scores
-        for end in range(1, len(text) + 1):
-            for start, piece in self._arcs(text, end):
-                if merges:
-                    if stable[via[start], piece]:
-                        best[end], via[end] = best[start], piece
-                        break  # of all states at a position one has a finite weight
-                    continue
-                weight = best[start] - scores.get(piece, self.worst)
-                if weight < best[end]:
-                    best[end], via[end] = weight, piece
+        via = self._zero_path(text) if self.model.kind == BPE else self._least_path(text)
         path, end = [], len(text)
         while end:
             path.append(via[end])
