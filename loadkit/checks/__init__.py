@@ -41,4 +41,13 @@ def workspace(spark: SparkSession) -> str:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from loadkit.checks import binding, elt, failures, loads, records, reports, streams  # noqa: F401
+    from loadkit.checks import (  # noqa: F401
+        binding,
+        careful,
+        elt,
+        failures,
+        loads,
+        records,
+        reports,
+        streams,
+    )

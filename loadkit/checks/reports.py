@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,20 +11,19 @@ from pyspark.sql import types as T
 from loadkit.checks import query, table, workspace
 from loadkit.context import RunContext
 from loadkit.operators.loading import create_core
-from loadkit.plans.report import explode_steps, report_json, step_summary, with_meantime
+from loadkit.plans.report import (
+    REPORT_SCHEMA,
+    explode_steps,
+    report_json,
+    step_summary,
+    with_meantime,
+)
 from loadkit.plans.run import LoadSpec, Unit, open_run, run_load
-from loadkit.plans.scripts import append_rows, collect_result, run_script
+from loadkit.plans.scripts import append_rows, result_rows, run_script
 from loadkit.session import scratch_path
 from loadkit.sources.records import read_records
 
 
-def _result_rows(reports: DataFrame) -> DataFrame:
-    """Every inlined result row of a report with the number of its statement."""
-    steps = reports.select(F.explode("steps").alias("step"))
-    sets = steps.select(F.posexplode("step.resultSets").alias("statement_no", "result"))
-    return sets.select("statement_no", F.explode("result.rows").alias("row"))
-
-
 @query("""
     SELECT 0 AS statement_no, CAST(json_object('o_orderpriority', o_orderpriority, 'n', count(*))
            AS VARCHAR) AS row FROM orders GROUP BY o_orderpriority
@@ -44,16 +45,74 @@ def script_resultsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     with open_run(spark) as run:
         run.script("afterLoaded", statements)
-    return _result_rows(run.reports())
+    return result_rows(run.reports()).select("statement_no", "row")
 
 
-@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+@query("""
+    SELECT 0 AS statement_no, CAST(json_object('r_regionkey', r_regionkey) AS VARCHAR) AS row
+    FROM region WHERE r_regionkey < 3
+    UNION ALL
+    SELECT 1, CAST(json_object('c_custkey', c_custkey, 'c_name', c_name) AS VARCHAR) FROM customer
+""")
 def script_large_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A result set too large for a report is written as a whole."""
-    result = collect_result(
-        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), max_rows=10
+    """A few rows and a whole table come back in the same form from one script."""
+    statements = [
+        f"SELECT r_regionkey FROM parquet.`{sf_dir}/region.parquet` WHERE r_regionkey < 3",
+        f"SELECT c_custkey, c_name FROM parquet.`{sf_dir}/customer.parquet`",
+    ]
+    with open_run(spark) as run:
+        run.script("afterLoaded", statements)
+    return result_rows(run.reports()).select("statement_no", "row")
+
+
+@query("""
+    SELECT 0 AS statement_no, CAST(NULL AS BIGINT) AS update_count
+    UNION ALL SELECT 1, count(*) FROM orders
+    UNION ALL SELECT 2, count(*) FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 3, NULL
+""")
+def script_update_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL writes report their rows, and commands that count none report no number."""
+    core = f"{workspace(spark)}.order_keys"
+    insert = f"INSERT INTO {core} SELECT o_orderkey FROM parquet.`{sf_dir}/orders.parquet`"
+    statements = [
+        f"CREATE TABLE {core} (order_key BIGINT) USING parquet",
+        insert,
+        f"{insert} WHERE o_orderstatus = 'F'",
+        f"ALTER TABLE {core} SET TBLPROPERTIES ('loaded' = 'yes')",
+    ]
+    with open_run(spark) as run:
+        run.script("afterLoaded", statements)
+    steps = run.reports().select(F.explode("steps").alias("step"))
+    sets = steps.select(F.posexplode("step.resultSets").alias("statement_no", "result"))
+    return sets.select("statement_no", F.col("result.updateCount").alias("update_count"))
+
+
+@query("""
+    SELECT CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS COMMIT_EPOCH,
+           count(*) AS loaded
+    FROM orders WHERE o_orderpriority < '4' GROUP BY o_orderpriority
+""")
+def reports_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports of the loads before one that fails stay readable."""
+    core, path = f"{workspace(spark)}.core", scratch_path(spark, "reports")
+    schema = T.StructType.fromDDL("o_orderkey BIGINT, o_orderpriority STRING")
+    create_core(spark, core, schema)
+    orders = table(spark, sf_dir, "orders").select(*schema.fieldNames())
+
+    def read(priority: str) -> DataFrame:
+        if priority >= "4":
+            raise OSError(f"cannot read {priority}")
+        return orders.filter(F.col("o_orderpriority") == priority)
+
+    found = orders.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect()
+    units = [Unit(p, 0, lambda s, p=p: read(p)) for (p,) in found]
+    with suppress(OSError):
+        run_load(spark, units, LoadSpec(target=core), reports_path=path)
+    return spark.read.schema(REPORT_SCHEMA).parquet(path).select(
+        F.col("attributes.COMMIT_EPOCH").alias("COMMIT_EPOCH"),
+        F.col("load.updateCount").alias("loaded"),
     )
-    return spark.read.parquet(result.location)
 
 
 @query("""

@@ -124,7 +124,8 @@ def cast_expr(source: T.StructField, target: T.DataType, value: Column | None =
         if kind == DATE:
             return col.cast(target)
         if kind == STRING:
-            return F.coalesce(millis_to_timestamp(col, target), col.try_cast(target))
+            moment = truncate_to_millis(col.try_cast(target), target)
+            return F.coalesce(millis_to_timestamp(col, target), moment)
         raise _no_cast(source, target)
 
     if isinstance(target, T.DateType):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,11 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadkit.functions.casts import cast_expr, may_fail
+from loadkit.functions.casts import UnsupportedBinding, cast_expr, may_fail
 from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
 logger = logging.getLogger(__name__)
 
+# Where Spark keeps the declared text length and the default of a column.
+TEXT_TYPE_KEY, DEFAULT_KEY = "__CHAR_VARCHAR_TYPE_STRING", "CURRENT_DEFAULT"
+
 # Why a row cannot be loaded, and what it was read as: both null for good rows.
 ERROR = "_error"
 RAW = "_raw"
@@ -47,26 +51,46 @@ def bind(
     failures: list[tuple[str, Column]] = []
     for name, column in zip(fields, target.fields, strict=True):
         source = known.get(name)
+        refused: Column | None = None
         if source is None:
             if on_absent == "error":
                 raise SchemaMissing(f"no field {name!r} for column {column.name!r}")
             logger.warning("field %r is absent, column %r is left unset", name, column.name)
             value = _default(column) if on_absent == "default" else F.lit(None)
-            columns.append(value.cast(column.dataType).alias(column.name))
-            continue
-        value = cast_expr(source, column.dataType)
+            value = value.cast(column.dataType)
+        else:
+            value = cast_expr(source, column.dataType)
+            if may_fail(source, column.dataType):
+                refused = F.col(f"`{name}`").isNotNull() & value.isNull()
+        value, broken = _declared(value, column)
         columns.append(value.alias(column.name))
-        if errors and may_fail(source, column.dataType):
-            failures.append((name, F.col(f"`{name}`").isNotNull() & value.isNull()))
+        wrong = [c for c in (refused, broken) if c is not None]
+        if errors and wrong:
+            failures.append((name, reduce(lambda a, b: a | b, wrong)))
     if errors:
         read = [F.col(f"`{name}`") for name in dict.fromkeys(fields) if name in known]
         columns += _error_columns(df, failures, read)
     return df.select(*columns, *keep)
 
 
+def _declared(value: Column, column: T.StructField) -> tuple[Column, Column | None]:
+    """A value under the declared text length of its column, and when it breaks what is declared.
+
+    As in a database, spaces at the end that do not fit are cut and other text that does not fit is an
+    error, and so is a null where none is allowed.
+    """
+    broken = [] if column.nullable else [value.isNull()]
+    length = re.search(r"\((\d+)\)", (column.metadata or {}).get(TEXT_TYPE_KEY, ""))
+    if length:
+        most = int(length[1])
+        broken.append(F.char_length(F.rtrim(value)) > most)
+        value = F.when(F.char_length(F.rtrim(value)) <= most, F.substring(value, 1, most))
+    return value, reduce(lambda a, b: a | b, broken) if broken else None
+
+
 def _default(column: T.StructField) -> Column:
     """The default of a table column, else null."""
-    text = (column.metadata or {}).get("CURRENT_DEFAULT")
+    text = (column.metadata or {}).get(DEFAULT_KEY)
     return F.expr(text) if text else F.lit(None)
 
 
@@ -107,8 +131,18 @@ def bind_by_name(
     keep: Sequence[str] = (),
     errors: bool = False,
 ) -> DataFrame:
-    """Bind fields to the target columns of the same name."""
-    names = [f.name for f in target.fields]
+    """Bind fields to the target columns of the same name, by the session's rule for letter case."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    fold = (lambda name: name) if exact else str.lower
+    found: dict[str, list[str]] = {}
+    for name in df.columns:
+        found.setdefault(fold(name), []).append(name)
+    names = []
+    for column in target.fields:
+        same = found.get(fold(column.name), [column.name])
+        if len(same) > 1:
+            raise SchemaMissing(f"fields {same} all match column {column.name!r}")
+        names.append(same[0])
     return bind(df, names, target, on_absent, keep, errors)
 
 
@@ -121,6 +155,8 @@ def bind_expr(
 ) -> DataFrame:
     """Bind target columns to SQL expressions over the fields; each is cast to its column's type.
 
+    An expression whose result is of a record type is cast like a field of that type.
+
     Columns without an expression take the default of the table. `errors` is as in `bind`; it names
     target columns.
     """
@@ -130,14 +166,25 @@ def bind_expr(
     columns: list[Column] = []
     failures: list[tuple[str, Column]] = []
     for column in target.fields:
+        refused: Column | None = None
         if column.name not in expressions:
-            columns.append(_default(column).cast(column.dataType).alias(column.name))
-            continue
-        computed = F.expr(expressions[column.name])
-        value = computed.try_cast(column.dataType)
+            value = _default(column).cast(column.dataType)
+        else:
+            computed = F.expr(expressions[column.name])
+            result = df.select(computed.alias(column.name)).schema.fields[0]
+            try:
+                value = cast_expr(result, column.dataType, computed)
+            except UnsupportedBinding:
+                value = computed.try_cast(column.dataType)
+            refused = computed.isNotNull() & value.isNull()
+        value, broken = _declared(value, column)
         columns.append(value.alias(column.name))
-        failures.append((column.name, computed.isNotNull() & value.isNull()))
+        wrong = [c for c in (refused, broken) if c is not None]
+        if wrong:
+            failures.append((column.name, reduce(lambda a, b: a | b, wrong)))
     if errors:
-        computed = [F.expr(text).alias(name) for name, text in expressions.items()]
-        columns += _error_columns(df, failures, computed)
+        # The fields that an expression names, as they were read; a columnar scan reads no others.
+        text = " ".join(expressions.values()).lower()
+        named = [n for n in df.columns if re.search(rf"(?<!\w){re.escape(n.lower())}(?!\w)", text)]
+        columns += _error_columns(df, failures, [F.col(f"`{name}`") for name in named])
     return df.select(*columns, *keep)

@@ -7,6 +7,7 @@ readers see the old rows until that one catalog change and the new rows after it
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -14,8 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
+from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, with_context
 from loadkit.operators.loading import LOAD_COLUMNS, LoadResult, load_batch
 from loadkit.session import (
     discard,
@@ -26,8 +28,9 @@ from loadkit.session import (
     table_location,
 )
 
-# Up to this many touched partitions are named in the scan; beyond it a join finds them.
-MAX_LISTED_PARTITIONS = 1_000
+
+class DuplicateKeys(ValueError):
+    """Several staged rows have one key, and nothing says which of them to merge."""
 
 
 @dataclass(frozen=True)
@@ -48,15 +51,29 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
 
     An aggregate rather than a window: each task sends on one row per key, so a key that holds a
     large part of the rows costs no more than any other. Equal `order_by` values fall back to the
-    remaining columns, which makes the result the same on every run.
+    remaining columns, which makes the result the same on every run; maps are compared as text.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    latest = F.max(F.struct(*order_by, *rest)).alias("_latest")
+    if any(_has_map(df.schema[c].dataType) for c in rest):
+        told = [F.to_json(F.struct(c)) if _has_map(df.schema[c].dataType) else F.col(c) for c in rest]
+        place = F.struct(*order_by, *[t.alias(f"_{i}") for i, t in enumerate(told)])
+        latest = F.max_by(F.struct(*order_by, *rest), place).alias("_latest")
+    else:
+        latest = F.max(F.struct(*order_by, *rest)).alias("_latest")
     return df.groupBy(*keys).agg(latest).select(*[
         F.col(c) if c in keys else F.col(f"_latest.`{c}`").alias(c) for c in df.columns
     ])
 
 
+def _has_map(kind: T.DataType) -> bool:
+    """Whether values of a type cannot be ordered."""
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
 def _all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
@@ -86,16 +103,24 @@ def publish_merge(
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
     keep_old: bool = False,
+    ctx: RunContext | None = None,
 ) -> MergeResult:
     """Merge staged rows into the core table by key: replace matches, add the rest.
 
-    `order_by` picks the latest of several staged rows of a key; without it the staged keys must be
-    unique. A partitioned core table is rewritten only in the partitions that lose or gain rows, an
-    unpartitioned one as a whole; `keep_old` then leaves the former files in place.
+    `order_by` picks the latest of several staged rows of a key; without it staged keys that occur
+    twice raise. A partitioned core table is rewritten only in the partitions that lose or gain rows,
+    an unpartitioned one as a whole; `keep_old` then leaves the former files in place. Staged rows
+    without the load columns that the core table has become rows of the load `ctx`.
     """
-    if isinstance(staging, str):
-        staging = spark.table(staging)
-        if not order_by:
+    written = isinstance(staging, str)
+    staging = spark.table(staging) if written else staging
+    if ctx and set(LOAD_COLUMNS) <= set(spark.table(core).columns) - set(staging.columns):
+        staging = with_context(staging, ctx)
+    if not order_by:
+        twice = staging.filter(_all_present(keys)).groupBy(*keys).count().filter("count > 1")
+        if found := twice.select(*keys).head(3):
+            raise DuplicateKeys(f"staged keys occur more than once, such as {[tuple(r) for r in found]}")
+        if written:
             return _merge(spark, core, staging, keys, keep_old)
     # Written once: read for the join and for the insert, and of known size for the planner.
     with materialised(staged_for_merge(staging, keys, order_by), "merge") as staged:
@@ -110,8 +135,8 @@ def _merge(
         return _merge_partitions(spark, core, staged, keys, partitions)
     before = spark.table(core)
     old_rows = before.count()  # no column is read: file footers hold the counts
-    replace_rows(spark, core, merge_rows(before, staged, keys), keep_old)
-    return _merge_result(old_rows, spark.table(core).count(), staged)
+    new_rows = replace_rows(spark, core, merge_rows(before, staged, keys), keep_old)
+    return _merge_result(old_rows, new_rows, staged)
 
 
 def _merge_result(old_rows: int, new_rows: int, staged: DataFrame) -> MergeResult:
@@ -143,23 +168,23 @@ def _merge_partitions(
 
 
 def in_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """The rows of the given partitions, named in the scan as long as they are few."""
-    listed = touched.take(MAX_LISTED_PARTITIONS + 1)
-    if not listed:
-        return df.limit(0)
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        same = same_values("d", "t", partitions)
-        return df.alias("d").join(touched.alias("t"), same, "left_semi")
+    """The rows of the given partitions.
+
+    The scan is told the values of each partition column, so that other folders are not opened; the
+    catalog lists partitions in the driver anyway. With several columns a join takes out combinations
+    that were not given.
+    """
+    wanted = F.lit(True)
+    for name in partitions:
+        values = [row[name] for row in touched.select(name).distinct().collect()]
+        given = [F.lit(v).cast(df.schema[name].dataType) for v in values if v is not None]
+        named = F.col(name).isin(given) if given else F.lit(False)
+        wanted = wanted & (named if len(given) == len(values) else named | F.col(name).isNull())
+    pruned = df.filter(wanted)
     if len(partitions) == 1:
-        name = partitions[0]
-        values = [row[name] for row in listed if row[name] is not None]
-        wanted = F.col(name).isin(values)
-        return df.filter(wanted if len(values) == len(listed) else wanted | F.col(name).isNull())
-    any_of = [
-        reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partitions])
-        for row in listed
-    ]
-    return df.filter(reduce(lambda a, b: a | b, any_of))
+        return pruned
+    same = same_values("d", "t", partitions)
+    return pruned.alias("d").join(touched.alias("t"), same, "left_semi")
 
 
 def rewrite_partitions(
@@ -200,21 +225,33 @@ def drop_partition(spark: SparkSession, table: str, values: Mapping[str, object]
 
 def replace_rows(
     spark: SparkSession, table: str, df: DataFrame, keep_old: bool = False
-) -> str:
+) -> int:
     """Give an unpartitioned table new content, which may be computed from the old one.
 
-    Returns the former folder. It is deleted like the files of any overwritten table, unless
-    `keep_old` leaves it for queries that still read it.
+    The rows are written through a table like this one, so in its own format with its options, to a
+    new folder; they are read back and counted before the folder becomes the table's, and the former
+    one is deleted last, unless `keep_old` leaves it for queries that still read it. Returns the
+    number of rows.
     """
     old = table_location(spark, table)
-    root = old.split("--")[0]
-    new = f"{root}--{uuid.uuid4().hex}"
-    df.write.parquet(new)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    root = re.sub(r"--[0-9a-f]{32}/?$", "", old.rstrip("/"))
+    mark = uuid.uuid4().hex
+    new, like = f"{root}--{mark}", f"{table}_{mark}"
+    spark.sql(f"CREATE TABLE {like} LIKE {table} LOCATION '{new}'")
+    try:
+        names = ", ".join(f"`{c}`" for c in spark.table(table).columns)
+        spark.sql(f"INSERT INTO {like} ({names}) SELECT {names} FROM {{rows}}", rows=df)
+        rows = spark.table(like).count()
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{new}'")
+    except Exception:
+        discard(spark, new)
+        raise
+    finally:
+        spark.sql(f"DROP TABLE {like}")
     spark.catalog.refreshTable(table)
     if not keep_old:
         discard(spark, old)
-    return old
+    return rows
 
 
 def load_rows(ctx: RunContext) -> Column:
@@ -246,7 +283,7 @@ def purge(spark: SparkSession, table: str, ctx: RunContext) -> int:
         return rows
     rows = before.count()
     if not partitions:
-        replace_rows(spark, table, before.filter(other_rows(ctx)))
+        return rows - replace_rows(spark, table, before.filter(other_rows(ctx)))
     else:
         touched = loaded_rows(before, ctx).select(*partitions).distinct()
         with materialised(touched, "touched") as touched:

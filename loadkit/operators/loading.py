@@ -9,6 +9,7 @@ does not, and the same load cannot be published twice.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -17,13 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, TableIdInUse
-from loadkit.operators.binding import ERROR, bind_by_name, strict
+from loadkit.operators.binding import DEFAULT_KEY, ERROR, TEXT_TYPE_KEY, bind_by_name, strict
 from loadkit.operators.units import load_context, unit_counts
-from loadkit.session import table_location
+from loadkit.session import discard, partition_columns, table_location, table_provider
 from loadkit.sources.delimited import read_delimited
 from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
 LOAD_COLUMNS = (TABLE_ID, COMMIT_EPOCH)
+SELF_DESCRIBING = ("parquet", "orc", "json", "avro")
 STAGING_NAME = f"stg_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
 
 
@@ -40,10 +42,19 @@ class LoadResult:
     stop: int
     bad: int = 0
     location: str | None = None
+    provider: str = "parquet"
 
 
 def columns_ddl(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    """The columns as they were declared: text lengths, NOT NULL and defaults included."""
+
+    def column(field: T.StructField) -> str:
+        told = field.metadata or {}
+        text = f"`{field.name}` {told.get(TEXT_TYPE_KEY) or field.dataType.simpleString()}"
+        text += "" if field.nullable else " NOT NULL"
+        return text + (f" DEFAULT {told[DEFAULT_KEY]}" if DEFAULT_KEY in told else "")
+
+    return ", ".join(map(column, schema.fields))
 
 
 def create_core(
@@ -117,7 +128,7 @@ class BadRecords(ValueError):
         self.landing = landing
 
 
-def land(df: DataFrame, location: str) -> LoadResult:
+def land(df: DataFrame, location: str, provider: str = "parquet") -> LoadResult:
     """Write bound rows to a folder; good and bad rows are counted on the way.
 
     The source is parsed and cast once. Whatever follows reads the columns it needs from here.
@@ -127,20 +138,31 @@ def land(df: DataFrame, location: str) -> LoadResult:
     wanted = [F.count(F.lit(1)).alias("rows")]
     if ERROR in df.columns:
         wanted.append(F.count(F.col(ERROR)).alias("bad"))
-    df.observe(counts, *wanted).write.parquet(location)
+    df.observe(counts, *wanted).write.format(provider).save(location)
     found = counts.get
-    return LoadResult(found["rows"], start, now_millis(), found.get("bad", 0), location)
+    return LoadResult(found["rows"], start, now_millis(), found.get("bad", 0), location, provider)
 
 
 def landed_rows(spark: SparkSession, landed: LoadResult, schema: T.StructType) -> DataFrame:
     """Read the given columns of a landing back."""
-    return spark.read.schema(schema).parquet(landed.location)
+    return spark.read.schema(schema).format(landed.provider).load(landed.location)
 
 
 def load_location(spark: SparkSession, core: str, ctx: RunContext, part: str = "") -> str:
     """Where the files of a load go: below the core table, in a folder that only the partition of
-    the load will point to. Its name keeps a repair of the table's partitions from finding it."""
-    return f"{table_location(spark, core)}/_loads/{ctx.table_id}/{ctx.commit_epoch}{part}"
+    the load will point to. Its name keeps a repair of the table's partitions from finding it, and
+    each attempt at a load has its own."""
+    attempt = uuid.uuid4().hex[:12]
+    return f"{table_location(spark, core)}/_loads/{ctx.table_id}/{ctx.commit_epoch}{part}-{attempt}"
+
+
+def attaches(spark: SparkSession, core: str) -> bool:
+    """Whether a load becomes a partition of this table: it is partitioned by load, in files that
+    name their columns."""
+    return (
+        set(LOAD_COLUMNS) <= set(partition_columns(spark, core))
+        and table_provider(spark, core) in SELF_DESCRIBING
+    )
 
 
 def publish_attach(spark: SparkSession, core: str, location: str, ctx: RunContext) -> None:
@@ -168,38 +190,48 @@ def load_staged(
 ) -> LoadResult:
     """Load a bound frame into a core table partitioned by load: write, check, attach.
 
-    An error on the way leaves the core table unchanged.
+    An error on the way leaves the core table unchanged, and the load can be tried again. What was
+    written is deleted, unless it holds bad records to look at.
     """
     spark = df.sparkSession
-    landed = land(df, load_location(spark, core, ctx))
-    if landed.bad:
-        raise BadRecords(landed)
-    if check:
-        check(landed_rows(spark, landed, core_schema(spark, core)))
-    publish_attach(spark, core, landed.location, ctx)
+    location = load_location(spark, core, ctx)
+    try:
+        landed = land(df, location, table_provider(spark, core))
+        if landed.bad:
+            raise BadRecords(landed)
+        if check:
+            check(landed_rows(spark, landed, core_schema(spark, core)))
+        publish_attach(spark, core, landed.location, ctx)
+    except BadRecords:
+        raise
+    except Exception:
+        discard(spark, location)
+        raise
     return landed
 
 
 def load_many(
-    df: DataFrame, units: Sequence[str], core: str, ctx: RunContext, gather: bool = False
+    df: DataFrame, units: Sequence[str], core: str, ctx: RunContext, gather: bool = True
 ) -> DataFrame:
     """Load the units of a frame in one job, each under an epoch of its own; return their counts.
 
     The job for a large number of small units: its cost depends on the rows and not on the number of
     units. All files are written before any unit is visible; the partitions are then added in as few
-    catalog calls as the catalog allows. Rows are not shuffled unless `gather` asks for few files per
-    unit; a unit that holds many rows is split then. The counts come from file footers.
+    catalog calls as the catalog allows. `gather` shuffles rows so that a unit has few files, and
+    splits units that hold many rows; without it every task writes a file for each unit it has. The
+    counts come from file footers.
 
     Raises when epochs of this run, from its current one on, are in the table already.
     """
     spark = df.sparkSession
     taken = spark.sql(f"SHOW PARTITIONS {core} PARTITION ({TABLE_ID} = '{ctx.table_id}')")
-    epochs = [int(row["partition"].rsplit("=", 1)[1]) for row in taken.collect()]
-    if any(epoch >= ctx.commit_epoch for epoch in epochs):
+    epoch = F.substring_index("partition", "=", -1).cast("int")
+    if not taken.filter(epoch >= ctx.commit_epoch).isEmpty():
         raise TableIdInUse(f"loads of {ctx.table_id} from {ctx.commit_epoch} on are in {core}")
     stamped = load_context(df, units, ctx).select(*spark.table(core).columns)
     if gather:
         stamped = stamped.hint("rebalance", COMMIT_EPOCH)
     stamped.write.insertInto(core)
-    loaded = spark.table(core).filter(F.col(TABLE_ID) == ctx.table_id)
+    of_run = (F.col(TABLE_ID) == ctx.table_id) & (F.col(COMMIT_EPOCH) >= ctx.commit_epoch)
+    loaded = spark.table(core).filter(of_run)
     return unit_counts(loaded, [TABLE_ID, COMMIT_EPOCH])

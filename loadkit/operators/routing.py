@@ -57,15 +57,24 @@ class LandedRoutes:
 
     def rows(self, spark: SparkSession, keys: Sequence) -> DataFrame:
         """The rows of the given routes; no other folder is opened."""
-        folders = [str(k) for k in keys if k not in (None, "")]
+        if not keys:
+            return self.read(spark).limit(0).drop(_FOLDER)
+        # Named by the cast that named the folders, so that any type of key finds its own.
+        kind = self.schema[self.on].dataType
+        names = [F.lit(k).cast(kind).cast("string") for k in keys]
+        (found,) = spark.range(1).select(F.array(*names)).first()
+        folders = [name for name in found if name]
         folder = F.col(_FOLDER).isin(folders)
         if len(folders) < len(keys):
             folder = folder | F.col(_FOLDER).isNull()
-        return self.read(spark).filter(folder & F.col(self.on).isin(list(keys))).drop(_FOLDER)
+        same = F.col(self.on).isin([F.lit(k).cast(kind) for k in keys])
+        return self.read(spark).filter(folder & same).drop(_FOLDER)
 
     def rest(self, spark: SparkSession, keys: Sequence) -> DataFrame:
         """The rows of all other routes, and those without a route."""
-        known = F.coalesce(F.col(self.on).isin(list(keys)), F.lit(False)) if keys else F.lit(False)
+        kind = self.schema[self.on].dataType
+        same = [F.lit(k).cast(kind) for k in keys]
+        known = F.coalesce(F.col(self.on).isin(same), F.lit(False)) if keys else F.lit(False)
         return self.read(spark).filter(~known).drop(_FOLDER)
 
 

@@ -13,7 +13,6 @@ from loadkit.session import materialise, same_values
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 BIN = "bin"
-MAX_FILES_PER_BIN = 10_000
 
 
 def bin_units(
@@ -31,24 +30,16 @@ def bin_units(
 
 
 def plan_units(listing: DataFrame, target_bytes: int | None = None) -> DataFrame:
-    """The loads for a file listing, in path order: `unit_no`, the paths, and their total size.
+    """The loads for a file listing, in path order: a row per file with the `unit_no` of its load.
 
     A load per file, or per bin of consecutive small files.
     """
     listing = listing.select(UNIT, UNIT_SIZE)
     if not target_bytes:
-        numbered = number_rows(listing, [UNIT], "unit_no")
-        return materialise(numbered.select("unit_no", F.array(UNIT).alias("paths"), UNIT_SIZE))
-    # Very small files count as more than they are, which bounds the paths of a bin.
-    weight = F.greatest(F.col(UNIT_SIZE), F.lit(max(1, target_bytes // MAX_FILES_PER_BIN)))
-    binned = bin_units(listing.withColumn("_weight", weight), target_bytes, size="_weight")
-    bins = materialise(
-        binned.groupBy(BIN).agg(
-            F.sort_array(F.collect_list(UNIT)).alias("paths"), F.sum(UNIT_SIZE).alias(UNIT_SIZE)
-        )
-    )
-    numbers = number_rows(bins.select(BIN), [BIN], "unit_no")
-    return materialise(bins.join(numbers, BIN).select("unit_no", "paths", UNIT_SIZE))
+        return materialise(number_rows(listing, [UNIT], "unit_no"))
+    binned = materialise(bin_units(listing, target_bytes))
+    numbers = number_rows(binned.select(BIN).distinct(), [BIN], "unit_no")
+    return materialise(binned.join(numbers, BIN).select("unit_no", UNIT, UNIT_SIZE))
 
 
 def number_units(df: DataFrame, units: Sequence[str]) -> DataFrame:

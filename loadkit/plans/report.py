@@ -11,7 +11,7 @@ from loadkit.context import RunContext
 from loadkit.operators.loading import LoadResult
 from loadkit.plans.scripts import Step
 
-RESULT_SET = "struct<rows:array<string>,updateCount:bigint,location:string>"
+RESULT_SET = "struct<updateCount:bigint,location:string>"
 STEP = (
     "struct<name:string,meantime:bigint,start:bigint,stop:bigint,elapsed:bigint,"
     f"resultSets:array<{RESULT_SET}>>"
@@ -66,6 +66,12 @@ def write_reports(reports: DataFrame, path: str, as_json: bool = False) -> None:
     writer.json(path) if as_json else writer.parquet(path)
 
 
+def read_reports(spark: SparkSession, path: str, ctx: RunContext) -> DataFrame:
+    """The reports of one run in a folder of typed reports."""
+    reports = spark.read.schema(REPORT_SCHEMA).parquet(path)
+    return reports.filter(F.col("attributes.TABLE_ID") == ctx.table_id)
+
+
 def report_json(reports: DataFrame, pretty: bool = False) -> DataFrame:
     """Each report as one JSON text; absent values are left out."""
     document = F.to_json(F.struct("*"), {"pretty": str(pretty).lower()})

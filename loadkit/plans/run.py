@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ from pyspark.sql import functions as F
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, new_context, with_context
 from loadkit.operators.binding import ERROR, RAW, bind, bind_by_name, bind_expr, strict
 from loadkit.operators.loading import (
-    LOAD_COLUMNS,
     LoadResult,
+    attaches,
     core_schema,
     land,
     landed_rows,
@@ -25,14 +27,16 @@ from loadkit.operators.loading import (
     publish_attach,
 )
 from loadkit.operators.routing import UNIT_POLICY, land_routes, read_control, split_bad
-from loadkit.plans.report import build_reports, report_row, write_reports
+from loadkit.plans.report import build_reports, read_reports, report_row, write_reports
 from loadkit.plans.scripts import Statement, Step, now_millis, run_script
-from loadkit.session import discard, partition_columns, scratch_path
+from loadkit.session import discard, scratch_path, table_provider
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 logger = logging.getLogger(__name__)
 
 RAISE_POLICY = "raise"
+LOADED, FAILED = "loaded", "failed"
+OUTCOME = f"{UNIT} string, status string, rows bigint, bad bigint"
 LANDED_VIEW = f"landed_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
 
 
@@ -63,6 +67,9 @@ class LoadSpec:
     `failure` says what a bad record does: `unit` keeps the rows of its file out of the target, `row`
     only the record itself, and `raise` fails the load. Rows kept out go to the `failures` folder.
 
+    `outcomes` is a folder to which every load appends a row for each of its files, and a row for the
+    unit if the load raises: what was loaded, what failed, and how many records of it.
+
     `loader` replaces the load itself, for targets on another channel such as a database.
     """
 
@@ -74,11 +81,15 @@ class LoadSpec:
     after_loaded: Sequence[Statement] = ()
     failure: str = UNIT_POLICY
     failures: str | None = None
+    outcomes: str | None = None
     loader: Loader | None = None
 
 
 class Run:
-    """The state of a run. `ctx` belongs to the load that runs next; `reports` to those done."""
+    """The state of a run. `ctx` belongs to the load that runs next; `reports` to those done.
+
+    With a `reports_path` the reports are in that folder only, and the driver holds none of them.
+    """
 
     def __init__(self, spark: SparkSession, ctx: RunContext, reports_path: str | None = None):
         self.spark = spark
@@ -95,9 +106,10 @@ class Run:
             self._report(report_row(self.ctx, 0, [step], None, start, now_millis()))
 
     def _report(self, row: tuple) -> None:
-        self.rows.append(row)
         if self.reports_path:
             write_reports(build_reports(self.spark, [row]), self.reports_path)
+        else:
+            self.rows.append(row)
 
     def load(self, unit: Unit, spec: LoadSpec) -> LoadResult:
         """Load one unit: script, load, publish, script, report. An error publishes nothing."""
@@ -113,17 +125,25 @@ class Run:
                 script("beforePublish", spec.before_publish)
                 self.spark.catalog.dropTempView(ctx.evaluate(LANDED_VIEW))
 
-        script("beforeLoading", spec.before_loading)
-        loader = spec.loader or load_unit
-        result = loader(unit.read(self.spark), spec, ctx, before_publish)
-        script("afterLoaded", spec.after_loaded)
+        try:
+            script("beforeLoading", spec.before_loading)
+            loader = spec.loader or load_unit
+            result = loader(unit.read(self.spark), spec, ctx, before_publish)
+            script("afterLoaded", spec.after_loaded)
+        except Exception:
+            if spec.outcomes:
+                row = self.spark.createDataFrame([(unit.name, FAILED, None, None)], OUTCOME)
+                with_context(row, ctx).write.mode("append").parquet(ctx.evaluate(spec.outcomes))
+            raise
         self._report(report_row(ctx, unit.size, steps, result, start, now_millis()))
         self.loaded.append((unit.name, unit.size, result.rows, *ctx.as_map().values()))
         self.ctx = ctx.next_epoch()
         return result
 
     def reports(self) -> DataFrame:
-        return build_reports(self.spark, self.rows)
+        if not self.reports_path:
+            return build_reports(self.spark, self.rows)
+        return read_reports(self.spark, self.reports_path, self.ctx)
 
     def loaded_units(self) -> DataFrame:
         """The units passed through, with the context of their load."""
@@ -176,6 +196,15 @@ def bind_unit(df: DataFrame, spec: LoadSpec, target: str) -> DataFrame:
     return bind_by_name(df, schema, on_absent="default", keep=(UNIT,), errors=True)
 
 
+def file_outcomes(rows: DataFrame, policy: str) -> DataFrame:
+    """Per file of a landing: whether it is loaded, its records, and how many of them are bad."""
+    counted = rows.groupBy(UNIT).agg(F.count("*").alias("rows"), F.count(ERROR).alias("bad"))
+    failed = (F.col("bad") > 0) & F.lit(policy == UNIT_POLICY)
+    return counted.select(
+        UNIT, F.when(failed, FAILED).otherwise(LOADED).alias("status"), "rows", "bad"
+    )
+
+
 def load_unit(
     df: DataFrame,
     spec: LoadSpec,
@@ -190,15 +219,19 @@ def load_unit(
     spark = df.sparkSession
     target = ctx.evaluate(spec.target)
     bound = bind_unit(df, spec, target)
-    attach = set(LOAD_COLUMNS) <= set(partition_columns(spark, target))
+    attach = attaches(spark, target)
     if spec.failure == RAISE_POLICY:
         bound = strict(bound)
         if not attach and not spec.before_publish:
             return load_batch(bound.drop(UNIT), target)
 
     location = load_location(spark, target, ctx) if attach else scratch_path(spark, "landing")
-    landed = land(bound, location)
+    provider = table_provider(spark, target) if attach else "parquet"
+    landed = land(bound, location, provider)
     rows = landed_rows(spark, landed, bound.schema)
+    if spec.outcomes:
+        found = file_outcomes(rows, spec.failure)
+        with_context(found, ctx).write.mode("append").parquet(ctx.evaluate(spec.outcomes))
     if landed.bad:
         rows, failed = split_bad(rows, spec.failure)
         logger.warning("%d bad records kept out of %s, see %s", landed.bad, target, location)
@@ -207,27 +240,31 @@ def load_unit(
             failed.write.mode("append").parquet(ctx.evaluate(spec.failures))
     rows = rows.drop(UNIT, ERROR, RAW)
     if attach and landed.bad:
-        # A second folder beside the first: what was landed stays for inspection.
-        kept = land(rows, load_location(spark, target, ctx, "-good"))
+        # A second folder beside the first, which goes once this one is published.
+        kept = land(rows, load_location(spark, target, ctx, "-good"), provider)
         landed = replace(kept, bad=landed.bad, start=landed.start)
         rows = landed_rows(spark, landed, rows.schema)
     before_publish(rows)
-    if attach:
-        publish_attach(spark, target, landed.location, ctx)
-        return replace(landed, stop=now_millis())
-    result = load_batch(rows, target)
-    if not landed.bad:
+    if not attach:
+        result = load_batch(rows, target)
+        discard(spark, location)
+        return replace(result, start=landed.start, bad=landed.bad)
+    publish_attach(spark, target, landed.location, ctx)
+    if landed.location != location:
         discard(spark, location)
-    return replace(result, start=landed.start, bad=landed.bad)
+    return replace(landed, stop=now_millis())
 
 
 def file_units(
     planned: DataFrame, read: Callable[[SparkSession, list[str]], DataFrame]
 ) -> Iterator[Unit]:
     """The units of `plan_units` in order; only paths and sizes reach the driver, unit by unit."""
-    for number, paths, size in planned.orderBy("unit_no").toLocalIterator():
+    files = planned.select("unit_no", UNIT, UNIT_SIZE).orderBy("unit_no", UNIT).toLocalIterator()
+    for number, of_unit in groupby(files, key=lambda row: row["unit_no"]):
+        found = list(of_unit)
+        paths = [row[UNIT] for row in found]
         name = paths[0] if len(paths) == 1 else f"unit {number}, {len(paths)} files"
-        yield Unit(name, size, lambda spark, paths=paths: read(spark, paths))
+        yield Unit(name, sum(row[UNIT_SIZE] for row in found), lambda spark, p=paths: read(spark, p))
 
 
 def run_load(
@@ -238,9 +275,13 @@ def run_load(
     before_disconnecting: Sequence[Statement] | None = None,
     ctx: RunContext | None = None,
     parallel: int = 1,
+    reports_path: str | None = None,
 ) -> DataFrame:
     """Load every waiting unit and return the reports.
 
+    With a `reports_path` each report is appended to that folder as soon as it is there, and can be
+    read after a failure.
+
     Every unit is a Spark job over all executors. Loads of many small files should bin them first.
     `parallel` bounds the units that load at a time: as many runs, each with a context and a session
     of its own, take units from the same queue. Scripts that rewrite one table, such as a merge, must
@@ -257,7 +298,7 @@ def run_load(
 
     def work() -> Run:
         try:
-            with open_run(spark, after_connected, before_disconnecting, ctx) as run:
+            with open_run(spark, after_connected, before_disconnecting, ctx, reports_path) as run:
                 while unit := take():
                     run.load(unit, spec)
             return run
@@ -269,7 +310,7 @@ def run_load(
         return work().reports()
     with ThreadPoolExecutor(parallel) as pool:
         runs = [future.result() for future in [pool.submit(work) for _ in range(parallel)]]
-    return build_reports(spark, [row for run in runs for row in run.rows])
+    return reduce(DataFrame.unionByName, [run.reports() for run in runs])
 
 
 def run_routes(

@@ -1,12 +1,16 @@
 """Scripts around a load: lists of statements, each with its rows or its update count.
 
 A statement is SQL text with placeholders, or a function of the session and the run context. A
-function may return a frame (its rows), a number (its update count) or nothing. Writes that should
-report how many rows they touched are functions, because a Spark SQL command returns no count.
+function may return a frame (its rows), a number (its update count) or nothing. A SQL command reports
+the rows that its write counted; one that counts none reports no number.
+
+The rows of every result set, whatever their number, are written once as JSON to a folder that the
+report names. `result_rows` reads them back.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -18,24 +22,24 @@ from pyspark.sql import functions as F
 from loadkit.context import RunContext, assert_unused
 from loadkit.operators.elt import MergeResult, publish_append, publish_merge, purge
 from loadkit.operators.loading import LoadResult, now_millis
-from loadkit.session import scratch_path
+from loadkit.session import scratch_dir
 
 Statement = str | Callable[[SparkSession, RunContext], Any]
 
-# Rows that a report holds itself; a larger result set is written out in full and referred to.
-MAX_ROWS = 1_000
+#: Below the scratch folder, by table id.
+RESULTS = "loadkit/results"
+RESULT_SCHEMA = "location string, row string"
 
 
 @dataclass
 class ResultSet:
-    """Either the rows of a statement or its update count. `location` holds all rows if not inlined."""
+    """Where the rows of a statement are, or its update count."""
 
-    rows: list[str] | None = None
     update_count: int | None = None
     location: str | None = None
 
     def as_row(self) -> tuple:
-        return (self.rows, self.update_count, self.location)
+        return (self.update_count, self.location)
 
 
 @dataclass
@@ -56,26 +60,61 @@ def rows_as_json(df: DataFrame, name: str = "row") -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias(name))
 
 
-def collect_result(df: DataFrame, max_rows: int = MAX_ROWS) -> ResultSet:
-    """Put a result set into a report; one that is too large is written to a folder as a whole."""
-    as_json = rows_as_json(df)
-    head = as_json.take(max_rows + 1)
-    if len(head) <= max_rows:
-        return ResultSet(rows=[r["row"] for r in head])
-    location = scratch_path(df.sparkSession, "result")
-    df.write.parquet(location)
-    return ResultSet(rows=[], location=location)
-
-
-def _execute(spark: SparkSession, statement: Statement, ctx: RunContext, max_rows: int):
+def write_result(df: DataFrame, ctx: RunContext) -> ResultSet:
+    """Run a statement's query once and write its rows to a folder of the run's results."""
+    spark = df.sparkSession
+    location = f"{scratch_dir(spark)}/{RESULTS}/{ctx.table_id}/{uuid.uuid4().hex}"
+    rows_as_json(df).select(F.lit(location).alias("location"), "row").write.parquet(location)
+    return ResultSet(location=location)
+
+
+def result_rows(reports: DataFrame) -> DataFrame:
+    """The rows of all result sets in reports: the load, the step, the statement, the row as JSON."""
+    spark = reports.sparkSession
+    sets = (
+        reports.select("attributes.*", F.explode("steps").alias("step"))
+        .select(
+            "TABLE_ID",
+            "COMMIT_EPOCH",
+            F.col("step.name").alias("step"),
+            F.posexplode("step.resultSets").alias("statement_no", "result"),
+        )
+        .filter("result.location IS NOT NULL")
+        .select("TABLE_ID", "COMMIT_EPOCH", "step", "statement_no", "result.location")
+    )
+    runs = [r["TABLE_ID"] for r in sets.select("TABLE_ID").distinct().collect()]
+    paths = [f"{scratch_dir(spark)}/{RESULTS}/{run}/*" for run in runs]
+    rows = spark.read.schema(RESULT_SCHEMA).parquet(*paths) if paths else None
+    if rows is None:
+        rows = spark.createDataFrame([], RESULT_SCHEMA)
+    return sets.join(rows, "location").drop("location")
+
+
+def written_rows(done: DataFrame) -> int | None:
+    """The rows that an executed SQL command wrote, if its plan counted them."""
+    plan = done._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() != "CommandResultExec":
+        return None
+    waiting = [plan.commandPhysicalPlan()]
+    while waiting:
+        node = waiting.pop()
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined() and "Writ" in node.getClass().getSimpleName():
+            return metric.get().value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return None
+
+
+def _execute(spark: SparkSession, statement: Statement, ctx: RunContext) -> ResultSet:
     done = statement(spark, ctx) if callable(statement) else spark.sql(ctx.evaluate(statement))
     if isinstance(done, DataFrame):
-        return collect_result(done, max_rows) if done.columns else ResultSet(update_count=0)
+        return write_result(done, ctx) if done.columns else ResultSet(written_rows(done))
     if isinstance(done, MergeResult):
-        return ResultSet(update_count=done.updated + done.inserted)
+        return ResultSet(done.updated + done.inserted)
     if isinstance(done, LoadResult):
-        return ResultSet(update_count=done.rows)
-    return ResultSet(update_count=int(done or 0))
+        return ResultSet(done.rows)
+    return ResultSet(None if done is None else int(done))
 
 
 def run_script(
@@ -83,14 +122,13 @@ def run_script(
     name: str,
     statements: Sequence[Statement] | None,
     ctx: RunContext,
-    max_rows: int = MAX_ROWS,
 ) -> Step | None:
     """Run statements one by one; an empty script is no step."""
     todo = [s for s in statements or () if callable(s) or (s and s.strip())]
     if not todo:
         return None
     start = now_millis()
-    results = [_execute(spark, s, ctx, max_rows) for s in todo]
+    results = [_execute(spark, s, ctx) for s in todo]
     return Step(name, start, now_millis(), results)
 
 
@@ -104,7 +142,7 @@ def merge_into(
 ) -> Statement:
     """A statement that merges a staging table into a core table and counts the rows."""
     return lambda spark, ctx: publish_merge(
-        spark, ctx.evaluate(core), ctx.evaluate(staging), keys, order_by
+        spark, ctx.evaluate(core), ctx.evaluate(staging), keys, order_by, ctx=ctx
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -33,17 +32,13 @@ def build_session(app: str = "loadkit", master: str | None = None, **conf: str)
 def scratch_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it in `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a folder of its own: on a cluster the executors would not
-    see it, and its content would be lost with the machine.
+    Without it, a hidden folder below the warehouse, which all tables share anyway; never a temporary
+    folder of one machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="loadkit-")
-    spark.sparkContext.setCheckpointDir(own)
-    return scratch_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.loadkit"
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -104,6 +99,11 @@ def describe(spark: SparkSession, table: str) -> list[tuple[str, str]]:
     return [(row["col_name"], row["data_type"]) for row in rows]
 
 
+def table_provider(spark: SparkSession, table: str) -> str:
+    """The format of a catalog table's files."""
+    return next(value.lower() for name, value in describe(spark, table) if name == "Provider")
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     """Where the files of a catalog table live."""
     return next(value for name, value in describe(spark, table) if name == "Location")

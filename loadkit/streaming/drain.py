@@ -102,7 +102,7 @@ def load_unpublished(
     core = run.ctx.evaluate(spec.target)
     waiting = unpublished(run.spark, listing, ledger, core, name)
     planned = plan_units(waiting, target_bytes)
-    note_units(ledger, planned.select("unit_no", F.explode("paths").alias(UNIT)), name, run.ctx)
+    note_units(ledger, planned.select("unit_no", UNIT), name, run.ctx)
     loads = 0
     for unit in file_units(planned, read):
         run.load(unit, spec)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tempfile
+
 import pytest
 
 from loadkit.context import RunContext
@@ -16,6 +18,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="loadkit-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import logging
 
 import pytest
@@ -95,7 +96,8 @@ def test_expressions(spark, records, db):
 
 def test_expression_errors_are_kept(records):
     bound = bind_expr(records, {"x": "b"}, DDL("x int"), errors=True)
-    assert rows(bound) == [(None, "x", '{"x":"b"}')]
+    assert [r[:2] for r in rows(bound)] == [(None, "x")]
+    assert [json.loads(r[2]) for r in rows(bound)] == [{"b": "b"}]
 
 
 def test_errors_name_every_bad_field(spark):

@@ -116,12 +116,32 @@ def test_rows_move_between_partitions(spark, db):
     assert len(spark.sql(f"SHOW PARTITIONS {db}.core").collect()) == 2
 
 
-def test_many_touched_partitions_are_found_by_a_join(spark, db, monkeypatch):
-    monkeypatch.setattr(elt, "MAX_LISTED_PARTITIONS", 2)
-    table(spark, f"{db}.core", [(i, i, f"p{i}") for i in range(6)], "p")
-    staged = spark.createDataFrame([(i, 10 + i, f"p{i}") for i in range(1, 6)], SCHEMA)
-    publish_merge(spark, f"{db}.core", staged, ["p", "k"])
-    assert rows(spark, f"{db}.core") == sorted([(0, 0, "p0")] + [(i, 10 + i, f"p{i}") for i in range(1, 6)])
+def test_many_touched_partitions_are_pruned(spark, db):
+    core = f"{db}.core"
+    spark.range(1100).selectExpr("id AS k", "id AS v", "concat('p', id) AS p").repartition("p").write.partitionBy(
+        "p"
+    ).saveAsTable(core)
+    touched = spark.range(1050).selectExpr("concat('p', id) AS p")
+    found = elt.in_partitions(spark.table(core), touched, ["p"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p" in plan and "Join" not in plan
+    assert found.count() == 1050
+
+
+def test_twice_staged_keys_are_refused(spark, db):
+    table(spark, f"{db}.core", [(1, 1, "a")])
+    staged = spark.createDataFrame([(2, 1, "a"), (2, 2, "a")], SCHEMA)
+    with pytest.raises(elt.DuplicateKeys):
+        publish_merge(spark, f"{db}.core", staged, ["k"])
+    assert rows(spark, f"{db}.core") == [(1, 1, "a")]
+
+
+def test_a_failed_rewrite_leaves_the_table(spark, db):
+    table(spark, f"{db}.core", [(1, 1, "a")])
+    fails = spark.table(f"{db}.core").withColumn("v", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        elt.replace_rows(spark, f"{db}.core", fails)
+    assert rows(spark, f"{db}.core") == [(1, 1, "a")]
 
 
 def test_merge_into_two_partition_columns(spark, db):

@@ -27,10 +27,11 @@ from loadkit.plans.scripts import (
     ResultSet,
     Step,
     append_rows,
-    collect_result,
     fail_if_used,
     merge_into,
     purge_load,
+    result_rows,
+    rows_as_json,
     run_script,
 )
 from loadkit.sources.delimited import read_delimited
@@ -81,16 +82,11 @@ def test_every_statement_gives_rows_or_a_count(spark, db, ctx):
         lambda s, c: None,
     ]
     step = run_script(spark, "afterLoaded", statements, ctx)
-    assert [(r.rows, r.update_count) for r in step.result_sets] == [
-        (None, 0),
-        (None, 0),
-        (['{"a":1}'], None),
-        (None, 0),
-        (None, 2),
-        ([], None),
-        (['{"id":"0123abcdef"}'], None),
-        (None, 0),
-    ]
+    reports = build_reports(spark, [report_row(ctx, 0, [step], None, 0, 0)])
+    found = {r["statement_no"]: r["row"] for r in result_rows(reports).collect()}
+    assert found == {2: '{"a":1}', 6: '{"id":"0123abcdef"}'}
+    assert [r.update_count for r in step.result_sets] == [None, None, None, 2, 2, None, None, None]
+    assert [bool(r.location) for r in step.result_sets] == [i in (2, 5, 6) for i in range(8)]
     assert step.start <= step.stop
 
 
@@ -99,17 +95,9 @@ def test_an_empty_script_is_no_step(spark, ctx, script):
     assert run_script(spark, "s", script, ctx) is None
 
 
-def test_large_results_are_written_as_a_whole(spark):
-    small = collect_result(spark.range(5), max_rows=5)
-    assert len(small.rows) == 5 and small.location is None
-    large = collect_result(spark.range(6), max_rows=5)
-    assert large.rows == []
-    assert spark.read.parquet(large.location).count() == 6
-
-
 def test_duplicate_result_columns_are_refused(spark):
     with pytest.raises(ValueError, match="'a'"):
-        collect_result(spark.sql("SELECT 1 AS a, 2 AS a"))
+        rows_as_json(spark.sql("SELECT 1 AS a, 2 AS a"))
 
 
 # Reports ------------------------------------------------------------------------------------------
@@ -120,7 +108,7 @@ def reports(spark, ctx):
     steps = [
         Step("beforeLoading", 100, 150, [ResultSet(update_count=0)]),
         None,
-        Step("afterLoaded", 400, 420, [ResultSet(rows=['{"a":1}'])]),
+        Step("afterLoaded", 400, 420, [ResultSet(location='somewhere')]),
         Step("check", 420, 500),
     ]
     return build_reports(spark, [report_row(ctx, 7, steps, None, 90, 500)])
@@ -145,7 +133,7 @@ def test_report_document(spark, reports, path):
     assert (document["elapsed"], document["size"]) == (410, 7)
     assert document["attributes"] == {"TABLE_ID": "0123abcdef", "COMMIT_EPOCH": 0}
     assert document["steps"][0]["resultSets"] == [{"updateCount": 0}]
-    assert document["steps"][1]["resultSets"] == [{"rows": ['{"a":1}']}]
+    assert document["steps"][1]["resultSets"] == [{"location": "somewhere"}]
     assert "load" not in document
     for as_json in (False, True):
         where = path("reports")
@@ -167,7 +155,8 @@ def test_a_run_loads_its_units_in_order(spark, core):
     assert epochs == {1: 0, 2: 0, 3: 2}
     rows = run.reports().collect()
     assert [r["load"] and r["load"]["updateCount"] for r in rows] == [None, 2, 0, 1, None]
-    assert rows[-1]["steps"][0]["resultSets"][0]["rows"] == ['{"loads":3}']
+    last = result_rows(run.reports()).filter("step = 'beforeDisconnecting'")
+    assert [r["row"] for r in last.collect()] == ['{"loads":3}']
     assert [r["attributes"]["COMMIT_EPOCH"] for r in rows] == [0, 0, 1, 2, 3]
     assert [r["rows"] for r in run.loaded_units().collect()] == [2, 0, 1]
     summary = load_summary(run.reports()).first()
@@ -208,10 +197,10 @@ def test_a_failed_load_publishes_nothing_and_still_disconnects(spark, core):
 def test_rows_can_be_checked_before_they_are_visible(spark, core):
     check = "SELECT count(*) AS n FROM landed_%TABLE_ID%_%COMMIT_EPOCH%"
     visible = lambda s, c: s.sql(f"SELECT count(*) AS n FROM {core}")
-    reports = run_load(spark, [GOOD], LoadSpec(core, before_publish=[check, visible])).collect()
-    step = reports[0]["steps"][0]
-    assert step["name"] == "beforePublish"
-    assert [s["rows"] for s in step["resultSets"]] == [['{"n":2}'], ['{"n":0}']]
+    reports = run_load(spark, [GOOD], LoadSpec(core, before_publish=[check, visible]))
+    assert reports.first()["steps"][0]["name"] == "beforePublish"
+    found = result_rows(reports).orderBy("statement_no").collect()
+    assert [r["row"] for r in found] == ['{"n":2}', '{"n":0}']
 
 
 @pytest.mark.parametrize("table", ["core", "plain"])

@@ -9,8 +9,10 @@ from pyspark.sql import types as T
 
 from loadkit.functions.sequence import number_rows, running_total
 from loadkit.operators.routing import land_routes, route, split_bad, with_control
-from loadkit.operators.units import bin_units, load_context
+from loadkit.operators.units import bin_units, load_context, plan_units
+from loadkit.plans.run import file_units
 from loadkit.session import setting
+from loadkit.sources.records import UNIT, UNIT_SIZE
 
 
 @pytest.mark.parametrize("count", [0, 1, 2, 1000])
@@ -99,3 +101,10 @@ def test_settings_per_row(spark):
     control = spark.createDataFrame([("a", "INSERT a")], T.StructType.fromDDL("r string, statement string"))
     rows = {r["i"]: r["statement"] for r in with_control(df, control, "r").collect()}
     assert rows[1] == "INSERT a" and rows[5] is None and len(rows) == 6
+
+
+def test_many_tiny_files_make_one_unit(spark):
+    listing = spark.range(20_000).selectExpr(f"concat('f', lpad(id, 6, '0')) AS {UNIT}", f"1L AS {UNIT_SIZE}")
+    planned = plan_units(listing, target_bytes=1 << 30)
+    (unit,) = file_units(planned, lambda s, paths: paths)
+    assert unit.size == 20_000 and len(unit.read(spark)) == 20_000
