@@ -104,13 +104,16 @@ def publish_merge(
     order_by: Sequence[str] | None = None,
     keep_old: bool = False,
     ctx: RunContext | None = None,
+    keys_stay: bool = False,
 ) -> MergeResult:
     """Merge staged rows into the core table by key: replace matches, add the rest.
 
     `order_by` picks the latest of several staged rows of a key; without it staged keys that occur
     twice raise. A partitioned core table is rewritten only in the partitions that lose or gain rows,
     an unpartitioned one as a whole; `keep_old` then leaves the former files in place. Staged rows
-    without the load columns that the core table has become rows of the load `ctx`.
+    without the load columns that the core table has become rows of the load `ctx`. With `keys_stay`
+    the caller says that a key never changes its partition, and only partitions of staged rows are
+    read; otherwise matches are looked for in the whole core table.
     """
     written = isinstance(staging, str)
     staging = spark.table(staging) if written else staging
@@ -121,18 +124,23 @@ def publish_merge(
         if found := twice.select(*keys).head(3):
             raise DuplicateKeys(f"staged keys occur more than once, such as {[tuple(r) for r in found]}")
         if written:
-            return _merge(spark, core, staging, keys, keep_old)
+            return _merge(spark, core, staging, keys, keep_old, keys_stay)
     # Written once: read for the join and for the insert, and of known size for the planner.
     with materialised(staged_for_merge(staging, keys, order_by), "merge") as staged:
-        return _merge(spark, core, staged, keys, keep_old)
+        return _merge(spark, core, staged, keys, keep_old, keys_stay)
 
 
 def _merge(
-    spark: SparkSession, core: str, staged: DataFrame, keys: Sequence[str], keep_old: bool
+    spark: SparkSession,
+    core: str,
+    staged: DataFrame,
+    keys: Sequence[str],
+    keep_old: bool,
+    keys_stay: bool,
 ) -> MergeResult:
     partitions = partition_columns(spark, core)
     if partitions:
-        return _merge_partitions(spark, core, staged, keys, partitions)
+        return _merge_partitions(spark, core, staged, keys, partitions, keys_stay)
     before = spark.table(core)
     old_rows = before.count()  # no column is read: file footers hold the counts
     new_rows = replace_rows(spark, core, merge_rows(before, staged, keys), keep_old)
@@ -151,20 +159,21 @@ def _merge_partitions(
     staged: DataFrame,
     keys: Sequence[str],
     partitions: list[str],
+    keys_stay: bool,
 ) -> MergeResult:
     before = spark.table(core)
     touched = staged.select(*partitions)
-    keys_can_move = not set(partitions) <= set(keys)
+    keys_can_move = not keys_stay and not set(partitions) <= set(keys)
     if keys_can_move:
         matched = before.join(staged.select(*keys), list(keys), "left_semi")
         touched = touched.unionByName(matched.select(*partitions))
     with materialised(touched.distinct(), "touched") as touched:
         affected = in_partitions(before, touched, partitions)
         old_rows = affected.count()
-        merged = merge_rows(affected, staged, keys)
-        rewrite_partitions(spark, core, merged, touched, partitions, can_empty=keys_can_move)
-        new_rows = in_partitions(spark.table(core), touched, partitions).count()
-        return _merge_result(old_rows, new_rows, staged)
+        # The join runs once; what it gives is read for the emptied partitions and the overwrite.
+        with materialised(merge_rows(affected, staged, keys), "merged") as merged:
+            rewrite_partitions(spark, core, merged, touched, partitions, can_empty=keys_can_move)
+            return _merge_result(old_rows, merged.count(), staged)
 
 
 def in_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext
+from loadkit.functions.sequence import number_rows
 from loadkit.operators.loading import LOAD_COLUMNS
 from loadkit.operators.units import plan_units
 from loadkit.plans.run import LoadSpec, Run, Unit, file_units, open_run
+from loadkit.session import materialise
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 BATCH = "_batch"
@@ -42,10 +44,13 @@ def drain(stream: DataFrame, landing: str, checkpoint: str) -> StreamingQuery:
 
 
 def create_ledger(spark: SparkSession, ledger: str) -> None:
-    """A table of the units whose load was started, by the load that did it."""
+    """A table of the units whose load was started, by the load that did it.
+
+    It is partitioned by stream, so that a stream reads its own entries only.
+    """
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {ledger} "
-        f"(stream STRING, {UNIT} STRING, {TABLE_ID} STRING, {COMMIT_EPOCH} INT) USING parquet"
+        f"CREATE TABLE IF NOT EXISTS {ledger} ({UNIT} STRING, {TABLE_ID} STRING, "
+        f"{COMMIT_EPOCH} INT, stream STRING) USING parquet PARTITIONED BY (stream)"
     )
 
 
@@ -55,12 +60,13 @@ def note_units(ledger: str, units: DataFrame, name: str, ctx: RunContext) -> Non
     `units` has the unit and `unit_no`, which counts the loads of the run that are to come.
     """
     entries = units.select(
-        F.lit(name).alias("stream"),
         F.col(UNIT),
         F.lit(ctx.table_id).alias(TABLE_ID),
         (F.col("unit_no") + F.lit(ctx.commit_epoch)).cast("int").alias(COMMIT_EPOCH),
+        F.lit(name).alias("stream"),
     )
-    entries.write.insertInto(ledger)
+    # Gathered into files as large as their number of rows asks for.
+    entries.hint("rebalance").write.insertInto(ledger)
 
 
 def published_units(spark: SparkSession, ledger: str, core: str, name: str) -> DataFrame:
@@ -138,14 +144,11 @@ def run_stream(
         create_ledger(run.spark, ledger)
         core = run.ctx.evaluate(spec.target)
         batches = landed_batches(run.spark, landing, schema)
-        new = unpublished(run.spark, batches, ledger, core, name).orderBy(UNIT)
-        waiting = [row[UNIT] for row in new.collect()]
-        numbered = run.spark.createDataFrame(
-            list(enumerate(waiting)), f"unit_no int, {UNIT} string"
-        )
-        note_units(ledger, numbered, name, run.ctx)
-        for batch in waiting:
-            run.load(_batch_unit(run.spark, landing, schema, batch), spec)
+        new = unpublished(run.spark, batches, ledger, core, name)
+        waiting = materialise(number_rows(new, [UNIT], "unit_no"), "batches")
+        note_units(ledger, waiting, name, run.ctx)
+        for row in waiting.orderBy("unit_no").toLocalIterator():
+            run.load(_batch_unit(run.spark, landing, schema, row[UNIT]), spec)
     return run.reports()
 
 
