@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from loadkit.context import RunContext
 from loadkit.operators.binding import bind, bind_by_name, bind_expr, strict
 from loadkit.operators.loading import LoadResult, now_millis
-from loadkit.sources.jdbc import load_staged_jdbc, read_jdbc
+from loadkit.sources.jdbc import load_staged_jdbc, read_jdbc, read_options
 
 
 def jdbc_loader(
@@ -25,7 +25,9 @@ def jdbc_loader(
 
     def load(df: DataFrame, spec, ctx: RunContext, before_publish: Callable) -> LoadResult:
         start, name = now_millis(), ctx.evaluate(staging)
-        target = read_jdbc(df.sparkSession, url, f"SELECT * FROM {name} WHERE 1 = 0").schema
+        reading = read_options(load_options)
+        empty = f"SELECT * FROM {name} WHERE 1 = 0"
+        target = read_jdbc(df.sparkSession, url, empty, **reading).schema
         if spec.expressions is not None:
             bound = bind_expr(df, spec.expressions, target, errors=True)
         elif spec.fields is not None:

@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# How often a staging table is filled until it holds the rows sent and no others.
+ATTEMPTS = 3
+# Options of a load that mean nothing to a read.
+WRITE_OPTIONS = ("batchsize", "num_partitions", "isolation")
+
+
+def read_options(load_options: dict[str, Any]) -> dict[str, Any]:
+    """What reads of the same database need of the options of a load, such as user and password."""
+    return {name: value for name, value in load_options.items() if name not in WRITE_OPTIONS}
+
+
 def read_jdbc(spark: SparkSession, url: str, query: str, **properties: str) -> DataFrame:
     """The result set of a query that the database runs."""
     return spark.read.format("jdbc").options(url=url, query=query, **properties).load()
@@ -95,15 +106,21 @@ def load_staged_jdbc(
 
     The final table changes only in the last step, so a failed partition leaves it as it was. A
     retried task can leave extra rows in the staging table, which is why its row count must equal
-    the rows sent before anything is published.
+    the rows sent before anything is published; if it does not, the table is emptied and filled again.
     """
-    spark = df.sparkSession
-    sent = Observation("rows_sent")
-    load_jdbc(df.observe(sent, F.count(F.lit(1)).alias("rows")), url, staging, **load_options)
-    rows = sent.get["rows"]
-    found = read_jdbc(spark, url, f"SELECT COUNT(*) AS N FROM {staging}").first()[0]
-    if found != rows:
+    spark, reading = df.sparkSession, read_options(load_options)
+    for attempt in range(ATTEMPTS):
+        if attempt:
+            jdbc_transaction(connect, [f"DELETE FROM {staging}"])
+        sent = Observation(f"rows_sent_{attempt}")
+        load_jdbc(df.observe(sent, F.count(F.lit(1)).alias("rows")), url, staging, **load_options)
+        rows = sent.get["rows"]
+        count = f"SELECT COUNT(*) AS N FROM {staging}"
+        found = read_jdbc(spark, url, count, **reading).first()[0]
+        if found == rows:
+            break
+    else:
         raise RuntimeError(f"{staging} holds {found} rows, {rows} were sent")
-    before_publish(read_jdbc(spark, url, f"SELECT * FROM {staging}"))
+    before_publish(read_jdbc(spark, url, f"SELECT * FROM {staging}", **reading))
     jdbc_transaction(connect, publish)
     return rows

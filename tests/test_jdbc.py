@@ -130,9 +130,27 @@ def test_staged_load(spark, table):
 def test_extra_rows_in_staging_stop_the_publish(spark, table):
     table.append((0, 0))
     connection = Connection()
-    with pytest.raises(RuntimeError, match="holds 6 rows, 5 were sent"):
+    with pytest.raises(RuntimeError, match="rows, 5 were sent"):
         load_staged_jdbc(five(spark), "u", "STG", lambda: connection, ["publish"])
-    assert connection.log == []
+    assert "DELETE FROM STG" in connection.log and "publish" not in connection.log
+
+
+def test_a_staging_table_with_extra_rows_is_filled_again(spark, table, monkeypatch):
+    def transaction(connect, statements):
+        done.extend(statements)
+        if statements == ["DELETE FROM STG"]:
+            table.clear()
+
+    done = []
+    monkeypatch.setattr(jdbc, "jdbc_transaction", transaction)
+    table.append((0, 0))
+    assert load_staged_jdbc(five(spark), "u", "STG", None, ["publish"]) == 5
+    assert done == ["DELETE FROM STG", "publish"] and len(table) == 5
+
+
+def test_reads_have_the_credentials_of_the_load():
+    options = {"user": "u", "password": "p", "batchsize": 7, "num_partitions": 2}
+    assert jdbc.read_options(options) == {"user": "u", "password": "p"}
 
 
 def test_loader(spark, table):
