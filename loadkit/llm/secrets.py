@@ -100,9 +100,28 @@ def base_spans(data: bytes, low: bytes) -> list[Span]:
     return found
 
 
+def without(data: bytes, start: int, end: int, value: bytes, first: int, last: int) -> bytes:
+    """A stretch of bytes without copies of `value` that stand between `first` and `last`, nor parts of them."""
+    parts, at = [], start
+    copy = data.find(value, max(first, start - len(value) + 1), last)
+    while 0 <= copy < end:
+        parts.append(data[at : max(at, copy)])
+        at = min(end, copy + len(value))
+        copy = data.find(value, copy + len(value), last)
+    return b"".join(parts) + data[at:end]
+
+
 def novelty(data: bytes, start: int, end: int, compressor: zstandard.ZstdCompressor) -> float:
-    """The bytes that a candidate adds to the compressed text around it, as a share of its length."""
-    before, after = data[max(0, start - AROUND) : start], data[end : end + AROUND]
+    """The bytes that a candidate adds to the compressed text around it, as a share of its length.
+
+    Other copies of the candidate do not count as text around it: a secret that is set and used close
+    by is as new at either place. Nor does it matter what a copy is assigned to.
+    """
+    value = max(data[start:end].split(b"="), key=len).strip(b"+/_-")
+    if 2 * len(value) < end - start:
+        value = data[start:end]
+    before = without(data, max(0, start - AROUND), start, value, 0, start)
+    after = without(data, end, min(len(data), end + AROUND), value, end, len(data))
     alone = len(compressor.compress(before + after))
     return (len(compressor.compress(before + after + data[start:end])) - alone) / (end - start)
 

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import struct
 import zlib
 from collections import Counter
@@ -21,7 +22,7 @@ from tokenizers import Tokenizer
 
 from loadkit.llm import language, language_model, pieces, quality, secrets, token_files
 from loadkit.llm.queries import QUERIES
-from tests.llm.odd import ROWS, no_docs, odd_docs, words_of
+from tests.llm.odd import ROWS, no_docs, odd_docs, prose, words_of
 from tests.oracle import TABLES
 
 SF_DIR = f"{TABLES}/sf0.01"
@@ -247,6 +248,21 @@ def test_secrets_novelty(spark):
     assert texts[0][span["start"] : span["end"]] == span["value"] == "aZ81kf93kJDlq0283nfaKJd8"
 
 
+def test_secrets_copies_close_by(spark):
+    """Every copy of a secret is reported, also where it stands twice or more within the text around it."""
+    rng = random.Random(31)
+    values = ["".join(rng.choices(string.ascii_letters + string.digits, k=n)) + "7a" for n in (24, 32, 48, 64)]
+    texts = [f"credential {v} " * 3 for v in values]
+    texts += [f"client_secret_value={v}\ncurl -H 'bearer {v}'\n" for v in values]
+    texts += [f"credential {v}\n{prose(3, 116)[:n]} credential {v}\n" for v in values for n in (970, 990, 1010, 1030)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = by_id(secrets.scan_secrets(docs))
+    for row, text in zip(rows, texts, strict=True):
+        value = next(v for v in values if v in text)
+        spans = [s for s in row["spans"] if s["kind"] != "hex"]
+        assert [s["value"].endswith(value) for s in spans] == [True] * text.count(value), text[:200]
+
+
 def test_secrets_odd(spark):
     got = by_id(secrets.secret_digest(secrets.scan_secrets(odd_docs(spark))))
     assert len(got) == len(ROWS)
