@@ -28,13 +28,16 @@ HEX = rb"[0-9a-f]{32,}"
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 
 #: Words that make what follows them sensitive, beyond those of the base patterns.
-SENSITIVE = rb"pass(?:word|wd|phrase|code)|pwd|secret|token|api_?key|access_?key|credential|bearer|private_?key|signature|authorization"
+SENSITIVE = rb"pass[-_ ]?(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private)[-_ ]?key|credential|bearer|signature|authorization"
 SENSITIVE_WORDS = (
     b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"signature", b"authorization",
 )
-#: A candidate: at least so long, of letters and digits, at most so far behind its word, on its line.
-CANDIDATE = rb"[A-Za-z0-9+/_=-]{20,}"
+#: A candidate: at least so long, and starting at most so far behind its word, on its line or later ones.
+LEAST = 20
+CANDIDATE = rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 REACH = 64
+#: The lines around a private key, in lower case. What is between them is measured, however long it is.
+KEY_BEGIN, KEY_END = rb"-----begin [a-z0-9 ]*private key(?: block)?-----", rb"-----(end|begin)\x20"
 #: Bytes of text on either side that the compressor sees as well.
 AROUND = 1_024
 #: The least share of its own length that a reported candidate adds.
@@ -76,6 +79,7 @@ _ASSIGN = re.compile(ASSIGN)
 _ACCESS, _HEX = re.compile(ACCESS), re.compile(HEX)
 _SENSITIVE = re.compile(rb"(?:" + SENSITIVE + rb")")
 _CANDIDATE = re.compile(CANDIDATE)
+_KEY_BEGIN, _KEY_END = re.compile(KEY_BEGIN), re.compile(KEY_END)
 
 Span = tuple[str, int, int, float]
 
@@ -111,42 +115,82 @@ def without(data: bytes, start: int, end: int, value: bytes, first: int, last: i
     return b"".join(parts) + data[at:end]
 
 
-def novelty(data: bytes, start: int, end: int, compressor: zstandard.ZstdCompressor) -> float:
+def novelty(
+    data: bytes,
+    start: int,
+    end: int,
+    compressor: zstandard.ZstdCompressor,
+    own: tuple[int, int] | None = None,
+) -> float:
     """The bytes that a candidate adds to the compressed text around it, as a share of its length.
 
     Other copies of the candidate do not count as text around it: a secret that is set and used close
-    by is as new at either place. Nor does it matter what a copy is assigned to.
+    by is as new at either place. Nor does it matter what a copy is assigned to. `own` is the stretch
+    of a longer secret that the candidate is a part of; the rest of it is no text around it either.
     """
     value = max(data[start:end].split(b"="), key=len).strip(b"+/_-")
     if 2 * len(value) < end - start:
         value = data[start:end]
-    before = without(data, max(0, start - AROUND), start, value, 0, start)
-    after = without(data, end, min(len(data), end + AROUND), value, end, len(data))
+    low, high = own or (start, end)
+    before = without(data, max(0, low - AROUND), low, value, 0, low)
+    after = without(data, high, min(len(data), high + AROUND), value, high, len(data))
     alone = len(compressor.compress(before + after))
     return (len(compressor.compress(before + after + data[start:end])) - alone) / (end - start)
 
 
+def candidates(data: bytes, at: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Candidates that start in a stretch of bytes; only the last one is read beyond it."""
+    while found := _CANDIDATE.search(data, at, stop + LEAST - 1):
+        start, at = found.start(), _CANDIDATE.match(data, found.start()).end()
+        yield start, at
+
+
+def key_spans(data: bytes, low: bytes, claimed: bytearray, compressor: zstandard.ZstdCompressor) -> list[Span]:
+    """Private keys between their lines, each a span from its first character to its last.
+
+    A key counts if its lines, each measured without the others, add enough of their length. Without
+    its last line, a key has a span for each string that adds enough, to the next such block at most.
+    """
+    found: list[Span] = []
+    for begin in _KEY_BEGIN.finditer(low):
+        end = _KEY_END.search(low, begin.end())
+        own = begin.end(), end.start() if end else len(data)
+        lines = [(s, min(e, own[1])) for s, e in candidates(data, *own)]
+        spans = [("novel", s, e, novelty(data, s, e, compressor, own)) for s, e in lines]
+        body = data[slice(*own)]
+        start, last = own[1] - len(body.lstrip()), own[0] + len(body.rstrip())
+        size = sum(e - s for s, e in lines)
+        if end and end.group(1) == b"end" and 2 * size >= last - start > 0:
+            spans = [("novel", start, last, sum(x * (e - s) for _, s, e, x in spans) / size)]
+        for span in spans:
+            _, s, e, share = span
+            if share >= NOVEL and claimed.find(1, s, e) < 0:
+                found.append(span)
+                claimed[s:e] = b"\1" * (e - s)
+    return found
+
+
 def novel_spans(
     data: bytes, low: bytes, taken: list[Span], compressor: zstandard.ZstdCompressor
 ) -> list[Span]:
     """Incompressible strings behind a sensitive word that no base span overlaps."""
     if not any(word in low for word in SENSITIVE_WORDS):
         return []
-    found: dict[int, Span] = {}
+    claimed = bytearray(len(data))  # bytes of spans
+    for _, start, end, _ in taken:
+        claimed[start:end] = b"\1" * (end - start)
+    found = key_spans(data, low, claimed, compressor)
+    measured: set[int] = set()
     for word in _SENSITIVE.finditer(low):
-        line = data.find(b"\n", word.end(), word.end() + REACH)
-        stop = line if line >= 0 else word.end() + REACH
-        at = _CANDIDATE.search(data, word.end())
-        while at and at.start() < stop:
-            start, end, value = at.start(), at.end(), at.group()
-            mixed = any(48 <= b < 58 for b in value) and any(b >= 65 for b in value)
-            overlaps = any(s < end and start < e for _, s, e, _ in taken)
-            if mixed and not overlaps and start not in found:
-                share = novelty(data, start, end, compressor)
-                if share >= NOVEL:
-                    found[start] = ("novel", start, end, share)
-            at = _CANDIDATE.search(data, end)
-    return list(found.values())
+        for start, end in candidates(data, word.end(), min(len(data), word.end() + REACH)):
+            if start in measured or claimed.find(1, start, end) >= 0:
+                continue
+            measured.add(start)
+            share = novelty(data, start, end, compressor)
+            if share >= NOVEL:
+                found.append(("novel", start, end, share))
+                claimed[start:end] = b"\1" * (end - start)
+    return found
 
 
 def find_secrets(text: str | None, compressor: zstandard.ZstdCompressor) -> list[dict]:

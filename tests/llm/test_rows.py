@@ -263,6 +263,28 @@ def test_secrets_copies_close_by(spark):
         assert [s["value"].endswith(value) for s in spans] == [True] * text.count(value), text[:200]
 
 
+def test_secrets_keys_headers_and_later_lines(spark):
+    """Names written with hyphens or blanks, values on a later line, without digits, and whole PEM keys."""
+    rng = random.Random(32)
+    value = lambda n, of=string.ascii_letters + string.digits + "+/": "".join(rng.choices(of, k=n))
+    names = ["X-Api-Key: {}", "api-key {}", "access-key: {}", "the private key {} is", "private_key: |\n    {}",
+             "Authorization: Basic\n  {}", "credential:\n- {}", "pass phrase {}"]
+    want = [(name, value(40)) for name in names]
+    want += [("credential {}", value(24, string.ascii_letters))]
+    for kind, n in (("RSA ", 1_592), ("", 1_624), ("EC ", 164), ("OPENSSH ", 380), ("RSA ", 3_180)):
+        body = "\n".join(re.findall(".{1,64}", value(n)))
+        want.append((f"see\n-----BEGIN {kind}PRIVATE KEY-----\n{{}}\n-----END {kind}PRIVATE KEY-----\nend", body))
+    texts = [name.format(v) for name, v in want]
+    texts += ["-----BEGIN PRIVATE KEY-----\n" + value(64) + "\n" + value(64)]  # cut off
+    texts += ["-----BEGIN PRIVATE KEY-----\n...\n-----END PRIVATE KEY-----"]
+    texts += ["the private key of the configuration_manager_factory\napi-key = connection_settings_handler"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = [[s["value"] for s in r["spans"]] for r in by_id(secrets.scan_secrets(docs))]
+    for (name, v), spans in zip(want, found, strict=False):
+        assert spans == [v], name
+    assert [len(spans) for spans in found[len(want) :]] == [2, 0, 0]
+
+
 def test_secrets_odd(spark):
     got = by_id(secrets.secret_digest(secrets.scan_secrets(odd_docs(spark))))
     assert len(got) == len(ROWS)
