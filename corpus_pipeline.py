@@ -21,12 +21,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays: the longest, then the one with the smallest id."""
-    return unique_rows(docs, DigestIndex(spark, f"{workspace(spark)}.digests"), "pipeline")
+    index = DigestIndex(spark, f"{workspace(spark)}.digests")
+    return unique_rows(docs, index, "pipeline", without_id=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
-    return one_of_each_group(docs)
+    return one_of_each_group(docs, without_id=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

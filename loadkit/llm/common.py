@@ -53,21 +53,46 @@ def free_name(docs: DataFrame, name: str) -> str:
     return name
 
 
-def rows_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of `docs` whose id is in the one column of `ids`, with the columns of `docs` alone.
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells a row from others: its id, null or not, and the digest of its text.
 
-    The ids go under a name that `docs` does not have, so no column of `docs` can clash.
+    Never null, so that joins match rows without an id as well; in order, the rows without one are
+    last. Rows of one key are the same row repeated.
     """
-    key = free_name(docs, "_id")
-    return docs.join(ids.toDF(key), F.col(id_col) == F.col(key), "left_semi")
+    return F.struct(
+        F.col(id_col).isNull().alias("absent"),
+        F.col(id_col).alias("id"),
+        F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest"),
+    )
+
 
+def rows_of(
+    docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "_id"
+) -> DataFrame:
+    """The rows of `docs` whose `row_key` is in the one column of `keys`, with their keys as `name`.
+
+    The keys to find go under a name that `docs` does not have, so no column of `docs` can clash.
+    """
+    keyed = docs.withColumn(name, row_key(id_col, text_col))
+    key = free_name(keyed, "_found")
+    return keyed.join(keys.toDF(key), F.col(name) == F.col(key), "left_semi")
 
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Leave one of several rows that have the same id; other rows are not shuffled by content."""
+
+def one_row_per_key(docs: DataFrame, name: str) -> DataFrame:
+    """Leave one of several rows that have the same key; other rows are not shuffled by content."""
     key, number = free_name(docs, "_twice"), free_name(docs, "_number")
-    counted = docs.groupBy(id_col).agg(F.count("*").alias(number))
-    twice = counted.filter(F.col(number) > 1).select(id_col).toDF(key)
-    match = F.col(id_col) == F.col(key)
+    counted = docs.groupBy(name).agg(F.count("*").alias(number))
+    twice = counted.filter(F.col(number) > 1).select(name).toDF(key)
+    match = F.col(name) == F.col(key)
     return docs.join(twice, match, "left_anti").unionByName(
-        docs.join(twice, match, "left_semi").dropDuplicates([id_col])
+        docs.join(twice, match, "left_semi").dropDuplicates([name])
     )
+
+
+def kept_rows(
+    docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text", without_id: bool = False
+) -> DataFrame:
+    """One row of `docs` for every key in `keys`, with the columns of `docs` alone."""
+    name = free_name(docs, "_id")
+    found = one_row_per_key(rows_of(docs, keys, id_col, text_col, name), name).drop(name)
+    return found if without_id else found.filter(F.col(id_col).isNotNull())

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import WHITE, one_row_per_id, rows_of, texts
+from loadkit.llm.common import WHITE, kept_rows, row_key, texts
 from loadkit.session import materialise
 
 
@@ -20,16 +20,17 @@ def normal_text(text: Column) -> Column:
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, the digest of its normalised text, its code points, and `turn`.
+    """Per row: doc_id, its key, the digest of its normalised text, its code points, and `turn`.
 
     `turn` is 1 for one row of each id and digest, the longest; it orders rows repeated under one id.
     """
     rows = texts(docs, id_col, text_col).select(
         "doc_id",
+        row_key().alias("key"),
         F.unhex(F.sha2(normal_text(F.col("text")), 256)).alias("digest"),
         F.coalesce(F.char_length("text"), F.lit(0)).alias("n_points"),
     )
-    same = Window.partitionBy("doc_id", "digest").orderBy(F.desc("n_points"))
+    same = Window.partitionBy("doc_id", "digest").orderBy(F.desc("n_points"), "key.digest")
     return rows.withColumn("turn", F.row_number().over(same))
 
 
@@ -71,6 +72,12 @@ class DigestIndex:
         rows repeated under one id, one stays. An empty batch gives no rows and appends nothing.
         Calling again with the same `load_id` and batch gives the same answer and appends nothing.
         """
+        return self.decide(docs, load_id, id_col, text_col).drop("key")
+
+    def decide(
+        self, docs: DataFrame, load_id: str, id_col: str = "doc_id", text_col: str = "text"
+    ) -> DataFrame:
+        """`deduplicate`, with the `key` of every row."""
         rows = materialise(digests(docs, id_col, text_col), "digests")
         # Partial aggregation: a text with a third of all rows sends one row per task.
         best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull(), "doc_id"))
@@ -90,12 +97,22 @@ class DigestIndex:
             "group_size",
             (first & (F.col("turn") == 1)).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
+            "key",
         )
 
 
 def unique_rows(
-    docs: DataFrame, index: DigestIndex, load_id: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    index: DigestIndex,
+    load_id: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    without_id: bool = False,
 ) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. A row without an id does not stay."""
-    kept = index.deduplicate(docs, load_id, id_col, text_col).filter("kept").select("doc_id")
-    return one_row_per_id(rows_of(docs, materialise(kept, "kept"), id_col), id_col)
+    """The rows of `docs` that `index` keeps, with all their columns.
+
+    Of rows with different texts under one id, each is kept or not for its own text. Rows without an
+    id stay only if `without_id` is set.
+    """
+    kept = index.decide(docs, load_id, id_col, text_col).filter("kept").select("key")
+    return kept_rows(docs, materialise(kept, "kept"), id_col, text_col, without_id)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import bounded_batches, one_row_per_id, rows_of, texts
+from loadkit.llm.common import bounded_batches, free_name, kept_rows, row_key, texts
 from loadkit.llm.components import components
 from loadkit.llm.hashing import WordHasher, mixed, spaces_of
 from loadkit.session import materialise, materialised
@@ -266,11 +266,16 @@ def one_of_each_group(
     text_col: str = "text",
     words: int = WORDS,
     percent: int = PERCENT,
+    without_id: bool = False,
 ) -> DataFrame:
     """The rows of `docs` with the smallest id of their group, with all their columns.
 
-    Rows without an id do not stay. Texts without n-grams are groups of their own and stay.
+    Rows are grouped by key, so rows with different texts under one id are rows of their own. Rows
+    without an id stay only if `without_id` is set, and then for groups of such rows alone. Texts
+    without n-grams are groups of their own and stay.
     """
-    groups = similar_groups(docs, id_col, text_col, words, percent)
+    key = free_name(docs, "_key")
+    keyed = docs.select(row_key(id_col, text_col).alias(key), F.col(text_col))
+    groups = similar_groups(keyed, key, text_col, words, percent)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    return one_row_per_id(rows_of(docs, materialise(kept, "kept"), id_col), id_col)
+    return kept_rows(docs, materialise(kept, "kept"), id_col, text_col, without_id)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadkit.functions.sequence import running_total
-from loadkit.llm.common import WORD, free_name
+from loadkit.llm.common import WORD, free_name, row_key
 from loadkit.session import materialise
 
 #: No document is taken more often than this.
@@ -105,19 +105,22 @@ def mix(
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST_COPIES,
     schedule: Sequence[Sequence[float]] = SCHEDULE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per row of `docs`: doc_id, source, size, source_size, target, copies, taken (words), offset
     (words of its source before it), and position (of its first copy; null if it is not taken).
 
     Null and empty texts have size 0, are never taken and have no copies. Documents without a source
     form a source of their own, the last. The order within a source is that of a hash of the id, so
-    reruns agree; rows repeated under one id each count. With no words at all, targets are 0.
+    reruns agree; rows repeated under one id each count. With no words at all, targets are 0. The
+    columns of `carry` come along and order rows of one id and size.
     """
     sizes = materialise(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
             n_words(F.col(text_col)).alias("size"),
+            *carry,
         ),
         "sizes",
     )
@@ -126,7 +129,7 @@ def mix(
         targets, F.col("_source").eqNullSafe(F.col("source"))
     ).drop("_source")
     keyed = known.withColumn("key", F.md5(F.col("doc_id").cast("string").cast("binary")))
-    placed = running_total(keyed, ["rank", "key", "doc_id", "size"], F.col("size"), "at")
+    placed = running_total(keyed, ["rank", "key", "doc_id", "size", *carry], F.col("size"), "at")
     offset = F.col("at") - F.col("before")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
     passes = F.coalesce(passes, F.lit(0)).cast("bigint")
@@ -145,7 +148,7 @@ def mix(
         )
         .select(
             "doc_id", "source", "rank", "size", "source_size", "target", "copies", "taken", "offset",
-            "position",
+            "position", *carry,
         )
     )
 
@@ -167,20 +170,38 @@ def mixed_rows(
 ) -> DataFrame:
     """The rows of `docs` in training order: each as often as it is taken, range-sorted by position.
 
-    Ids must be unique. Columns are those of `docs`; its names cannot clash with the operator's own.
+    Rows are told apart by id, text and source, so rows without an id and rows repeated under one each
+    come as often as they are taken. Columns are those of `docs`; its names cannot clash with the
+    operator's own.
     """
-    plan = mix(docs, id_col, text_col, source_col, schedule=schedule, **options).filter("copies > 0")
+    name = free_name(docs, "_mix")
+    key, turn = f"{name}_key", f"{name}_turn"
+    source = F.col(source_col).cast("string").alias("source")
+    keyed = docs.withColumn(key, F.struct(row_key(id_col, text_col).alias("row"), source))
+    plan = mix(keyed, id_col, text_col, source_col, schedule=schedule, carry=[key], **options)
+    # Rows of one key are the same but for other columns: the first of them takes the first place.
+    same = Window.partitionBy(key).orderBy("offset")
+    plan = plan.filter("copies > 0").withColumn("turn", F.row_number().over(same))
     plan = plan.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
     ).select(
         F.struct(
-            F.col("doc_id").alias("key"),
+            F.col(key).alias("key"),
+            "turn",
             _position(F.col("copy"), schedule).alias("position"),
             "copy",
-        ).alias("_mix")
+        ).alias(name)
     )
     plan = materialise(plan, "mix")
-    name = free_name(docs, "_mix")
-    joined = docs.join(plan.toDF(name), F.col(id_col) == F.col(f"{name}.key"))
+    twice = plan.filter(F.col(f"{name}.turn") > 1).select(F.col(f"{name}.key").alias(name)).distinct()
+    twice = materialise(twice, "twice")
+    repeated = F.col(key) == F.col(name)
+    numbered = keyed.join(twice, repeated, "left_anti").withColumn(turn, F.lit(1)).unionByName(
+        keyed.join(twice, repeated, "left_semi").withColumn(
+            turn, F.row_number().over(Window.partitionBy(key).orderBy(key))
+        )
+    )
+    match = (F.col(key) == F.col(f"{name}.key")) & (F.col(turn) == F.col(f"{name}.turn"))
     order = [F.col(f"{name}.position"), F.col(f"{name}.key"), F.col(f"{name}.copy")]
-    return joined.repartitionByRange(*order).sortWithinPartitions(*order).drop(name)
+    joined = numbered.join(plan, match)
+    return joined.repartitionByRange(*order).sortWithinPartitions(*order).drop(name, key, turn)
