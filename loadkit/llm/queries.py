@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loadkit.checks import workspace
 from loadkit.llm.common import table, texts
+from loadkit.llm.conversations import audits, damage_turns, repair_turns
 from loadkit.llm.embeddings import near_duplicates
 from loadkit.llm.exact_dedup import DigestIndex
 from loadkit.llm.jaccard import similar_groups
@@ -242,3 +243,113 @@ def op6_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group all documents by similar sets of four words."""
     return similar_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query(
+    r"""
+    WITH RECURSIVE raw AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                lambda c: ord(c)::BIGINT) AS key
+        FROM conversations
+    ), drawn AS (
+        SELECT conv_id, turn, role, text, xor(4294967295::BIGINT, list_reduce(
+            list_prepend(4294967295::BIGINT, key), lambda a, b: list_reduce(
+                list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END::BIGINT)))) % 20 AS draw
+        FROM raw
+    ), rows AS (
+        SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+            CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM drawn
+    ), placed AS (
+        SELECT *, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i
+        FROM rows
+    ), told AS (
+        SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen,
+            NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+        FROM placed
+    ), counts AS (
+        SELECT conv_id, count(*) AS n,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen) AS duplicate,
+            count(*) FILTER (NOT blank AND NOT seen AND cut) AS truncated,
+            count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM told GROUP BY conv_id
+    ), steps AS (
+        -- Per state the cost in 12 digits and the edits so far; inserts come before a row.
+        SELECT DISTINCT conv_id, 0 AS i, '000000000000' AS v0, NULL::VARCHAR AS vs, NULL::VARCHAR AS vu,
+            NULL::VARCHAR AS va FROM told
+        UNION ALL
+        SELECT conv_id, i, d0, CASE WHEN free AND initial = 's' THEN least(ds, k0) ELSE ds END,
+            CASE WHEN NOT free THEN du WHEN initial = 'u' THEN least(du, r0, rs, ra, k0, ks, ka)
+                ELSE least(du, r0, rs, ra) END,
+            CASE WHEN NOT free THEN da WHEN initial = 'a' THEN least(da, ru, ku) ELSE least(da, ru) END
+        FROM (
+            SELECT conv_id, i, initial, free,
+                lpad((left(v0, 12)::BIGINT + 2)::VARCHAR, 12, '0') || substr(v0, 13) || 'D' AS d0,
+                lpad((left(vs, 12)::BIGINT + 2)::VARCHAR, 12, '0') || substr(vs, 13) || 'D' AS ds,
+                lpad((left(vu, 12)::BIGINT + 2)::VARCHAR, 12, '0') || substr(vu, 13) || 'D' AS du,
+                lpad((left(va, 12)::BIGINT + 2)::VARCHAR, 12, '0') || substr(va, 13) || 'D' AS da,
+                lpad((left(v0, 12)::BIGINT + more)::VARCHAR, 12, '0') || substr(v0, 13) || 'K' AS k0,
+                lpad((left(vs, 12)::BIGINT + more)::VARCHAR, 12, '0') || substr(vs, 13) || 'K' AS ks,
+                lpad((left(vu, 12)::BIGINT + more)::VARCHAR, 12, '0') || substr(vu, 13) || 'K' AS ku,
+                lpad((left(va, 12)::BIGINT + more)::VARCHAR, 12, '0') || substr(va, 13) || 'K' AS ka,
+                lpad((left(v0, 12)::BIGINT + more + 1)::VARCHAR, 12, '0') || substr(v0, 13) || 'R' AS r0,
+                lpad((left(vs, 12)::BIGINT + more + 1)::VARCHAR, 12, '0') || substr(vs, 13) || 'R' AS rs,
+                lpad((left(vu, 12)::BIGINT + more + 1)::VARCHAR, 12, '0') || substr(vu, 13) || 'R' AS ru,
+                lpad((left(va, 12)::BIGINT + more + 1)::VARCHAR, 12, '0') || substr(va, 13) || 'R' AS ra
+            FROM (
+                SELECT s.conv_id, t.i, t.initial, NOT blank AND NOT seen AS free,
+                    CASE WHEN cut THEN 5 ELSE 0 END AS more, v0, vs, vu,
+                    least(va, lpad((left(vu, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(vu, 13) || 'I') AS va
+                FROM (
+                    SELECT conv_id, i, v0, vs, least(vu,
+                        lpad((left(v0, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(v0, 13) || 'I',
+                        lpad((left(vs, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(vs, 13) || 'I',
+                        lpad((left(va, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(va, 13) || 'I') AS vu, va
+                    FROM steps
+                ) s JOIN told t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.i = s.i + 1
+            )
+        )
+    ), last_step AS (
+        SELECT conv_id, v0, va, least(vu,
+            lpad((left(v0, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(v0, 13) || 'I',
+            lpad((left(vs, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(vs, 13) || 'I') AS vu
+        FROM steps JOIN counts USING (conv_id) WHERE i = n
+    ), best AS (
+        SELECT conv_id, least(v0, va,
+            lpad((left(vu, 12)::BIGINT + 5)::VARCHAR, 12, '0') || substr(vu, 13) || 'I') AS v
+        FROM last_step
+    ), letters AS (
+        SELECT conv_id, unnest(string_split(substr(v, 13), '')) AS edit,
+            unnest(range(1, length(v) - 11)) AS place
+        FROM best WHERE length(v) > 12
+    ), numbered AS (
+        SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS out,
+            count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id) AS n_out
+        FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+    ), lines AS (
+        SELECT l.conv_id, place, CASE WHEN edit = 'K' THEN role
+            WHEN (out - n_out % 2) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line
+        FROM numbered l JOIN told t ON t.conv_id = l.conv_id AND t.i = greatest(l.i, 1)
+        WHERE edit <> 'D'
+    ), texts AS (
+        SELECT conv_id, string_agg(line, chr(10) ORDER BY place) AS text FROM lines GROUP BY conv_id
+    )
+    SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+        coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+        coalesce(illegal, 0)::BIGINT AS illegal, coalesce(left(v, 12)::BIGINT, 0)::BIGINT AS cost,
+        coalesce(substr(v, 13), '') AS audit, sha256(coalesce(texts.text, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts USING (conv_id)
+        LEFT JOIN best USING (conv_id) LEFT JOIN texts USING (conv_id)
+    """
+)
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations and repair them."""
+    return audits(repair_turns(damage_turns(table(spark, sf_dir, "conversations"))))
