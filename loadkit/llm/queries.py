@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loadkit.checks import workspace
 from loadkit.llm.common import table, texts
 from loadkit.llm.conversations import audits, damage_turns, repair_turns
+from loadkit.llm.divergence import divergence
 from loadkit.llm.embeddings import near_duplicates
 from loadkit.llm.exact_dedup import DigestIndex
 from loadkit.llm.jaccard import similar_groups
@@ -353,3 +354,50 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage all conversations and repair them."""
     return audits(repair_turns(damage_turns(table(spark, sf_dir, "conversations"))))
+
+
+@query(
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+        FROM documents
+    ), w AS (
+        SELECT no, lang, source, unnest(found) AS term FROM d
+    ), kept AS (
+        SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT no) >= 3
+    ), l AS (
+        SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+    ), c AS (
+        SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL
+    ), g AS (
+        SELECT lang, source, coalesce(any_value(l.v), 0) AS v, coalesce(any_value(l.n), 0) AS lang_n,
+            coalesce(sum(c.n), 0) AS n
+        FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN l USING (lang)
+        GROUP BY lang, source
+    ), p AS (
+        SELECT lang, source, term, coalesce(c.n, 0) AS n, total,
+            1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + v) AS p,
+            1 + 1000000000::HUGEINT * (total + 1) // (lang_n + v) AS q
+        FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), valued AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM valued
+    )
+    SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+    WHERE part = 'pair' OR rank <= 200
+    """
+)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit the divergence of all sources of the documents."""
+    return divergence(table(spark, sf_dir, "documents"))
