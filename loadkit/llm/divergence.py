@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -196,9 +197,6 @@ def _product(
                 )
 
 
-_WIDE = "decimal(38,0)"
-
-
 def smoothed(count: Column, words: Column, terms: Column) -> Column:
     """The smoothed probability of a count in parts of `SCALE`; exact for any count."""
     top = (count.cast("decimal(25,0)") + 1) * F.lit(SCALE).cast("decimal(10,0)")
@@ -262,58 +260,69 @@ def _pairs(groups: DataFrame, kept: DataFrame) -> DataFrame:
 
     For levels a of the group and b of the other, the sum over all terms of f(a, b) is the sum over
     terms where both are above 0 of f(a, b) - f(a, 0) - f(0, b) + f(0, 0), plus what each side adds
-    alone against level 0, plus f(0, 0) for all terms.
+    alone against level 0, plus f(0, 0) for all terms. Probabilities are computed once for each level
+    that a group has; a row of a joint table gives both directions.
     """
     rows = kept.groupBy("lang", "levels").agg(
         F.count("*").alias("weight"), F.first("total").alias("total")
     )
     half = materialise(level_products(rows), "products")
     same = F.col("source") == F.col("other")
-    single = half.filter(same).select("lang", "source", "level", "terms")
-    both = half.filter(~same)
-    turned = both.select(
-        "lang", F.col("other").alias("source"), F.col("other_level").alias("level"),
-        F.col("source").alias("other"), F.col("level").alias("other_level"), "terms",
+    zero = F.lit(0).cast("bigint")
+    # Without terms there is nothing to price.
+    named = groups.filter("terms > 0").select(
+        "lang", "source", "words", "terms", smoothed(zero, F.col("words"), F.col("terms")).alias("p0")
     )
-    named = groups.select("lang", "source", "words", F.col("terms").alias("n"))
-    others = groups.select(
-        "lang", F.col("source").alias("other"), F.col("words").alias("other_words")
+    levels = (
+        half.filter(same)
+        .select("lang", "source", "level", F.col("terms").alias("n"))
+        .join(named, ["lang", "source"])
+        .withColumn("p", smoothed(F.col("level"), F.col("words"), F.col("terms")))
     )
-    pairs = named.join(others, "lang").filter(~same)
-
-    def p(level: Column | str) -> Column:
-        return smoothed(F.col(level) if isinstance(level, str) else level, F.col("words"), F.col("n"))
+    levels = materialise(levels.select("lang", "source", "level", "n", "p", "p0"), "levels")
 
-    def q(level: Column | str) -> Column:
-        return smoothed(F.col(level) if isinstance(level, str) else level, F.col("other_words"), F.col("n"))
+    def wide(value: Column, times: str) -> Column:
+        return F.sum(value.cast("decimal(20,0)") * F.col(times).cast("decimal(18,0)"))
 
-    zero = F.lit(0).cast("bigint")
-
-    def wide(value: Column) -> Column:
-        return value.cast(_WIDE) * F.col("terms").cast("decimal(19,0)")
-
-    p0, q0 = p(zero), q(zero)
-    key = ["lang", "source", "other"]
-    joint = both.unionByName(turned).join(pairs, key).select(
-        *key,
-        (
-            price(p("level"), q("other_level")).cast("decimal(20,0)") - price(p("level"), q0)
-            - price(p0, q("other_level")) + price(p0, q0)
-        ).alias("f"),
-        "terms",
+    one = levels.drop("n")
+    two = levels.select(
+        "lang", F.col("source").alias("other"), F.col("level").alias("other_level"),
+        F.col("p").alias("q"), F.col("p0").alias("q0"),
     )
-    left = single.join(pairs, ["lang", "source"]).select(
-        *key, (price(p("level"), q0).cast("decimal(20,0)") - price(p0, q0)).alias("f"), "terms"
+    p, p0, q, q0 = (F.col(c) for c in ("p", "p0", "q", "q0"))
+    joint = (
+        half.filter(~same)
+        .join(one, ["lang", "source", "level"])
+        .join(two, ["lang", "other", "other_level"])
+        .groupBy("lang", "source", "other")
+        .agg(
+            wide(price(p, q) - price(p, q0) - price(p0, q) + price(p0, q0), "terms").alias("there"),
+            wide(price(q, p) - price(q, p0) - price(q0, p) + price(q0, p0), "terms").alias("back"),
+        )
     )
-    right = single.withColumnsRenamed({"source": "other"}).join(pairs, ["lang", "other"]).select(
-        *key, (price(p0, q("level")).cast("decimal(20,0)") - price(p0, q0)).alias("f"), "terms"
+    joint = materialise(joint, "joint")
+    pairs = named.select("lang", "source", "p0", F.col("terms").alias("n")).join(
+        named.select("lang", F.col("source").alias("other"), F.col("p0").alias("q0")), "lang"
+    ).filter(~same)
+    alone = levels.drop("p0", "level")
+    left = pairs.drop("n").join(alone, ["lang", "source"]).groupBy("lang", "source", "other").agg(
+        wide(price(p, q0) - price(p0, q0), "n").alias("sum")
     )
-    none = pairs.filter("n > 0").select(
-        *key, price(p0, q0).cast("decimal(20,0)").alias("f"), F.col("n").alias("terms")
+    alone = alone.withColumnsRenamed({"source": "other", "p": "q"})
+    right = pairs.drop("n").join(alone, ["lang", "other"]).groupBy("lang", "source", "other").agg(
+        wide(price(p0, q) - price(p0, q0), "n").alias("sum")
     )
-    parts = joint.unionByName(left).unionByName(right).unionByName(none)
-    sums = parts.groupBy(*key).agg(F.sum(F.col("f") * F.col("terms").cast("decimal(18,0)")).alias("sum"))
-    valued = pairs.join(sums, key, "left").select(
+    none = pairs.groupBy("lang", "source", "other").agg(wide(price(p0, q0), "n").alias("sum"))
+    parts = [
+        joint.select("lang", "source", "other", F.col("there").alias("sum")),
+        joint.select("lang", F.col("other").alias("source"), F.col("source").alias("other"), F.col("back").alias("sum")),
+        left, right, none,
+    ]
+    sums = reduce(DataFrame.unionByName, parts).groupBy("lang", "source", "other").agg(F.sum("sum").alias("sum"))
+    every = groups.select("lang", "source").join(
+        groups.select("lang", F.col("source").alias("other")), "lang"
+    ).filter(~same)
+    valued = every.join(sums, ["lang", "source", "other"], "left").select(
         "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"),
         F.coalesce(F.col("sum").cast("bigint"), zero).alias("value"),
     )
