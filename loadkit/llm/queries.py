@@ -14,6 +14,7 @@ from loadkit.llm.conversations import audits, damage_turns, repair_turns
 from loadkit.llm.divergence import divergence
 from loadkit.llm.embeddings import near_duplicates
 from loadkit.llm.exact_dedup import DigestIndex
+from loadkit.llm.fingerprints import fingerprints
 from loadkit.llm.jaccard import similar_groups
 from loadkit.llm.language import predict_languages
 from loadkit.llm.language_model import model_scores
@@ -401,3 +402,9 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit the divergence of all sources of the documents."""
     return divergence(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint all documents and their edited texts."""
+    return fingerprints(table(spark, sf_dir, "documents"))
