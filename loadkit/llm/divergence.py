@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +29,8 @@ SCALE = 1_000_000_000
 #: Terms that a group lists at most.
 MOST_TERMS = 200
 
-#: Bytes of text that a task counts at a time, and columns of a tile.
-COUNT_BYTES, TILE = 8 << 20, 512
+#: Bytes of text that a task counts at a time, counts that it holds, and columns of a tile.
+COUNT_BYTES, HELD, TILE = 4 << 20, 400_000, 512
 
 #: Terms are runs of ASCII letters and characters beyond ASCII; only A-Z change their case. In UTF-8
 #: those characters are bytes from 0x80 on, so bytes can be mapped one by one.
@@ -56,53 +55,60 @@ def term_counts(
 ) -> DataFrame:
     """lang, source, term, count, docs: partial sums, a few for each term and task.
 
-    Every task counts the terms of its documents in batches, so that most repetitions end there. A
-    group always has a row, without a term if need be.
+    Every task counts the terms of its documents by group and hands the counts on when it holds
+    `HELD` of them, so most repetitions end there.
     """
-    empty = F.lit("")
-    rows = docs.select(
-        F.coalesce(F.col(lang_col).cast("string"), empty).alias("lang"),
-        F.coalesce(F.col(source_col).cast("string"), empty).alias("source"),
-        F.coalesce(F.col(text_col), empty).alias("text"),
-    )
+    rows = _groups(docs, lang_col, source_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         for batch in batches:
-            groups: dict[tuple[str, str], list[str]] = {}
             for lang, source, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                groups.setdefault((lang, source), []).append(text)
-            for (lang, source), found in groups.items():
-                yield from _counted(lang, source, found)
-
-    def _counted(lang: str, source: str, found: list[str]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-        sets: list[set[bytes]] = []
-        for text in found:
-            parts = list(terms_of(text))
-            counts.update(chain.from_iterable(parts))
-            sets.append(set(chain.from_iterable(parts)))
-        in_docs = Counter(chain.from_iterable(sets))
-        n = len(counts) or 1
-        terms = pa.array([t.decode() for t in counts] or [None], pa.string())
-        numbers = pa.array(list(counts.values()) or [0], pa.int64())
-        docs_of = pa.array([in_docs[t] for t in counts] or [0], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * n), pa.array([source] * n), terms, numbers, docs_of],
-            ["lang", "source", "term", "count", "docs"],
-        )
+                counts, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
+                own: set[bytes] = set()
+                for terms in terms_of(text):
+                    counts.update(terms)
+                    own.update(terms)
+                in_docs.update(own)
+            if sum(len(counts) for counts, _ in held.values()) >= HELD:
+                yield from map(_as_batch, held, held.values())
+                held = {}
+        yield from map(_as_batch, held, held.values())
 
     bounded_batches(docs.sparkSession)
     return rows.mapInArrow(count, "lang string, source string, term string, count bigint, docs bigint")
 
 
+def _groups(docs: DataFrame, lang_col: str, source_col: str, *more: Column) -> DataFrame:
+    named = {"lang": lang_col, "source": source_col}
+    empty = F.lit("")
+    return docs.select(
+        *[F.coalesce(F.col(c).cast("string"), empty).alias(n) for n, c in named.items()], *more
+    )
+
+
+def _as_batch(group: tuple[str, str], counted: tuple[Counter, Counter]) -> pa.RecordBatch:
+    counts, in_docs = counted
+    n = len(counts)
+    columns = [
+        pa.array([group[0]] * n, pa.string()),
+        pa.array([group[1]] * n, pa.string()),
+        # Whole characters of a text in UTF-8, so the bytes need no other check.
+        pa.array(list(counts), pa.binary()).cast(pa.string()),
+        pa.array(list(counts.values()), pa.int64()),
+        pa.array(list(map(in_docs.__getitem__, counts)), pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count", "docs"])
+
+
 def kept_terms(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """lang, term, total, levels (source and count, in order of the source) of the terms that stay.
 
-    A term has a level for each of its sources. The counts are shuffled once, by language and term;
-    what a task has of a term was summed up before.
+    A term has a level for each of its sources. The counts are shuffled once, by language and term,
+    and summed up by source and then by term where they are.
     """
     summed = (
-        counts.filter(F.col("term").isNotNull())
+        counts.repartition("lang", "term")
         .groupBy("lang", "term", "source")
         .agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
     )
@@ -197,10 +203,16 @@ def _product(
                 )
 
 
+#: Counts whose product with `SCALE` is below 2^63, so that long integers do.
+_NARROW = 9_000_000_000
+
+
 def smoothed(count: Column, words: Column, terms: Column) -> Column:
     """The smoothed probability of a count in parts of `SCALE`; exact for any count."""
+    narrow = F.call_function("div", (count + 1) * SCALE, words + terms)
     top = (count.cast("decimal(25,0)") + 1) * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", top, (words + terms).cast("decimal(25,0)")) + 1
+    wide = F.call_function("div", top, (words + terms).cast("decimal(25,0)"))
+    return F.when(count < _NARROW, narrow).otherwise(wide) + 1
 
 
 def price(p: Column, q: Column) -> Column:
@@ -225,12 +237,7 @@ def divergence(
     has pairs alone. Repeated rows count as often as they come; an empty table gives no rows. A text of
     any length is counted some megabytes at a time.
     """
-    counts = materialise(
-        term_counts(docs, text_col, lang_col, source_col)
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("count").alias("count"), F.sum("docs").alias("docs")),
-        "counts",
-    )
+    counts = term_counts(docs, text_col, lang_col, source_col)
     kept = materialise(kept_terms(counts, least_docs), "terms")
     langs = kept.groupBy("lang").agg(
         F.count("*").alias("terms"), F.sum("total").alias("lang_words")
@@ -240,7 +247,7 @@ def divergence(
     )
     # A row per group, which is far less than the pairs that are returned.
     groups = materialise(
-        counts.select("lang", "source")
+        _groups(docs, lang_col, source_col)
         .distinct()
         .join(words, ["lang", "source"], "left")
         .join(langs, "lang", "left")
