@@ -10,7 +10,6 @@ the same counts everywhere are one row with a weight.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -29,8 +28,8 @@ SCALE = 1_000_000_000
 #: Terms that a group lists at most.
 MOST_TERMS = 200
 
-#: Bytes of text that a task counts at a time, counts that it holds, and columns of a tile.
-COUNT_BYTES, HELD, TILE = 4 << 20, 400_000, 512
+#: Bytes of text that a task counts at a time, or one text if it has more, and columns of a tile.
+HELD, TILE = 32 << 20, 512
 
 #: Terms are runs of ASCII letters and characters beyond ASCII; only A-Z change their case. In UTF-8
 #: those characters are bytes from 0x80 on, so bytes can be mapped one by one.
@@ -39,15 +38,25 @@ _TERM_BYTES = bytes(
 )
 
 
-def terms_of(text: str) -> Iterator[list[bytes]]:
-    """The terms of a text, some at a time."""
-    data = text.encode().translate(_TERM_BYTES)
-    at = 0
-    while at < len(data):
-        end = data.find(b" ", at + COUNT_BYTES)
-        end = len(data) if end < 0 else end
-        yield data[at:end].split()
-        at = end
+def count_terms(texts: Sequence[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct terms of some documents, their occurrences, and the documents that have each.
+
+    Terms are cut and numbered by whole arrays; sorted pairs of number and document tell the rest.
+    """
+    data = b" ".join(texts).translate(_TERM_BYTES)
+    space = np.frombuffer(b" " + data + b" ", np.uint8) == 32
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edge[0::2], edge[1::2]
+    # Without the blanks the terms stand side by side, which is how an array holds them.
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data.replace(b" ", b""))]
+    terms = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    last = np.cumsum([len(t) + 1 for t in texts])
+    pairs = terms.indices.to_numpy().astype(np.int64) << 32 | np.searchsorted(last, starts, "right")
+    pairs.sort()
+    new_pair = np.diff(pairs, prepend=-1) != 0
+    number = pairs >> 32
+    return terms.dictionary, np.bincount(number), np.bincount(number[new_pair])
 
 
 def term_counts(
@@ -55,24 +64,23 @@ def term_counts(
 ) -> DataFrame:
     """lang, source, term, count, docs: partial sums, a few for each term and task.
 
-    Every task counts the terms of its documents by group and hands the counts on when it holds
-    `HELD` of them, so most repetitions end there.
+    Every task counts the terms of its documents by group, `HELD` bytes of text at a time, so most
+    repetitions end there.
     """
     rows = _groups(docs, lang_col, source_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held: dict[tuple[str, str], list[bytes]] = {}
+        size = 0
         for batch in batches:
-            for lang, source, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                counts, in_docs = held.setdefault((lang, source), (Counter(), Counter()))
-                own: set[bytes] = set()
-                for terms in terms_of(text):
-                    counts.update(terms)
-                    own.update(terms)
-                in_docs.update(own)
-            if sum(len(counts) for counts, _ in held.values()) >= HELD:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            langs, sources = (batch.column(n).to_pylist() for n in ("lang", "source"))
+            for lang, source, text in zip(langs, sources, texts, strict=True):
+                held.setdefault((lang, source), []).append(text)
+                size += len(text)
+            if size >= HELD:
                 yield from map(_as_batch, held, held.values())
-                held = {}
+                held, size = {}, 0
         yield from map(_as_batch, held, held.values())
 
     bounded_batches(docs.sparkSession)
@@ -87,16 +95,14 @@ def _groups(docs: DataFrame, lang_col: str, source_col: str, *more: Column) -> D
     )
 
 
-def _as_batch(group: tuple[str, str], counted: tuple[Counter, Counter]) -> pa.RecordBatch:
-    counts, in_docs = counted
-    n = len(counts)
+def _as_batch(group: tuple[str, str], texts: list[bytes]) -> pa.RecordBatch:
+    terms, counts, in_docs = count_terms(texts)
     columns = [
-        pa.array([group[0]] * n, pa.string()),
-        pa.array([group[1]] * n, pa.string()),
-        # Whole characters of a text in UTF-8, so the bytes need no other check.
-        pa.array(list(counts), pa.binary()).cast(pa.string()),
-        pa.array(list(counts.values()), pa.int64()),
-        pa.array(list(map(in_docs.__getitem__, counts)), pa.int64()),
+        pa.array([group[0]]).take(pa.array(np.zeros(len(terms), np.int32))),
+        pa.array([group[1]]).take(pa.array(np.zeros(len(terms), np.int32))),
+        terms.cast(pa.binary()).cast(pa.string()),
+        pa.array(counts),
+        pa.array(in_docs),
     ]
     return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count", "docs"])
 
@@ -234,8 +240,8 @@ def divergence(
     the terms that it uses more than its language does and that add most. Values fall with the rank;
     equal ones are in the order of the bytes of the item. Null texts, languages and sources count as
     empty text. A language without a term that stays has only pairs, of value 0; a group without a term
-    has pairs alone. Repeated rows count as often as they come; an empty table gives no rows. A text of
-    any length is counted some megabytes at a time.
+    has pairs alone. Repeated rows count as often as they come; an empty table gives no rows. Texts of
+    any length are counted whole.
     """
     counts = term_counts(docs, text_col, lang_col, source_col)
     kept = materialise(kept_terms(counts, least_docs), "terms")
