@@ -46,6 +46,7 @@ def load_all() -> None:
         careful,
         elt,
         failures,
+        files,
         loads,
         records,
         reports,

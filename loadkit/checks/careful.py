@@ -14,7 +14,8 @@ from loadkit.operators.binding import ERROR, RAW, bind, bind_by_name, bind_expr
 from loadkit.operators.elt import latest_per_key, publish_merge, purge
 from loadkit.operators.loading import core_schema, create_core, load_many, load_staged
 from loadkit.operators.routing import route
-from loadkit.plans.run import FAILED, LOADED, LoadSpec, Unit, run_load
+from loadkit.plans.outcomes import FAILED, LOADED, read_outcomes
+from loadkit.plans.run import LoadSpec, Unit, run_load
 from loadkit.session import scratch_path
 from loadkit.sources.records import UNIT
 
@@ -234,7 +235,7 @@ def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").selectExpr("event_id", value, f"event_type AS {UNIT}")
     unit = Unit("all types", 0, lambda s: events)
     run_load(spark, [unit], LoadSpec(target=core, fields=["event_id", "value"], outcomes=out))
-    return spark.read.parquet(out)
+    return read_outcomes(spark, out)
 
 
 OUTCOMES = """

@@ -6,6 +6,7 @@ import secrets
 import string
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,10 +23,12 @@ class TableIdInUse(RuntimeError):
 
 @dataclass(frozen=True)
 class RunContext:
-    """Names the loads of one run. `commit_epoch` counts the loads that were published."""
+    """Names the loads of one run. `commit_epoch` counts the loads that were published; `attempt` tells
+    tries at one load apart."""
 
     table_id: str
     commit_epoch: int = 0
+    attempt: str = ""
 
     def next_epoch(self) -> RunContext:
         return replace(self, commit_epoch=self.commit_epoch + 1)
@@ -59,6 +62,32 @@ def fill_placeholders(template: Column, table_id: Column, epoch: Column) -> Colu
     return F.replace(filled, F.lit(f"%{COMMIT_EPOCH}%"), epoch.cast("string"))
 
 
+def create_claims(spark: SparkSession, claims: str) -> None:
+    """A table whose partitions are the table ids that runs have claimed."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {claims} (claimed BOOLEAN, {TABLE_ID} STRING) "
+        f"USING parquet PARTITIONED BY ({TABLE_ID})"
+    )
+
+
+def claim_id(spark: SparkSession, claims: str, ctx: RunContext) -> None:
+    """Claim the table id of a run; raises when another run has it or has used it.
+
+    A claim is a partition, which the catalog adds for one of several runs that try at the same time.
+    """
+    try:
+        spark.sql(f"ALTER TABLE {claims} ADD PARTITION ({TABLE_ID} = '{ctx.table_id}')")
+    except AnalysisException as error:
+        if "ALREADY_EXIST" not in (error.getCondition() or ""):
+            raise
+        raise TableIdInUse(f"table id {ctx.table_id} is claimed in {claims}") from error
+
+
+def release_id(spark: SparkSession, claims: str, ctx: RunContext) -> None:
+    """Give back the table id of a run that has left nothing under it."""
+    spark.sql(f"ALTER TABLE {claims} DROP IF EXISTS PARTITION ({TABLE_ID} = '{ctx.table_id}')")
+
+
 def assert_unused(spark: SparkSession, ledger: str, ctx: RunContext) -> None:
     """Raise when the ledger table already knows this table id."""
     used = spark.table(ledger).filter(F.col(TABLE_ID) == ctx.table_id).select(TABLE_ID)

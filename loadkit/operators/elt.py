@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, with_context
+from loadkit.operators.keyfilter import FILTER_FROM, KeyFilter, key_filter
 from loadkit.operators.loading import LOAD_COLUMNS, LoadResult, load_batch
 from loadkit.session import (
     discard,
@@ -78,10 +79,20 @@ def _all_present(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def merge_rows(core: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Core rows without a staged match, and all staged rows. A null key matches nothing."""
-    kept = core.join(staged.select(*keys), list(keys), "left_anti").select(*core.columns)
-    return kept.unionByName(staged.select(*core.columns))
+def merge_rows(
+    core: DataFrame, staged: DataFrame, keys: Sequence[str], known: KeyFilter | None = None
+) -> DataFrame:
+    """Core rows without a staged match, and all staged rows. A null key matches nothing.
+
+    With a filter of many staged keys only core rows that may match are joined; the others stay where
+    they were read.
+    """
+    wanted = staged.select(*keys)
+    if known is None or known.words is None:
+        kept = core.join(wanted, list(keys), "left_anti").select(*core.columns)
+        return kept.unionByName(staged.select(*core.columns))
+    kept = known.narrow(core).join(wanted, list(keys), "left_anti").select(*core.columns)
+    return core.filter(~known.may_match()).unionByName(kept).unionByName(staged.select(*core.columns))
 
 
 def staged_for_merge(
@@ -105,6 +116,7 @@ def publish_merge(
     keep_old: bool = False,
     ctx: RunContext | None = None,
     keys_stay: bool = False,
+    filter_from: int = FILTER_FROM,
 ) -> MergeResult:
     """Merge staged rows into the core table by key: replace matches, add the rest.
 
@@ -113,7 +125,8 @@ def publish_merge(
     an unpartitioned one as a whole; `keep_old` then leaves the former files in place. Staged rows
     without the load columns that the core table has become rows of the load `ctx`. With `keys_stay`
     the caller says that a key never changes its partition, and only partitions of staged rows are
-    read; otherwise matches are looked for in the whole core table.
+    read; otherwise matches are looked for in the whole core table, whose scan takes the keys alone and
+    drops rows outside the ranges and the Bloom filter of the staged keys before anything is shuffled.
     """
     written = isinstance(staging, str)
     staging = spark.table(staging) if written else staging
@@ -124,10 +137,10 @@ def publish_merge(
         if found := twice.select(*keys).head(3):
             raise DuplicateKeys(f"staged keys occur more than once, such as {[tuple(r) for r in found]}")
         if written:
-            return _merge(spark, core, staging, keys, keep_old, keys_stay)
+            return _merge(spark, core, staging, keys, keep_old, keys_stay, filter_from)
     # Written once: read for the join and for the insert, and of known size for the planner.
     with materialised(staged_for_merge(staging, keys, order_by), "merge") as staged:
-        return _merge(spark, core, staged, keys, keep_old, keys_stay)
+        return _merge(spark, core, staged, keys, keep_old, keys_stay, filter_from)
 
 
 def _merge(
@@ -137,13 +150,14 @@ def _merge(
     keys: Sequence[str],
     keep_old: bool,
     keys_stay: bool,
+    filter_from: int,
 ) -> MergeResult:
-    partitions = partition_columns(spark, core)
+    partitions, before = partition_columns(spark, core), spark.table(core)
+    known = key_filter(staged, keys, before.schema, filter_from)
     if partitions:
-        return _merge_partitions(spark, core, staged, keys, partitions, keys_stay)
-    before = spark.table(core)
+        return _merge_partitions(spark, core, staged, keys, partitions, keys_stay, known)
     old_rows = before.count()  # no column is read: file footers hold the counts
-    new_rows = replace_rows(spark, core, merge_rows(before, staged, keys), keep_old)
+    new_rows = replace_rows(spark, core, merge_rows(before, staged, keys, known), keep_old)
     return _merge_result(old_rows, new_rows, staged)
 
 
@@ -160,22 +174,30 @@ def _merge_partitions(
     keys: Sequence[str],
     partitions: list[str],
     keys_stay: bool,
+    known: KeyFilter,
 ) -> MergeResult:
     before = spark.table(core)
     touched = staged.select(*partitions)
     keys_can_move = not keys_stay and not set(partitions) <= set(keys)
     if keys_can_move:
-        matched = before.join(staged.select(*keys), list(keys), "left_semi")
+        matched = matched_rows(before, staged, keys, known)
         touched = touched.unionByName(matched.select(*partitions))
     with materialised(touched.distinct(), "touched") as touched:
         affected = in_partitions(before, touched, partitions)
         old_rows = affected.count()
         # The join runs once; what it gives is read for the emptied partitions and the overwrite.
-        with materialised(merge_rows(affected, staged, keys), "merged") as merged:
+        with materialised(merge_rows(affected, staged, keys, known), "merged") as merged:
             rewrite_partitions(spark, core, merged, touched, partitions, can_empty=keys_can_move)
             return _merge_result(old_rows, merged.count(), staged)
 
 
+def matched_rows(
+    core: DataFrame, staged: DataFrame, keys: Sequence[str], known: KeyFilter
+) -> DataFrame:
+    """Core rows with a staged match."""
+    return known.narrow(core).join(staged.select(*keys), list(keys), "left_semi")
+
+
 def in_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """The rows of the given partitions.
 

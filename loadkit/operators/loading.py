@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, TableIdInUse
 from loadkit.operators.binding import DEFAULT_KEY, ERROR, TEXT_TYPE_KEY, bind_by_name, strict
 from loadkit.operators.units import load_context, unit_counts
-from loadkit.session import discard, partition_columns, table_location, table_provider
+from loadkit.session import TableFacts, discard, table_location, table_provider
 from loadkit.sources.delimited import read_delimited
 from loadkit.sources.records import MALFORMED, UNIT, UNIT_SIZE, SchemaMissing
 
@@ -105,13 +105,14 @@ def load_delimited(
     table: str,
     sep: str = "|",
     charset: str = "UTF-8",
+    mixed: bool = False,
 ) -> LoadResult:
-    """Bulk load delimited files whose header names columns of the table.
+    """Bulk load delimited files whose header names columns of the table; `mixed` if headers differ.
 
     Read, cast and written in one pass. Any malformed record or failed cast fails the job, which
     leaves the table as it was.
     """
-    text = read_delimited(spark, paths, sep, charset)
+    text = read_delimited(spark, paths, sep, charset, mixed=mixed)
     target = spark.table(table).schema
     added = (UNIT, UNIT_SIZE, MALFORMED)
     unknown = [c for c in text.columns if c not in added and c not in target.fieldNames()]
@@ -148,21 +149,20 @@ def landed_rows(spark: SparkSession, landed: LoadResult, schema: T.StructType) -
     return spark.read.schema(schema).format(landed.provider).load(landed.location)
 
 
-def load_location(spark: SparkSession, core: str, ctx: RunContext, part: str = "") -> str:
+def load_location(
+    spark: SparkSession, core: str, ctx: RunContext, part: str = "", root: str | None = None
+) -> str:
     """Where the files of a load go: below the core table, in a folder that only the partition of
     the load will point to. Its name keeps a repair of the table's partitions from finding it, and
     each attempt at a load has its own."""
     attempt = uuid.uuid4().hex[:12]
-    return f"{table_location(spark, core)}/_loads/{ctx.table_id}/{ctx.commit_epoch}{part}-{attempt}"
+    return f"{root or table_location(spark, core)}/_loads/{ctx.table_id}/{ctx.commit_epoch}{part}-{attempt}"
 
 
-def attaches(spark: SparkSession, core: str) -> bool:
+def attaches(facts: TableFacts) -> bool:
     """Whether a load becomes a partition of this table: it is partitioned by load, in files that
     name their columns."""
-    return (
-        set(LOAD_COLUMNS) <= set(partition_columns(spark, core))
-        and table_provider(spark, core) in SELF_DESCRIBING
-    )
+    return set(LOAD_COLUMNS) <= set(facts.partitions) and facts.provider in SELF_DESCRIBING
 
 
 def publish_attach(spark: SparkSession, core: str, location: str, ctx: RunContext) -> None:
@@ -182,6 +182,19 @@ def is_published(spark: SparkSession, core: str, ctx: RunContext) -> bool:
     return not shown.isEmpty()
 
 
+def published_loads(spark: SparkSession, core: str, table_ids: Sequence[str]) -> DataFrame:
+    """TABLE_ID and COMMIT_EPOCH of the partitions that the given runs have in a core table.
+
+    The catalog is asked for these runs alone; no other partition is listed.
+    """
+    found = []
+    for table_id in table_ids:
+        shown = spark.sql(f"SHOW PARTITIONS {core} PARTITION ({TABLE_ID} = '{table_id}')").collect()
+        epochs = (dict(p.split("=") for p in row["partition"].split("/")) for row in shown)
+        found += [(table_id, int({k.upper(): v for k, v in e.items()}[COMMIT_EPOCH])) for e in epochs]
+    return spark.createDataFrame(found, f"{TABLE_ID} string, {COMMIT_EPOCH} int")
+
+
 def load_staged(
     df: DataFrame,
     core: str,

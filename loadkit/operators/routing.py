@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadkit.operators.binding import ERROR
-from loadkit.session import materialise, same_values, scratch_path
+from loadkit.session import materialise, same_values, scratch_path, setting
 from loadkit.sources.records import UNIT
 
 UNIT_POLICY = "unit"
@@ -55,15 +55,34 @@ class LandedRoutes:
         folder = T.StructField(_FOLDER, T.StringType())
         return spark.read.schema(T.StructType([*self.schema.fields, folder])).parquet(self.path)
 
+    def _folders(self, spark: SparkSession, keys: Sequence) -> list[str | None]:
+        """Named by the cast that named the folders, so that any type of key finds its own."""
+        kind = self.schema[self.on].dataType
+        names = [F.lit(k).cast(kind).cast("string") for k in keys]
+        return spark.range(1).select(F.array(*names)).first()[0] if keys else []
+
+    def sizes(self, spark: SparkSession, keys: Sequence) -> dict:
+        """The bytes that were written for each of the given routes; no file is opened.
+
+        Null and empty text share a folder, so each has the bytes of both.
+        """
+        infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        with setting(spark, infer, "false"):
+            files = spark.read.format("binaryFile").load(self.path)
+        if _FOLDER not in files.columns:
+            return dict.fromkeys(keys, 0)
+        folders = self._folders(spark, keys)
+        wanted = F.col(_FOLDER).isin([f for f in folders if f]) | F.col(_FOLDER).isNull()
+        found = files.filter(wanted).groupBy(_FOLDER).agg(F.sum("length").alias("size"))
+        by_folder = {row[_FOLDER]: row["size"] for row in found.collect()}
+        return {k: by_folder.get(f or None, 0) for k, f in zip(keys, folders, strict=True)}
+
     def rows(self, spark: SparkSession, keys: Sequence) -> DataFrame:
         """The rows of the given routes; no other folder is opened."""
         if not keys:
             return self.read(spark).limit(0).drop(_FOLDER)
-        # Named by the cast that named the folders, so that any type of key finds its own.
         kind = self.schema[self.on].dataType
-        names = [F.lit(k).cast(kind).cast("string") for k in keys]
-        (found,) = spark.range(1).select(F.array(*names)).first()
-        folders = [name for name in found if name]
+        folders = [name for name in self._folders(spark, keys) if name]
         folder = F.col(_FOLDER).isin(folders)
         if len(folders) < len(keys):
             folder = folder | F.col(_FOLDER).isNull()

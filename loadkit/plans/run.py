@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import threading
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadkit.context import COMMIT_EPOCH, TABLE_ID, RunContext, new_context, with_context
+from loadkit.context import (
+    COMMIT_EPOCH,
+    TABLE_ID,
+    RunContext,
+    claim_id,
+    create_claims,
+    new_context,
+    release_id,
+    with_context,
+)
 from loadkit.operators.binding import ERROR, RAW, bind, bind_by_name, bind_expr, strict
 from loadkit.operators.loading import (
     LoadResult,
@@ -27,26 +38,28 @@ from loadkit.operators.loading import (
     publish_attach,
 )
 from loadkit.operators.routing import UNIT_POLICY, land_routes, read_control, split_bad
+from loadkit.operators.settings import SETTINGS, match_settings, plan_files
+from loadkit.plans.outcomes import PUBLISHED, REFUSED, note_end, note_files
 from loadkit.plans.report import build_reports, read_reports, report_row, write_reports
 from loadkit.plans.scripts import Statement, Step, now_millis, run_script
-from loadkit.session import discard, scratch_path, table_provider
+from loadkit.session import TableFacts, discard, materialise, scratch_path, table_facts
 from loadkit.sources.records import UNIT, UNIT_SIZE
 
 logger = logging.getLogger(__name__)
 
 RAISE_POLICY = "raise"
-LOADED, FAILED = "loaded", "failed"
-OUTCOME = f"{UNIT} string, status string, rows bigint, bad bigint"
 LANDED_VIEW = f"landed_%{TABLE_ID}%_%{COMMIT_EPOCH}%"
 
 
 @dataclass(frozen=True)
 class Unit:
-    """One unit of work: what it is called, its size in bytes, and how a session reads it."""
+    """One unit of work: what it is called, its size in bytes, how a session reads it, and how it is
+    loaded if it differs from others of its run."""
 
     name: str
     size: int
     read: Callable[[SparkSession], DataFrame]
+    spec: LoadSpec | None = None
 
 
 # Loads a bound unit; calls the given function with the good rows before it publishes them.
@@ -67,8 +80,8 @@ class LoadSpec:
     `failure` says what a bad record does: `unit` keeps the rows of its file out of the target, `row`
     only the record itself, and `raise` fails the load. Rows kept out go to the `failures` folder.
 
-    `outcomes` is a folder to which every load appends a row for each of its files, and a row for the
-    unit if the load raises: what was loaded, what failed, and how many records of it.
+    `outcomes` is a folder to which every load writes its files before it is published and how it ended
+    after that; `read_outcomes` tells what was loaded, what failed, and how many records of it.
 
     `loader` replaces the load itself, for targets on another channel such as a database.
     """
@@ -97,6 +110,7 @@ class Run:
         self.reports_path = reports_path
         self.rows: list[tuple] = []
         self.loaded: list[tuple] = []
+        self.tried = False
 
     def script(self, name: str, statements: Sequence[Statement] | None) -> None:
         """Run a script that belongs to the run as a whole and report it."""
@@ -111,9 +125,16 @@ class Run:
         else:
             self.rows.append(row)
 
-    def load(self, unit: Unit, spec: LoadSpec) -> LoadResult:
-        """Load one unit: script, load, publish, script, report. An error publishes nothing."""
-        ctx, start = self.ctx, now_millis()
+    def load(self, unit: Unit, spec: LoadSpec | None = None) -> LoadResult:
+        """Load one unit: script, load, publish, script, report. An error publishes nothing.
+
+        A unit that brings a spec is loaded by its own.
+        """
+        self.tried = True
+        ctx, start = replace(self.ctx, attempt=uuid.uuid4().hex), now_millis()
+        spec = unit.spec or spec
+        if spec is None:
+            raise ValueError(f"no spec says how to load {unit.name}")
         steps: list[Step | None] = []
 
         def script(name: str, statements: Sequence[Statement]) -> None:
@@ -122,19 +143,25 @@ class Run:
         def before_publish(rows: DataFrame) -> None:
             if spec.before_publish:
                 rows.createOrReplaceTempView(ctx.evaluate(LANDED_VIEW))
-                script("beforePublish", spec.before_publish)
-                self.spark.catalog.dropTempView(ctx.evaluate(LANDED_VIEW))
+                try:
+                    script("beforePublish", spec.before_publish)
+                finally:
+                    self.spark.catalog.dropTempView(ctx.evaluate(LANDED_VIEW))
+
+        def end(how: str) -> None:
+            if spec.outcomes:
+                note_end(self.spark, unit.name, how, ctx, spec.outcomes)
 
         try:
             script("beforeLoading", spec.before_loading)
             loader = spec.loader or load_unit
             result = loader(unit.read(self.spark), spec, ctx, before_publish)
-            script("afterLoaded", spec.after_loaded)
         except Exception:
-            if spec.outcomes:
-                row = self.spark.createDataFrame([(unit.name, FAILED, None, None)], OUTCOME)
-                with_context(row, ctx).write.mode("append").parquet(ctx.evaluate(spec.outcomes))
+            end(REFUSED)
             raise
+        # What follows finds the rows in the target, whether it succeeds or not.
+        end(PUBLISHED)
+        script("afterLoaded", spec.after_loaded)
         self._report(report_row(ctx, unit.size, steps, result, start, now_millis()))
         self.loaded.append((unit.name, unit.size, result.rows, *ctx.as_map().values()))
         self.ctx = ctx.next_epoch()
@@ -170,18 +197,29 @@ def open_run(
     before_disconnecting: Sequence[Statement] | None = None,
     ctx: RunContext | None = None,
     reports_path: str | None = None,
+    claims: str | None = None,
 ) -> Iterator[Run]:
     """Open a run; the closing script also runs after a failure.
 
-    `reports_path` is a folder to which each report is appended as soon as it is there.
+    `reports_path` is a folder to which each report is appended as soon as it is there. With a table of
+    `claims` the run claims its table id before anything else and raises if it is in use; the claim
+    stays for good once a load was tried, and is released if none was.
     """
     run = Run(run_session(spark), ctx or new_context(), reports_path)
-    logger.info("run %s opened", run.ctx.table_id)
-    run.script("afterConnected", after_connected)
+    opened = run.ctx
+    if claims:
+        create_claims(spark, claims)
+        claim_id(spark, claims, opened)
+    logger.info("run %s opened", opened.table_id)
     try:
-        yield run
+        run.script("afterConnected", after_connected)
+        try:
+            yield run
+        finally:
+            run.script("beforeDisconnecting", before_disconnecting)
     finally:
-        run.script("beforeDisconnecting", before_disconnecting)
+        if claims and not run.tried:
+            release_id(spark, claims, opened)
 
 
 def bind_unit(df: DataFrame, spec: LoadSpec, target: str) -> DataFrame:
@@ -196,15 +234,6 @@ def bind_unit(df: DataFrame, spec: LoadSpec, target: str) -> DataFrame:
     return bind_by_name(df, schema, on_absent="default", keep=(UNIT,), errors=True)
 
 
-def file_outcomes(rows: DataFrame, policy: str) -> DataFrame:
-    """Per file of a landing: whether it is loaded, its records, and how many of them are bad."""
-    counted = rows.groupBy(UNIT).agg(F.count("*").alias("rows"), F.count(ERROR).alias("bad"))
-    failed = (F.col("bad") > 0) & F.lit(policy == UNIT_POLICY)
-    return counted.select(
-        UNIT, F.when(failed, FAILED).otherwise(LOADED).alias("status"), "rows", "bad"
-    )
-
-
 def load_unit(
     df: DataFrame,
     spec: LoadSpec,
@@ -219,19 +248,47 @@ def load_unit(
     spark = df.sparkSession
     target = ctx.evaluate(spec.target)
     bound = bind_unit(df, spec, target)
-    attach = attaches(spark, target)
+    facts = table_facts(spark, target)
+    attach = attaches(facts)
     if spec.failure == RAISE_POLICY:
         bound = strict(bound)
         if not attach and not spec.before_publish:
             return load_batch(bound.drop(UNIT), target)
 
-    location = load_location(spark, target, ctx) if attach else scratch_path(spark, "landing")
-    provider = table_provider(spark, target) if attach else "parquet"
+    def place(part: str = "") -> str:
+        if not attach:
+            return scratch_path(spark, "landing")
+        return load_location(spark, target, ctx, part, facts.location)
+
+    # A second folder beside the first holds the good rows alone, if there are bad ones.
+    location, good = place(), place("-good")
+    try:
+        result = _land_and_publish(bound, spec, ctx, before_publish, target, facts, location, good)
+    except Exception:
+        for folder in (location, good):
+            discard(spark, folder)
+        raise
+    if result.location != location:
+        discard(spark, location)
+    return result
+
+
+def _land_and_publish(
+    bound: DataFrame,
+    spec: LoadSpec,
+    ctx: RunContext,
+    before_publish: Callable[[DataFrame], None],
+    target: str,
+    facts: TableFacts,
+    location: str,
+    good: str,
+) -> LoadResult:
+    spark, attach = bound.sparkSession, attaches(facts)
+    provider = facts.provider if attach else "parquet"
     landed = land(bound, location, provider)
     rows = landed_rows(spark, landed, bound.schema)
     if spec.outcomes:
-        found = file_outcomes(rows, spec.failure)
-        with_context(found, ctx).write.mode("append").parquet(ctx.evaluate(spec.outcomes))
+        note_files(rows, spec.failure, ctx, spec.outcomes)
     if landed.bad:
         rows, failed = split_bad(rows, spec.failure)
         logger.warning("%d bad records kept out of %s, see %s", landed.bad, target, location)
@@ -240,18 +297,14 @@ def load_unit(
             failed.write.mode("append").parquet(ctx.evaluate(spec.failures))
     rows = rows.drop(UNIT, ERROR, RAW)
     if attach and landed.bad:
-        # A second folder beside the first, which goes once this one is published.
-        kept = land(rows, load_location(spark, target, ctx, "-good"), provider)
+        kept = land(rows, good, provider)
         landed = replace(kept, bad=landed.bad, start=landed.start)
         rows = landed_rows(spark, landed, rows.schema)
     before_publish(rows)
     if not attach:
         result = load_batch(rows, target)
-        discard(spark, location)
         return replace(result, start=landed.start, bad=landed.bad)
     publish_attach(spark, target, landed.location, ctx)
-    if landed.location != location:
-        discard(spark, location)
     return replace(landed, stop=now_millis())
 
 
@@ -267,17 +320,61 @@ def file_units(
         yield Unit(name, sum(row[UNIT_SIZE] for row in found), lambda spark, p=paths: read(spark, p))
 
 
+#: What control rows may say about a load; the rest goes to the function that reads the files.
+SPEC_FIELDS = frozenset(f.name for f in fields(LoadSpec)) - {"loader"}
+
+SettingsReader = Callable[[SparkSession, list[str], dict], DataFrame]
+
+
+def settings_units(planned: DataFrame, read: SettingsReader) -> Iterator[Unit]:
+    """The units of `plan_files`, each with the spec that its settings give.
+
+    `read` gets a session, the paths of a unit, and the settings that are not those of a load, such
+    as a format or a schema.
+    """
+    files = planned.select("unit_no", UNIT, UNIT_SIZE, SETTINGS).orderBy("unit_no", UNIT).toLocalIterator()
+    for number, of_unit in groupby(files, key=lambda row: row["unit_no"]):
+        found = list(of_unit)
+        given = json.loads(found[0][SETTINGS])
+        spec = LoadSpec(**{k: v for k, v in given.items() if k in SPEC_FIELDS})
+        rest = {k: v for k, v in given.items() if k not in SPEC_FIELDS}
+        paths = [row[UNIT] for row in found]
+        name = paths[0] if len(paths) == 1 else f"unit {number}, {len(paths)} files"
+        size = sum(row[UNIT_SIZE] for row in found)
+        yield Unit(name, size, lambda spark, p=paths, r=rest: read(spark, p, r), spec)
+
+
+def run_files(
+    spark: SparkSession,
+    listing: DataFrame,
+    control: DataFrame,
+    read: SettingsReader,
+    target_bytes: int | None = None,
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Load the files of a listing, each with the settings that the control table has for its path.
+
+    See `match_settings` and `plan_files`; `options` are those of `run_load`. Returns the reports, whose
+    sizes are those of the files, and the files that no row of the control table fits.
+    """
+    matched = materialise(match_settings(listing, control), "matched")
+    units = settings_units(plan_files(matched, target_bytes), read)
+    reports = run_load(spark, units, **options)
+    return reports, matched.filter(F.col(SETTINGS).isNull()).select(UNIT, UNIT_SIZE)
+
+
 def run_load(
     spark: SparkSession,
     units: Iterable[Unit],
-    spec: LoadSpec,
+    spec: LoadSpec | None = None,
     after_connected: Sequence[Statement] | None = None,
     before_disconnecting: Sequence[Statement] | None = None,
     ctx: RunContext | None = None,
     parallel: int = 1,
     reports_path: str | None = None,
+    claims: str | None = None,
 ) -> DataFrame:
-    """Load every waiting unit and return the reports.
+    """Load every waiting unit and return the reports. Units that bring a spec need no other.
 
     With a `reports_path` each report is appended to that folder as soon as it is there, and can be
     read after a failure.
@@ -298,7 +395,9 @@ def run_load(
 
     def work() -> Run:
         try:
-            with open_run(spark, after_connected, before_disconnecting, ctx, reports_path) as run:
+            with open_run(
+                spark, after_connected, before_disconnecting, ctx, reports_path, claims
+            ) as run:
                 while unit := take():
                     run.load(unit, spec)
             return run
@@ -320,20 +419,24 @@ def run_routes(
     on: str,
     gather: bool = False,
     ctx: RunContext | None = None,
+    reports_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load the rows of every route into its own target with its own bindings and scripts.
 
     `control` has a row per route: `on`, `target` and optionally `fields`, `before_loading`,
     `before_publish` and `after_loaded`, each an array of text. The rows are written once and each
-    load reads its own. Returns the reports and the rows that no route takes.
+    load reads its own. Returns the reports, whose sizes are those of the written rows, and the rows
+    that no route takes. With a `reports_path` each report is there as soon as its load is done.
     """
     landed = land_routes(df, on, gather)
     rows = read_control(control, on)
-    with open_run(spark, ctx=ctx) as run:
+    sizes = landed.sizes(spark, [row[on] for row in rows])
+    with open_run(spark, ctx=ctx, reports_path=reports_path) as run:
         for row in rows:
             settings = row.asDict()
             key, target = settings.pop(on), settings.pop("target")
             given = {name: value for name, value in settings.items() if value is not None}
-            unit = Unit(str(key), 0, lambda session, key=key: landed.rows(session, [key]))
+            size = sizes[key]
+            unit = Unit(str(key), size, lambda session, key=key: landed.rows(session, [key]))
             run.load(unit, LoadSpec(target, **given))
     return run.reports(), landed.rest(spark, [row[on] for row in rows])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,10 +77,20 @@ def same_values(left: str, right: str, names: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, pairs)
 
 
+def _found(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _found(spark, path)
+    return files.exists(folder)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote and nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _found(spark, path)
+    files.delete(folder, True)
 
 
 @contextmanager
@@ -99,6 +110,22 @@ def describe(spark: SparkSession, table: str) -> list[tuple[str, str]]:
     return [(row["col_name"], row["data_type"]) for row in rows]
 
 
+@dataclass(frozen=True)
+class TableFacts:
+    """The format, the place and the partition columns of a catalog table."""
+
+    provider: str
+    location: str
+    partitions: list[str]
+
+
+def table_facts(spark: SparkSession, table: str) -> TableFacts:
+    """What loads must know of a table, by one look at the catalog."""
+    told = describe(spark, table)
+    named = dict(reversed(told))
+    return TableFacts(named["Provider"].lower(), named["Location"], _partitions(told))
+
+
 def table_provider(spark: SparkSession, table: str) -> str:
     """The format of a catalog table's files."""
     return next(value.lower() for name, value in describe(spark, table) if name == "Provider")
@@ -111,7 +138,11 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     """The partition columns of a table: the first section after its columns, if there is one."""
-    names = [name for name, _ in describe(spark, table)]
+    return _partitions(describe(spark, table))
+
+
+def _partitions(told: list[tuple[str, str]]) -> list[str]:
+    names = [name for name, _ in told]
     if "# Partition Information" not in names:
         return []
     section = names[names.index("# Partition Information") + 1 :]
