@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from loadkit.checks import query, table, workspace
 from loadkit.context import RunContext, TableIdInUse, new_context
-from loadkit.operators.elt import publish_merge
-from loadkit.operators.loading import LOAD_COLUMNS, create_core, load_delimited
+from loadkit.operators.elt import publish_merge, purge
+from loadkit.operators.loading import LOAD_COLUMNS, create_core, load_delimited, load_many
+from loadkit.operators.rollups import RollupSpec, add_load, create_rollup, rolled_up, take_out
+from loadkit.operators.units import bin_minimum, plan_units
 from loadkit.plans.outcomes import read_outcomes
-from loadkit.plans.run import LoadSpec, Unit, run_files, run_load
+from loadkit.plans.run import LoadSpec, Unit, file_units, run_files, run_load
 from loadkit.session import exists, scratch_path
 from loadkit.sources.delimited import write_delimited
 from loadkit.sources.records import UNIT, UNIT_SIZE, list_units, read_records, read_unit_stream
@@ -198,3 +200,69 @@ def reused_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.table(f"{db}.core")
     loads = rows.select(*LOAD_COLUMNS).distinct().count()
     return rows.select("s_suppkey", F.lit(loads).alias("loads"), F.lit(second).alias("second"))
+
+
+@query("""
+    WITH RECURSIVE p AS (
+        SELECT doc_id, n_chars, row_number() OVER (ORDER BY doc_id) AS i,
+            sum(n_chars) OVER (ORDER BY doc_id) AS upto FROM documents
+    ), cuts AS (
+        SELECT 0::BIGINT AS bin, 0::BIGINT AS after, 0::HUGEINT AS upto
+        UNION ALL
+        SELECT bin + 1, (SELECT min(i) FROM p WHERE p.upto >= cuts.upto + 30000)::BIGINT,
+            (SELECT min(p.upto) FROM p WHERE p.upto >= cuts.upto + 30000)::HUGEINT
+        FROM cuts WHERE cuts.upto + 30000 <= (SELECT max(p.upto) FROM p)
+    )
+    SELECT doc_id, (SELECT max(bin) FROM cuts WHERE after < i) AS bin FROM p
+""")
+def bin_minimum_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consecutive documents in units of at least 30,000 characters, cut as early as that allows."""
+    listing = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return bin_minimum(listing, 30_000, ["doc_id"], "n_chars").select("doc_id", "bin")
+
+
+@query("""
+    SELECT date_trunc('hour', ts) AS bucket, count(*) AS n, min(value) AS low, max(value) AS high,
+        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+    FROM events WHERE event_type <> (SELECT event_type FROM events GROUP BY 1 ORDER BY 1 LIMIT 1 OFFSET 2)
+    GROUP BY 1
+""")
+def rollup_after_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads are rolled up one by one, one of them twice, and one is taken out again."""
+    db, ctx = workspace(spark), new_context()
+    events = table(spark, sf_dir, "events").select("ts", "value", "event_type")
+    create_core(spark, f"{db}.core", events.schema)
+    loads = load_many(events, ["event_type"], f"{db}.core", ctx).count()
+    values = {
+        "n": ("count", "1"), "low": ("min", "value"), "high": ("max", "value"),
+        "total": ("sum", "CAST(value AS DECIMAL(18,2))"),
+    }
+    create_rollup(spark, f"{db}.hourly", f"{db}.core", RollupSpec("ts", "1 hour", [], values))
+    contexts = [RunContext(ctx.table_id, epoch) for epoch in range(loads)]
+    for load in [*contexts, contexts[1]]:
+        add_load(spark, f"{db}.hourly", f"{db}.core", load)
+    purge(spark, f"{db}.core", contexts[2])
+    take_out(spark, f"{db}.hourly", contexts[2])
+    return rolled_up(spark, f"{db}.hourly")
+
+
+@query("SELECT event_id, value, 1 AS copies, 3 AS runs FROM events")
+def parallel_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of different sizes are loaded by three runs side by side, the largest first, under a bound."""
+    db, path = workspace(spark), scratch_path(spark, "queue")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    parted = events.withColumn("part", F.floor(F.log2(F.col("event_id") % 64 + 1)).cast("string"))
+    parted.repartition(8, "part").write.partitionBy("part").parquet(path)
+    listing = list_units(spark, f"{path}/*", "*.parquet")
+
+    def read(session: SparkSession, paths: list[str]) -> DataFrame:
+        return read_records(session, paths, "parquet", events.schema)
+
+    create_core(spark, f"{db}.core", events.schema)
+    units = file_units(plan_units(listing), read, largest_first=True)
+    most = listing.agg(F.max(UNIT_SIZE)).first()[0] + 1
+    spec = LoadSpec(f"{db}.core", fields=["event_id", "value"])
+    reports = run_load(spark, units, spec, parallel=3, bytes_in_flight=most, after_connected=["SELECT 1"])
+    runs = reports.select("attributes.TABLE_ID").distinct().count()
+    rows = spark.table(f"{db}.core").groupBy("event_id").agg(F.max("value").alias("value"), F.count("*").cast("int").alias("copies"))
+    return rows.withColumn("runs", F.lit(runs).cast("int"))

@@ -309,10 +309,19 @@ def _land_and_publish(
 
 
 def file_units(
-    planned: DataFrame, read: Callable[[SparkSession, list[str]], DataFrame]
+    planned: DataFrame,
+    read: Callable[[SparkSession, list[str]], DataFrame],
+    largest_first: bool = False,
 ) -> Iterator[Unit]:
-    """The units of `plan_units` in order; only paths and sizes reach the driver, unit by unit."""
-    files = planned.select("unit_no", UNIT, UNIT_SIZE).orderBy("unit_no", UNIT).toLocalIterator()
+    """The units of `plan_units` in order, or the largest first, which evens out parallel loads.
+
+    Only paths and sizes reach the driver, unit by unit.
+    """
+    files, order = planned.select("unit_no", UNIT, UNIT_SIZE), ["unit_no", UNIT]
+    if largest_first:
+        totals = files.groupBy("unit_no").agg(F.sum(UNIT_SIZE).alias("_total"))
+        files, order = files.join(totals, "unit_no"), [F.col("_total").desc(), *order]
+    files = files.orderBy(*order).toLocalIterator()
     for number, of_unit in groupby(files, key=lambda row: row["unit_no"]):
         found = list(of_unit)
         paths = [row[UNIT] for row in found]
@@ -363,6 +372,42 @@ def run_files(
     return reports, matched.filter(F.col(SETTINGS).isNull()).select(UNIT, UNIT_SIZE)
 
 
+class _Queue:
+    """Units for runs side by side, in order, under a bound of bytes that are on their way."""
+
+    def __init__(self, units: Iterable[Unit], most: int | None) -> None:
+        self.units, self.most = iter(units), most
+        self.bytes, self.stopped, self.turn = 0, False, threading.Lock()
+        self.changed = threading.Condition()
+
+    def take(self) -> Unit | None:
+        """The next unit once there is room for it; None when there are no more or the runs stop."""
+        # One at a time, so that a large unit is not passed by smaller ones for ever.
+        with self.turn:
+            unit = None if self.stopped else next(self.units, None)
+            if unit is None:
+                return None
+            with self.changed:
+                self.changed.wait_for(lambda: self.stopped or self._fits(unit.size))
+                if self.stopped:
+                    return None
+                self.bytes += unit.size
+                return unit
+
+    def _fits(self, size: int) -> bool:
+        return self.most is None or not self.bytes or self.bytes + size <= self.most
+
+    def done(self, unit: Unit) -> None:
+        with self.changed:
+            self.bytes -= unit.size
+            self.changed.notify_all()
+
+    def stop(self) -> None:
+        with self.changed:
+            self.stopped = True
+            self.changed.notify_all()
+
+
 def run_load(
     spark: SparkSession,
     units: Iterable[Unit],
@@ -373,6 +418,7 @@ def run_load(
     parallel: int = 1,
     reports_path: str | None = None,
     claims: str | None = None,
+    bytes_in_flight: int | None = None,
 ) -> DataFrame:
     """Load every waiting unit and return the reports. Units that bring a spec need no other.
 
@@ -381,28 +427,25 @@ def run_load(
 
     Every unit is a Spark job over all executors. Loads of many small files should bin them first.
     `parallel` bounds the units that load at a time: as many runs, each with a context and a session
-    of its own, take units from the same queue. Scripts that rewrite one table, such as a merge, must
-    not run side by side.
+    of its own, take units from the same queue. With `bytes_in_flight` the units that load at a time
+    have no more bytes than that together; a larger one loads alone. Scripts that rewrite one table,
+    such as a merge, must not run side by side.
     """
     if parallel > 1 and ctx:
         raise ValueError("runs side by side need a context each")
-    queue, taking = iter(units), threading.Lock()
-    stop = threading.Event()
-
-    def take() -> Unit | None:
-        with taking:
-            return None if stop.is_set() else next(queue, None)
+    queue = _Queue(units, bytes_in_flight)
 
     def work() -> Run:
         try:
             with open_run(
                 spark, after_connected, before_disconnecting, ctx, reports_path, claims
             ) as run:
-                while unit := take():
+                while unit := queue.take():
                     run.load(unit, spec)
+                    queue.done(unit)
             return run
         except BaseException:
-            stop.set()
+            queue.stop()
             raise
 
     if parallel == 1:
