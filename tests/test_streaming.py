@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import glob
 import json
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from loadkit.context import RunContext
 from loadkit.operators.elt import rollup
 from loadkit.operators.loading import create_core
+from loadkit.plans.outcomes import read_outcomes
 from loadkit.plans.run import LoadSpec, open_run
 from loadkit.sources.records import UNIT, list_units, read_records, read_unit_stream
 from loadkit.streaming.drain import (
@@ -97,6 +99,23 @@ def test_a_failed_batch_is_loaded_by_the_next_call(spark, folder, queue, path, d
     assert ids(spark, core) == [1, 2, 3, 4, 5, 6]
 
 
+def test_published_batches_are_neither_kept_nor_opened(spark, folder, queue, path, db, core):
+    landing, checkpoint = path("landing"), path("checkpoint")
+    spec = LoadSpec(core, fields=["id", "v"], outcomes=path("outcomes"))
+    out = path("reports")
+    run_stream(spark, stream(spark, folder), spec, "s", landing, checkpoint, f"{db}.ledger", reports_path=out)
+    left = [f for f in glob.glob(f"{landing.removeprefix('file:')}/**/*.parquet", recursive=True)]
+    assert left == [] and landed_files(spark, landing).count() == 3
+    queue("d", 7)
+    run_stream(spark, stream(spark, folder), spec, "s", landing, checkpoint, f"{db}.ledger", reports_path=out)
+    assert ids(spark, core) == [1, 2, 3, 4, 5, 6, 7]
+    assert spark.read.parquet(out).count() == 4
+    found = read_outcomes(spark, spec.outcomes).collect()
+    assert sorted((r[UNIT].rsplit("/")[-1], r["status"], r["rows"]) for r in found) == [
+        ("a.json", "loaded", 2), ("b.json", "loaded", 1), ("c.json", "loaded", 3), ("d.json", "loaded", 1)
+    ]
+
+
 def test_malformed_units_of_a_stream_are_kept_out(spark, folder, queue, path, db, core):
     (folder / "z.json").write_text('{"id":9,"v":"x"}\n{bad\n')
     spec = LoadSpec(core, fields=["id", "v"], failures=path("failures"))
