@@ -142,7 +142,8 @@ def plan_units(
         return materialise(binned.select(F.col(BIN).alias("unit_no"), UNIT, UNIT_SIZE))
     listing = listing.select(UNIT, UNIT_SIZE)
     if not target_bytes:
-        return materialise(number_rows(listing, [UNIT], "unit_no"))
+        # Numbered from written slices, so reading it again gives the same numbers.
+        return number_rows(listing, [UNIT], "unit_no")
     binned = materialise(bin_units(listing, target_bytes))
     numbers = number_rows(binned.select(BIN).distinct(), [BIN], "unit_no")
     return materialise(binned.join(numbers, BIN).select("unit_no", UNIT, UNIT_SIZE))

@@ -146,7 +146,10 @@ def load_unpublished(
     however many units there are: before the loads, and when they ended, also by an error.
     """
     core, ctx = run.ctx.evaluate(spec.target), run.ctx
-    waiting = unpublished(run.spark, listing.select(UNIT, UNIT_SIZE), ledger, core, name)
+    files = listing.select(UNIT, UNIT_SIZE)
+    waiting = materialise(unpublished(run.spark, files, ledger, core, name), "waiting")
+    if waiting.isEmpty():
+        return 0
     planned = plan_units(waiting, target_bytes)
     note_units(ledger, planned.select("unit_no", UNIT), name, ctx)
     loads = 0
@@ -206,7 +209,8 @@ def run_stream(
         numbered = new.withColumn("unit_no", F.dense_rank().over(Window.orderBy(UNIT)).cast("bigint") - 1)
         waiting = materialise(numbered, "batches")
         batches = waiting.select(UNIT, "unit_no").distinct()
-        note_units(ledger, batches, name, first)
+        if not waiting.isEmpty():
+            note_units(ledger, batches, name, first)
         loads = 0
         try:
             rows = waiting.orderBy("unit_no", "path").toLocalIterator()
