@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from loadkit.llm.common import bounded_batches, free_name, held_out, may_learn
 
-#: The fit sees at most this many documents of each language, in the order of a hash of their ids,
-#: and this many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 96, 1_000
+#: The fit sees at most this many different texts of each language, in the order of a hash of them, and
+#: this many characters of each: all of a shorter text, or pieces at hashed places of the whole text.
+SAMPLE_DOCS, SAMPLE_CHARS, SAMPLE_PIECES = 96, 1_000, 4
 #: Bytes of a text compressed at a time. Short enough that what a piece says about itself does not
 #: drown what the dictionary says about it.
 PIECE = 2_048
@@ -116,27 +116,46 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def sampled_text(text: Column, chars: int) -> Column:
+    """A text, or `chars` characters of it in pieces at places that a hash of text and piece gives."""
+    size = max(1, chars // SAMPLE_PIECES)
+    places = [
+        F.pmod(F.xxhash64(text, F.lit(i)), F.char_length(text) - size + 1).cast("int") + 1
+        for i in range(SAMPLE_PIECES)
+    ]
+    pieces = F.concat_ws("\n", *[F.substring(text, at, F.lit(size)) for at in places])
+    return F.when(F.char_length(text) <= chars, text).otherwise(pieces)
+
+
 def fit_languages(
     docs: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     sample_docs: int = SAMPLE_DOCS,
     sample_chars: int = SAMPLE_CHARS,
 ) -> LanguageModel:
-    """Fit on documents with a language and a letter; the driver gets the bounded sample only."""
-    labelled = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
+    """Fit on documents with a language and a letter; the driver gets the bounded sample only.
+
+    Copies of a text count once, so no group of copies fills the sample; nor does a passage that all
+    texts begin with, because pieces are taken from everywhere in a text.
+    """
+    keyed = docs.select(
+        F.col(lang_col).cast("string").alias("lang"),
+        F.col(text_col).alias("text"),
+        F.xxhash64(text_col).alias("key"),
     ).filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    by_hash = Window.partitionBy("lang").orderBy("key")
+    distinct = keyed.select("lang", "key").distinct()
     # The limit on the rank works before the shuffle too: a task sends `sample_docs` rows a language.
-    key = F.md5(F.col("doc_id").cast("string").cast("binary"))
-    by_hash = Window.partitionBy("lang").orderBy(key, "piece")
-    pieces = labelled.select("doc_id", "lang", F.substring("text", 1, sample_chars).alias("piece"))
-    sample = pieces.withColumn("turn", F.row_number().over(by_hash)).filter(
+    chosen = distinct.withColumn("turn", F.row_number().over(by_hash)).filter(
         F.col("turn") <= sample_docs
     )
+    pieces = keyed.join(F.broadcast(chosen), ["lang", "key"]).select(
+        "lang", "key", sampled_text(F.col("text"), sample_chars).alias("piece")
+    )
+    sample = pieces.groupBy("lang", "key").agg(F.max("piece").alias("piece"))
     found: dict[str, list[str]] = {}
-    for row in sample.orderBy("lang", F.desc("turn")).select("lang", "piece").collect():
+    for row in sample.orderBy("lang", F.desc("key")).select("lang", "piece").collect():
         found.setdefault(row["lang"], []).append(row["piece"])
     names = sorted(found)
     return LanguageModel(tuple(names), tuple(letters("\n".join(found[n])) for n in names))
@@ -204,7 +223,7 @@ def predict_languages(
 ) -> DataFrame:
     """Learn from three of four folds and predict every row: doc_id, held_out, lang_pred, score, rejected."""
     learn = docs.filter(may_learn(F.col(id_col), LEARN_FOLDS, HELD_OUT))
-    model = fit_languages(learn, id_col, text_col, lang_col)
+    model = fit_languages(learn, text_col, lang_col)
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         held_out(F.col(id_col), LEARN_FOLDS, HELD_OUT).alias("held_out"),
@@ -219,5 +238,5 @@ def known_language(
     """The rows of `docs` whose language is not rejected, with their columns."""
     learn = docs.filter(may_learn(F.col(id_col), LEARN_FOLDS, HELD_OUT))
     name = free_name(docs, "_language")
-    found = identify(docs, fit_languages(learn, id_col, text_col, lang_col), text_col, name)
+    found = identify(docs, fit_languages(learn, text_col, lang_col), text_col, name)
     return found.filter(~F.col(f"{name}.rejected")).drop(name)

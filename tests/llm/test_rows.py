@@ -306,6 +306,26 @@ def test_language_held_out(spark):
     assert all(fold(r["doc_id"], 4) == 2 and 0 <= r["score"] <= 1 for r in rows)
 
 
+def test_language_with_one_header_before_all_texts(spark):
+    """What all texts begin with says nothing about a language, however long it is."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang", "text")
+    header = prose(77, 150)[:1000]
+    got = language.predict_languages(docs.withColumn("text", F.concat(F.lit(header), F.lit(" "), "text")))
+    rows = got.join(docs.filter("length(text) > 200"), "doc_id").filter("held_out").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.95
+    assert np.mean([r["rejected"] for r in rows]) < 0.05
+
+
+def test_language_sample_is_of_whole_distinct_texts(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    docs = spark.createDataFrame([("xx", text)] * 40 + [("xx", f"other {i}") for i in range(9)], "lang string, text string")
+    model = language.fit_languages(docs)
+    (content,) = model.contents
+    assert content.decode().count("other") == 9
+    kept = [ord(c) - 0x4E00 for c in content.decode() if c > "\u4e00"]
+    assert 900 <= len(kept) <= 1000 and max(kept) > 1500
+
+
 def test_language_odd(spark):
     got = by_id(language.predict_languages(odd_docs(spark)))
     assert len(got) == len(ROWS)
