@@ -142,11 +142,13 @@ class Run:
 
         def before_publish(rows: DataFrame) -> None:
             if spec.before_publish:
-                rows.createOrReplaceTempView(ctx.evaluate(LANDED_VIEW))
+                view = ctx.evaluate(LANDED_VIEW)
+                rows.createOrReplaceTempView(view)
                 try:
                     script("beforePublish", spec.before_publish)
                 finally:
-                    self.spark.catalog.dropTempView(ctx.evaluate(LANDED_VIEW))
+                    # A unit that was not read with the run's session leaves its view in another one.
+                    rows.sparkSession.catalog.dropTempView(view)
 
         def end(how: str) -> None:
             if spec.outcomes:

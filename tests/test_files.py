@@ -72,6 +72,14 @@ def test_a_refused_load_leaves_nothing(spark, db, path, partitioned, bad):
     assert got == [("one", "loaded", 0), ("two", "failed", 1) if bad else ("two", "loaded", 0)] + [("two", "failed", 1)] * bad
 
 
+def test_no_view_is_left_in_the_session_of_the_caller(spark, db):
+    create_core(spark, f"{db}.core", TARGET)
+    rows = spark.createDataFrame([("1", "a")], "id string, v string")
+    spec = LoadSpec(f"{db}.core", fields=["id", "v"], before_publish=[lambda s, c: 1])
+    run_load(spark, [Unit("u", 0, lambda s: rows)], spec)
+    assert not any(t.isTemporary and t.name.startswith("landed") for t in spark.catalog.listTables())
+
+
 def test_a_load_that_raises_before_its_files_are_known(spark, db, path):
     create_core(spark, f"{db}.core", TARGET)
     spec = LoadSpec(f"{db}.core", fields=["id", "v"], outcomes=path("outcomes"), before_loading=[refuse])
