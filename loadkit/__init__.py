@@ -18,9 +18,19 @@ from loadkit.operators.loading import (
     load_many,
     load_staged,
 )
+from loadkit.operators.rollups import RollupSpec, add_load, create_rollup, rolled_up, take_out
 from loadkit.operators.routing import route, split_bad
-from loadkit.operators.units import bin_units, plan_units
-from loadkit.plans.run import LoadSpec, Unit, file_units, open_run, run_load, run_routes
+from loadkit.operators.units import bin_minimum, bin_units, plan_units
+from loadkit.plans.outcomes import read_outcomes
+from loadkit.plans.run import (
+    LoadSpec,
+    Unit,
+    file_units,
+    open_run,
+    run_files,
+    run_load,
+    run_routes,
+)
 from loadkit.session import build_session
 from loadkit.sources.delimited import read_delimited, write_delimited
 from loadkit.sources.records import list_units, read_records, read_unit_stream
@@ -28,14 +38,18 @@ from loadkit.streaming.drain import load_unpublished, run_stream
 
 __all__ = [
     "LoadSpec",
+    "RollupSpec",
     "RunContext",
     "Unit",
+    "add_load",
+    "bin_minimum",
     "bin_units",
     "bind",
     "bind_by_name",
     "bind_expr",
     "build_session",
     "create_core",
+    "create_rollup",
     "create_staging",
     "file_units",
     "latest_per_key",
@@ -53,13 +67,17 @@ __all__ = [
     "publish_merge",
     "purge",
     "read_delimited",
+    "read_outcomes",
     "read_records",
     "read_unit_stream",
+    "rolled_up",
     "rollup",
     "route",
+    "run_files",
     "run_load",
     "run_routes",
     "run_stream",
     "split_bad",
+    "take_out",
     "write_delimited",
 ]
