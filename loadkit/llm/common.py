@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,50 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
 
+#: Keys of a `Recent` cache up to this many characters are kept, so its entries bound its bytes.
+KEPT_CHARS = 64
+
+
+class Recent(dict):
+    """Answers for short keys; what is missing is computed, what was not used lately is dropped.
+
+    The cache holds two generations of at most `entries` each: the younger one is this dictionary, and
+    what is found in the older one moves here. Longer keys are computed every time.
+    """
+
+    def __init__(self, compute: Callable, entries: int) -> None:
+        super().__init__()
+        self.compute, self.entries, self.older = compute, entries, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.compute(key)
+            if len(key) > KEPT_CHARS:
+                return found
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+    def keep(self, key, found) -> None:
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+
+    def absent(self, keys):
+        """The distinct keys that neither generation has."""
+        return {k for k in keys if k not in self and k not in self.older}
+
+
+def chunks(items, size: int):
+    """Lists of at most `size` items."""
+    items = iter(items)
+    while part := list(islice(items, size)):
+        yield part
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -12,8 +12,11 @@ Merges on both sides of a boundary do not see each other until one crosses it, s
 is the result of all merges, and each prefix of a text has exactly one. A state is therefore a
 position, and the shortest path takes one pass over it.
 
-Between two characters that no piece has side by side the lattice is cut: every path meets there.
-The parts, mostly words, are composed once and kept in a bounded cache.
+The machines are arrays. The lexicon's states are the reversed beginnings of pieces; it is composed with
+many words at once, which gives the arcs that end at each position, and one relaxation by position
+finds the shortest paths of all words. Between two characters that no piece has side by side the
+lattice is cut: every path meets there. Words are composed once and kept in a bounded cache, which a
+Python worker keeps from task to task. Long words take the same steps one at a time.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loadkit.llm.common import bounded_batches
+from loadkit.llm.common import KEPT_CHARS, Recent, bounded_batches, chunks
 
 SPACE = "▁"
 # Fixed values of the model format: model types and piece types.
@@ -37,8 +41,16 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: How much worse than the worst piece an unknown character is in a unigram model.
 UNKNOWN_PENALTY = 10.0
 
-#: Entries of each cache of a worker; a cache is emptied when it is full.
-CACHE = 400_000
+#: Entries of each of the two generations of a worker's cache of words; the other caches have a part of it.
+CACHE = 160_000
+#: Words that are composed with the machines at once.
+TOGETHER = 16_384
+#: Texts are encoded in groups of about so many characters, whose words the cache can hold.
+GROUP_CHARS = 1 << 20
+#: Places of the table of pairs of pieces; of two pairs with the same place the later one is kept.
+PLACES = 1 << 20
+#: A code point, or the number of a piece or state, fits so many bits.
+BITS = 21
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -104,18 +116,12 @@ class PieceModel:
         return model
 
 
-class _Cache(dict):
-    """Answers that are computed when they are missing."""
-
-    def __init__(self, compute) -> None:
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, key):
-        if len(self) >= CACHE:
-            self.clear()
-        self[key] = found = self.compute(key)
-        return found
+def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted numbers are in sorted keys; -1 for those that are absent."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
 
 class PieceTransducer:
@@ -139,11 +145,30 @@ class PieceTransducer:
         # Spaces start parts only if no piece has one behind another character.
         self.by_space = not any(pair[1] == SPACE != pair[0] for pair in self.glued)
         self.worst = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        self.stable = _Cache(self._stable)
-        self.lattices = _Cache(self._shortest_path)
-        self.parts = _Cache(self._encode_part)
-        self.words = _Cache(lambda word: self._encode_part(SPACE + word))
+        self.stable: dict[tuple[str, str], bool] = {}
+        self.lattices = Recent(self._shortest_path, CACHE // 8)
+        self.parts = Recent(self._encode_part, CACHE // 8)
+        self.words = Recent(lambda word: self._encode_part(SPACE + word), CACHE)
         self.written = [self._write(p, kind) for p, _, kind in model.pieces]
+        self._compile()
+
+    def _compile(self) -> None:
+        """The machines as arrays: transitions of the lexicon, the pieces its states end, and weights."""
+        self.texts = [p for p, _, _ in self.model.pieces]
+        self.start = len(self.texts) + (1 << BITS) - 1  # no piece yet; below it, unknown characters
+        states: dict[int, int] = {}
+        ends = {0: -1}
+        for piece, number in self.ids.items():
+            state = 0
+            for char in reversed(piece):
+                state = states.setdefault(state << BITS | ord(char), len(states) + 1)
+            ends[state] = number
+        self.arcs = np.array(sorted(states), np.int64)
+        self.targets = np.array([states[key] for key in self.arcs.tolist()], np.int64)
+        self.ends = np.array([ends.get(state, -1) for state in range(len(states) + 1)], np.int64)
+        self.side_by_side = np.array(sorted(ord(p[0]) << BITS | ord(p[1]) for p in self.glued), np.int64)
+        self.costs = np.array([-self.scores.get(p, self.worst) for p in self.texts] or [0.0])
+        self.pairs = np.full(PLACES, -1, np.int64)
 
     @staticmethod
     def _write(piece: str, kind: int) -> bytes:
@@ -170,7 +195,138 @@ class PieceTransducer:
 
     def _stable(self, pair: tuple[str, str]) -> bool:
         """Whether the acceptor of pairs has an arc of weight 0 from one piece to the next."""
-        return self._merge(pair[0] + pair[1]) == [p for p in pair if p]
+        known = self.stable.get(pair)
+        if known is None:
+            if len(self.stable) >= 2 * CACHE:
+                self.stable.clear()
+            known = self.stable[pair] = self._merge(pair[0] + pair[1]) == [p for p in pair if p]
+        return known
+
+    def _text(self, number: int) -> str:
+        """The characters of a piece, or of an unknown character, by its number."""
+        if number < len(self.texts):
+            return self.texts[number]
+        return "" if number == self.start else chr(number - len(self.texts))
+
+    def _pass(self, before: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+        """Whether the acceptor of pairs has arcs of weight 0 from one piece to the next."""
+        keys = before << BITS + 1 | pieces
+        places = (keys * np.int64(0x9E3779B97F4A7C1 | 1) >> np.int64(20)) & (PLACES - 1)
+        held = self.pairs[places]
+        answer = (held & 1).astype(bool)
+        other = np.flatnonzero(held >> 1 != keys)
+        if len(other):
+            _, one, every = np.unique(keys[other], return_index=True, return_inverse=True)
+            one = other[one]
+            pairs = zip(before[one].tolist(), pieces[one].tolist(), strict=True)
+            found = np.array([self._stable((self._text(a), self._text(b))) for a, b in pairs])
+            self.pairs[places[one]] = keys[one] << 1 | found
+            answer[other] = found[every]
+        return answer
+
+    def _compose(self, codes: np.ndarray, local: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Compose characters with the lexicon: per length, the positions where arcs end, by their place
+        in the part, and the pieces that they write. Every single character has an arc."""
+        order = np.argsort(local, kind="stable")
+        state, found = np.zeros(len(codes), np.int64), []
+        for length in range(1, self.longest + 1):
+            order = order[local[order] >= length]
+            at = _places(self.arcs, state[order] << BITS | codes[order - length + 1])
+            if length == 1:
+                piece = np.where(at < 0, -1, self.ends[self.targets[at]])
+                piece = np.where(piece < 0, codes[order] + len(self.texts), piece)
+                found.append((order, piece))
+                order, at = order[at >= 0], at[at >= 0]
+            else:
+                order, at = order[at >= 0], at[at >= 0]
+            state[order] = self.targets[at]
+            if length > 1:
+                piece = self.ends[state[order]]
+                found.append((order[piece >= 0], piece[piece >= 0]))
+        return found
+
+    def shortest_paths(self, words: list[str]) -> list[bytes]:
+        """The ids of the shortest paths of many words, none of them empty."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        last = np.cumsum([len(w) for w in words])
+        cut = np.append(_places(self.side_by_side, codes[:-1] << BITS | codes[1:]) < 0, True)
+        cut[last - 1] = True
+        place = np.arange(len(codes))
+        first = np.append(0, np.flatnonzero(cut)[:-1] + 1)
+        local = place - np.repeat(first, np.diff(np.append(first, len(codes)))) + 1
+        arcs = self._compose(codes, local)
+        bounds = [np.searchsorted(local[at], np.arange(1, local.max() + 2)) for at, _ in arcs]
+        best, size = np.full(len(codes), np.inf), np.zeros(len(codes), np.int64)
+        via, merging = np.full(len(codes), self.start), self.model.kind == BPE
+        # A merge model has one path, so short arcs, the most, go first; else the longest of ties wins.
+        lengths = range(1, len(arcs) + 1) if merging else range(len(arcs), 0, -1)
+        for step in range(1, len(bounds[0])):
+            for length in lengths:
+                if length > step:
+                    continue
+                ends, pieces = arcs[length - 1]
+                part = slice(bounds[length - 1][step - 1], bounds[length - 1][step])
+                at, piece = ends[part], pieces[part]
+                if merging:
+                    open_ = np.isinf(best[at])
+                    at, piece = at[open_], piece[open_]
+                if not len(at):
+                    continue
+                before = at - length
+                if merging:
+                    ok = self._pass(via[before] if step > length else np.full(len(at), self.start), piece)
+                    weight = np.zeros(len(at))
+                else:
+                    known = np.minimum(piece, len(self.costs) - 1)
+                    cost = np.where(piece < len(self.texts), self.costs[known], -self.worst)
+                    weight = (best[before] if step > length else 0.0) + cost
+                    ok = weight < best[at]
+                at = at[ok]
+                best[at], size[at], via[at] = weight[ok], length, piece[ok]
+        if np.isinf(best).any():
+            raise ValueError(f"no path reads {words!r}"[:200])
+        # Back along the paths, of all parts at once.
+        on_path, at = np.zeros(len(codes), bool), np.flatnonzero(cut)
+        while len(at):
+            on_path[at] = True
+            at = (at - size[at])[local[at] > size[at]]
+        return self._written_ids(via, np.flatnonzero(on_path), last)
+
+    def _written_ids(self, via: np.ndarray, path: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The ids that the arcs on the paths write, cut behind the last character of each word."""
+        piece = via[path]
+        number = np.ones(len(piece), np.int64)
+        unknown = np.flatnonzero(piece >= len(self.texts))
+        fallback = [self._text(p).encode() for p in piece[unknown].tolist()]
+        number[unknown] = [len(f) for f in fallback]
+        ids = np.repeat(piece, number)
+        for at, f in zip((np.cumsum(number) - number)[unknown].tolist(), fallback, strict=True):
+            ids[at : at + len(f)] = [self.byte_ids[b] for b in f]
+        edges = np.append(0, np.cumsum(number))[np.searchsorted(path, last)] * 4
+        data = ids.astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip(np.append(0, edges[:-1]).tolist(), edges.tolist(), strict=True)]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text; the new words of about a million characters are composed together."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or "")
+            if size >= GROUP_CHARS:
+                self._learn(group)
+                out += map(self.encode, group)
+                group, size = [], 0
+        self._learn(group)
+        return out + list(map(self.encode, group))
+
+    def _learn(self, texts: list[str | None]) -> None:
+        """Compose the words of texts that the cache does not have, many at once."""
+        if not (self.model.dummy_prefix and self.by_space):
+            return
+        words = {w for t in texts if t and SPACE not in t for w in self.words.absent(t.split(" "))}
+        for part in chunks((w for w in words if len(w) <= KEPT_CHARS), TOGETHER):
+            for word, ids in zip(part, self.shortest_paths([SPACE + w for w in part]), strict=True):
+                self.words.keep(word, ids)
 
     def _zero_path(self, text: str) -> list[str]:
         """The path of weight 0 in a merge model: of all arcs into a position exactly one is on it."""
@@ -185,7 +341,7 @@ class PieceTransducer:
                     continue
                 pair = (via[end - length], piece)
                 stable = known(pair)
-                if stable or stable is None and self.stable[pair]:
+                if stable or stable is None and self._stable(pair):
                     via.append(piece)
                     break
             else:
@@ -248,6 +404,12 @@ class PieceTransducer:
         return data.decode(errors="replace")
 
 
+@lru_cache(maxsize=1)
+def transducer(path: str) -> PieceTransducer:
+    """The machines of a model file; a Python worker keeps them, with their caches, from task to task."""
+    return PieceTransducer(PieceModel.load(path))
+
+
 def _added(docs: DataFrame, *fields: T.StructField) -> T.StructType:
     return T.StructType([*docs.schema.fields, *fields])
 
@@ -262,9 +424,9 @@ def encode_pieces(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(PieceModel.load(model_path))
+        machine = transducer(model_path)
         for batch in batches:
-            encoded = [machine.encode(text) for text in batch.column(text_col).to_pylist()]
+            encoded = machine.encode_all(batch.column(text_col).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])])
             flat = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
@@ -285,7 +447,7 @@ def decode_pieces(
     """
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = PieceTransducer(PieceModel.load(model_path))
+        machine = transducer(model_path)
         for batch in batches:
             lists = batch.column(ids_col)
             flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
