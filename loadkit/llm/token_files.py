@@ -12,13 +12,14 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loadkit.llm.common import bounded_batches, texts
+from loadkit.llm.common import Recent, bounded_batches, texts
 
 #: How the files are laid out. A vocabulary below 65,536 fits its dictionary page.
 LAYOUT = {
@@ -34,8 +35,8 @@ LAYOUT = {
 }
 SCHEMA = "doc_id {id}, n_tokens bigint, shard_start bigint, tokens array<int>, shard int"
 
-#: Entries of a worker's cache of words; it is emptied when it is full.
-CACHE = 500_000
+#: Entries of each of the two generations of a worker's caches of words.
+CACHE = 150_000
 
 #: Characters that one side takes for white space and the other does not.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -45,23 +46,11 @@ _PLAIN_TEXT = re.compile(r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
 _PRE_TOKEN = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+"
 )
+#: Most words: letters, and then signs other than the apostrophe, which may belong to letters.
+_SIMPLE = re.compile(r"([a-z\xdf-\xf6\xf8-\xff]+)([^\sa-z0-9\xdf-\xf6\xf8-\xff']+)?")
 _LETTERS = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 
 
-class _Words(dict):
-    """Ids of words as bytes; what is missing is computed."""
-
-    def __init__(self, compute) -> None:
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = found = self.compute(word)
-        return found
-
-
 class WordTokenizer:
     """A tokenizer whose pre-tokens never contain white space, so that words are encoded once.
 
@@ -78,9 +67,9 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         written = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.alphabet = {i: written(chr(i))[0][0] for i in range(0xC0, 0x100)}
-        self.parts = _Words(self._part)
-        self.plain_words = _Words(self._plain_word)
-        self.words = _Words(self._library)
+        self.parts = Recent(self._part, CACHE)
+        self.plain_words = Recent(self._plain_word, CACHE)
+        self.words = Recent(self._library, CACHE // 2)
         sample = "The house's \xe9t\xe9, stra\xdfe 1234; don't you'LL (\xd1o) - internationalisation?!"
         self.plain = self._plain(sample) == self._library(sample)
         # Special tokens keep their meaning only in the whole tokenizer.
@@ -97,6 +86,9 @@ class WordTokenizer:
         return struct.pack(f"<{len(found)}I", *[token.id for token in found])
 
     def _plain_word(self, word: str) -> bytes:
+        if simple := _SIMPLE.fullmatch(word):
+            letters, signs = simple.groups()
+            return self.parts[letters] + self.parts[signs] if signs else self.parts[letters]
         return b"".join(map(self.parts.__getitem__, _PRE_TOKEN.findall(word)))
 
     def _plain(self, text: str) -> bytes:
@@ -113,6 +105,12 @@ class WordTokenizer:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of a file, with its caches; a Python worker keeps it from task to task."""
+    return WordTokenizer(path)
+
+
 def tokenize(batches: Iterator[pa.RecordBatch], tokenizer: WordTokenizer, end_id: int | None):
     """Batches of doc_id, n_tokens, shard_start, tokens from sorted batches of doc_id, text."""
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
@@ -150,7 +148,7 @@ def write_tokens(
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return tokenize(batches, WordTokenizer(vocabulary), end_id)
+        return tokenize(batches, word_tokenizer(vocabulary), end_id)
 
     bounded_batches(docs.sparkSession)
     schema = SCHEMA.format(id=id_type).rpartition(",")[0]
