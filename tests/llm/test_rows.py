@@ -158,6 +158,21 @@ def test_pieces_like_the_library():
         assert machine.decode(ids) == library.decode(library.encode(text)), repr(text)
 
 
+def test_pieces_composed_together_like_one_at_a_time():
+    rng = random.Random(7)
+    parts = ["a", "b", "the", "ing", "é", "中", "🙂", "\n", "\t", "\x00", "x" * 70, ",", " ", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(1500)] + [None, ""]
+    scores = {"▁": -3.0, "a": -2.5, "b": -2.0, "ab": -3.1, "ba": -4.0, "aba": -5.5, "▁a": -3.5, "bb": -4.5}
+    unigram = pieces.PieceModel(byte_fallback=True)
+    unigram.pieces = [(f"<0x{i:02X}>", 0.0, pieces.BYTE) for i in range(256)]
+    unigram.pieces += [(p, s, pieces.NORMAL) for p, s in scores.items()]
+    for model in (unigram, pieces.PieceModel.load(PIECES)):
+        together, alone = pieces.PieceTransducer(model), pieces.PieceTransducer(model)
+        assert together.encode_all(texts) == [alone.encode(text) for text in texts]
+        words = ["▁" + w for t in texts[:300] for w in (t or "").split(" ") if w]
+        assert together.shortest_paths(words) == [alone._encode_part(w) for w in words]
+
+
 def test_unigram_path_is_the_shortest():
     model = pieces.PieceModel(byte_fallback=True)
     model.pieces = [("<unk>", 0.0, pieces.UNKNOWN)]
