@@ -71,7 +71,10 @@ def _floor(a, b: int):
 
 
 def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, two hashes of the whole set, and its front in hash order."""
+    """Per row: doc_id, digest, n_shingles, two hashes of the whole set, and its front in hash order.
+
+    `digest` names the text of a row without an id, and is null for other rows.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -87,18 +90,31 @@ def shingled(docs: DataFrame, words: int, percent: int) -> DataFrame:
             one = np.array([mixed(s.view(np.uint64)).sum() for s in sets], np.uint64)
             two = np.array([mixed(s.view(np.uint64) + np.uint64(1)).sum() for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *map(pa.array, (sizes, one.view(np.int64), two.view(np.int64))), front],
-                names=["doc_id", "n_shingles", "one", "two", "front"],
+                [
+                    batch.column("doc_id"),
+                    batch.column("digest"),
+                    *map(pa.array, (sizes, one.view(np.int64), two.view(np.int64))),
+                    front,
+                ],
+                names=["doc_id", "digest", "n_shingles", "one", "two", "front"],
             )
 
     bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_shingles bigint, one bigint, two bigint, front array<bigint>"
-    return docs.mapInArrow(scan, schema)
+    schema = f"doc_id {id_type}, digest binary, n_shingles bigint, one bigint, two bigint, front array<bigint>"
+    digest = F.when(F.col("doc_id").isNull(), _digest())
+    return docs.withColumn("digest", digest).mapInArrow(scan, schema)
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and hash: the whole sets of the nodes (node, first, one, two), from their first documents."""
+    """node and gram: the whole sets of the nodes (node, first, digest, one), from their first documents.
+
+    Nodes whose documents all lack an id take the text with the node's digest.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -113,11 +129,18 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             grams = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([batch.column("node"), grams], names=["node", "grams"])
 
-    chosen = nodes.select("node", F.col("first").alias("doc_id"), "one")
-    if nodes.count() <= FEW:  # three numbers each, so the texts need no shuffle
-        chosen = F.broadcast(chosen)
-    rows = docs.join(chosen, "doc_id").select("node", "one", "text")
-    found = rows.mapInArrow(scan, "node bigint, grams array<bigint>")
+    def sets_of(rows: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+        if chosen.count() <= FEW:  # three short values each, so the texts need no shuffle
+            chosen = F.broadcast(chosen)
+        rows = rows.join(chosen, key).select("node", "one", "text")
+        return rows.mapInArrow(scan, "node bigint, grams array<bigint>")
+
+    named = nodes.filter("first IS NOT NULL").select("node", F.col("first").alias("doc_id"), "one")
+    nameless = nodes.filter("first IS NULL").select("node", "digest", "one")
+    copies = docs.filter("doc_id IS NULL").select("text", _digest().alias("digest"))
+    # Many rows may hold that text; each task sends on one set of a node.
+    once = sets_of(copies, nameless, "digest").groupBy("node").agg(F.max("grams").alias("grams"))
+    found = sets_of(docs, named, "doc_id").unionAll(once)
     return found.select("node", F.explode("grams").alias("gram"))
 
 
@@ -235,17 +258,21 @@ def similar_groups(
     `words` words. component_id is the smallest id that links reach, the row's own included. Null and
     empty texts and texts of white space have no n-grams and are linked with nothing; a text with
     fewer words has its whole sequence as one. Rows with equal sets are always linked. Rows without
-    an id get no component unless they are linked with others. Repeated rows get the same answer.
+    an id carry links like others, and get no component unless they are linked with rows that have one.
+    Repeated rows get the same answer. An empty table gives an empty result; texts of any length are read
+    whole, one at a time.
     """
     rows = texts(docs, id_col, text_col)
     # Fronts and sets are deleted as soon as they are used.
     with materialised(shingled(rows, words, percent), "shingled") as scanned:
-        known = materialise(scanned.drop("front"), "known")
+        known = materialise(scanned.drop("front", "digest"), "known")
         # Partial aggregation: a set with a third of all rows sends one row per task.
         groups = scanned.filter("n_shingles > 0").groupBy("one", "two", F.col("n_shingles").alias("n"))
-        groups = groups.agg(F.min("doc_id").alias("first"), F.any_value("front").alias("front"))
+        groups = groups.agg(
+            F.min("doc_id").alias("first"), F.min("digest").alias("digest"), F.any_value("front").alias("front")
+        )
         with materialised(groups.withColumn("node", F.monotonically_increasing_id()), "nodes") as full:
-            nodes = materialise(full.drop("front"), "sets-of-nodes")
+            nodes = materialise(full.drop("front", "digest"), "sets-of-nodes")
             may = materialise(suspects(full, percent), "suspects")
     with materialised(full_sets(rows, may, words), "sets") as sets:
         ordered = materialise(ordered_sets(sets, may, percent), "ordered")

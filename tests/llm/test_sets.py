@@ -253,6 +253,18 @@ def test_jaccard_odd(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 4, 6, 7, 8, 9, 10, 11, 13, 14, 16])
 
 
+def test_jaccard_links_through_rows_without_an_id(spark):
+    """A chain 1 - x - 2 is one group wherever the id is missing, also with copies of the row without one."""
+    left, middle, right = (" ".join(f"w{i}" for i in range(a, a + 100)) for a in (0, 6, 12))
+    schema = "doc_id bigint, text string"
+    for repeats in (1, 40):
+        rows = [(1, left), (2, right)] + [(None, middle)] * repeats + [(None, "some other text without id at all")]
+        got = jaccard.similar_groups(spark.createDataFrame(rows, schema)).collect()
+        want = brute_groups(rows, 5, 80)
+        assert [w[2] for w in want[:3]] == [1, 1, 1]
+        assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == Counter(want)
+
+
 def test_jaccard_group_of_near_copies_is_not_all_pairs(spark):
     """Two thousand variants of a text, one word changed in each: a link each, not one for each pair."""
     base = prose(77, 300).split()
