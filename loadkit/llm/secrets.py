@@ -9,6 +9,7 @@ to the compressor, and noise next to a word such as `credential` is reported.
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 
@@ -32,16 +33,20 @@ SENSITIVE = rb"pass[-_ ]?(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|
 SENSITIVE_WORDS = (
     b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"bearer", b"signature", b"authorization",
 )
-#: A candidate: at least so long, and starting at most so far behind its word, on its line or later ones.
-LEAST = 20
+#: A candidate: at least so long, and starting in the statement of its word, or so close behind the
+#: word if the statement is shorter, on its line or later ones.
+LEAST = 16
 CANDIDATE = rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST
 REACH = 64
+#: What ends a statement: a line's end, a semicolon, or the end of a sentence.
+STATEMENT_END = rb"[\n\r;]|[.!?]\x20"
 #: The lines around a private key, in lower case. What is between them is measured, however long it is.
 KEY_BEGIN, KEY_END = rb"-----begin [a-z0-9 ]*private key(?: block)?-----", rb"-----(end|begin)\x20"
 #: Bytes of text on either side that the compressor sees as well.
 AROUND = 1_024
-#: The least share of its own length that a reported candidate adds.
-NOVEL = 0.72
+#: The least share of its own length that a reported candidate adds, for long ones; what shorter ones
+#: must add more falls with their length.
+NOVEL, NOVEL_SHORT = 0.68, 0.8
 LEVEL = 3
 
 #: What identifiers, paths and values in code are made of.
@@ -72,13 +77,30 @@ IDENTIFIERS = b" ".join(
     transaction transform transport trigger unsigned update upload validate validation value variable
     vector version virtual volume warehouse warning websocket window worker workspace wrapper writer
     abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0123456789abcdef
-    http://www.example.com/ https://api. /usr/local/lib/ /home/user/ 00000000 11111111 ffffffff""".split()
+    http://www.example.com/ https://api. /usr/local/lib/ /etc/ssl/private/ /home/user/ project/main 00000000 11111111 ffffffff""".split()
+    + [b"%d-%02d-%02d" % (year, month, 1) for year in range(2015, 2031) for month in range(1, 13)]
+)
+
+#: Letters as frequent as in English, a few digits and capitals, in no order. They stand before what is
+#: compressed, so that literals are coded by frequency also where the text around a candidate is short.
+LETTERS = b"etaoinsrhldcumfpgwybvkxjqz", b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ORDER = random.Random(17)
+PRIMER = bytes(
+    _ORDER.choices(
+        b"".join(LETTERS),
+        [12, 9, 8, 7.5, 7, 7, 6.3, 6, 6, 4, 4, 3, 3, 2.5, 2.3, 2, 2, 2, 2, 1.5, 1, 0.8, 0.3, 0.3, 0.2, 0.2]
+        + [0.1] * 10
+        + [0.05] * 26,
+        k=512,
+    )
 )
 
 _ASSIGN = re.compile(ASSIGN)
 _ACCESS, _HEX = re.compile(ACCESS), re.compile(HEX)
 _SENSITIVE = re.compile(rb"(?:" + SENSITIVE + rb")")
 _CANDIDATE = re.compile(CANDIDATE)
+_STATEMENT_END = re.compile(STATEMENT_END)
+_CASE = re.compile(rb"(?<=[a-z0-9])(?=[A-Z])")
 _KEY_BEGIN, _KEY_END = re.compile(KEY_BEGIN), re.compile(KEY_END)
 
 Span = tuple[str, int, int, float]
@@ -127,22 +149,53 @@ def novelty(
     Other copies of the candidate do not count as text around it: a secret that is set and used close
     by is as new at either place. Nor does it matter what a copy is assigned to. `own` is the stretch
     of a longer secret that the candidate is a part of; the rest of it is no text around it either.
+    A candidate is measured as it is and as words in lower case, cut where the case rises; the lesser
+    counts, so that a name in camel case is as well known as its words.
     """
     value = max(data[start:end].split(b"="), key=len).strip(b"+/_-")
     if 2 * len(value) < end - start:
         value = data[start:end]
     low, high = own or (start, end)
-    before = without(data, max(0, low - AROUND), low, value, 0, low)
+    before = PRIMER + without(data, max(0, low - AROUND), low, value, 0, low)
     after = without(data, high, min(len(data), high + AROUND), value, high, len(data))
     alone = len(compressor.compress(before + after))
-    return (len(compressor.compress(before + after + data[start:end])) - alone) / (end - start)
+    own = data[start:end]
+    added = len(compressor.compress(before + after + own)) - alone
+    if _CASE.search(own):
+        words = _CASE.sub(b" ", own).lower()
+        added = min(added, len(compressor.compress(before + after + words)) - alone)
+    return added / (end - start)
+
+
+def least_novelty(length: int) -> float:
+    """The least share that a candidate of so many bytes must add."""
+    return NOVEL + NOVEL_SHORT / length
+
+
+def windows(data: bytes, low: bytes) -> Iterator[tuple[int, int]]:
+    """Where candidates may start: behind each sensitive word, to its statement's end or the next word."""
+    statement, begun = 0, None
+    for word in _SENSITIVE.finditer(low):
+        if begun is not None:
+            yield begun, min(stop, word.start())
+        begun = word.end()
+        if begun > statement:
+            ends = _STATEMENT_END.search(data, begun)
+            statement = ends.start() if ends else len(data)
+        stop = min(len(data), max(statement, begun + REACH))
+    if begun is not None:
+        yield begun, stop
 
 
 def candidates(data: bytes, at: int, stop: int) -> Iterator[tuple[int, int]]:
-    """Candidates that start in a stretch of bytes; only the last one is read beyond it."""
-    while found := _CANDIDATE.search(data, at, stop + LEAST - 1):
-        start, at = found.start(), _CANDIDATE.match(data, found.start()).end()
-        yield start, at
+    """Candidates that start in a stretch of bytes; only the last one, with the parts that dots join to
+    it, is read beyond it."""
+    while at < stop and (found := _CANDIDATE.search(data, at, stop + LEAST - 1)):
+        part = _CANDIDATE.match(data, found.start())
+        while part:
+            at = part.end()
+            yield part.span()
+            part = _CANDIDATE.match(data, at + 1) if data[at : at + 1] == b"." else None
 
 
 def key_spans(data: bytes, low: bytes, claimed: bytearray, compressor: zstandard.ZstdCompressor) -> list[Span]:
@@ -181,13 +234,13 @@ def novel_spans(
         claimed[start:end] = b"\1" * (end - start)
     found = key_spans(data, low, claimed, compressor)
     measured: set[int] = set()
-    for word in _SENSITIVE.finditer(low):
-        for start, end in candidates(data, word.end(), min(len(data), word.end() + REACH)):
+    for first, stop in windows(data, low):
+        for start, end in candidates(data, first, stop):
             if start in measured or claimed.find(1, start, end) >= 0:
                 continue
             measured.add(start)
             share = novelty(data, start, end, compressor)
-            if share >= NOVEL:
+            if share >= least_novelty(end - start):
                 found.append(("novel", start, end, share))
                 claimed[start:end] = b"\1" * (end - start)
     return found

@@ -258,7 +258,7 @@ def test_secrets_novelty(spark):
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     novel = [r["n_novel"] for r in by_id(secrets.secret_digest(secrets.scan_secrets(docs)))]
-    assert novel[:6] == [1, 1, 0, 0, 0, 0]
+    assert novel == [1, 1, 0, 0, 0, 0, 3]
     span = secrets.scan_secrets(docs).filter("doc_id = 0").first()["spans"][0]
     assert texts[0][span["start"] : span["end"]] == span["value"] == "aZ81kf93kJDlq0283nfaKJd8"
 
@@ -300,6 +300,24 @@ def test_secrets_keys_headers_and_later_lines(spark):
     assert [len(spans) for spans in found[len(want) :]] == [2, 0, 0]
 
 
+def test_secrets_whole_statements_parts_and_short_values(spark):
+    """Values far behind their word, all parts of a dotted token, and values of 16 characters; no names."""
+    rng = random.Random(33)
+    value = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    far = [f"the credential, {prose(i, 20)[:120]} {value(40)}; {value(40)} is no part" for i in range(50)]
+    dotted = [f"bearer {value(36)}.{value(120)}.{value(43)}\n" for _ in range(50)]
+    short = [f"credential {value(16)} ok" for _ in range(200)]
+    names = ["signature MethodReturningOptionalListOfCustomerRecords",
+             "api key 2024-01-02_2024-12-31_quarterly_figures_north", "token getAccessTokenForUser",
+             "bearer TokenRefreshScheduler", "credential OAuth2AuthorizationServer", "secret release-2024-11-03"]
+    docs = spark.createDataFrame(list(enumerate(far + dotted + short + names)), "doc_id bigint, text string")
+    found = [[s["value"] for s in r["spans"] if s["kind"] == "novel"] for r in by_id(secrets.scan_secrets(docs))]
+    assert [spans == [t.split(";")[0][-40:]] for t, spans in zip(far, found, strict=False)] == [True] * 50
+    assert [spans == t.split()[1].split(".") for t, spans in zip(dotted, found[50:], strict=False)] == [True] * 50
+    assert sum(spans == [t.split()[1]] for t, spans in zip(short, found[100:], strict=False)) >= 196
+    assert found[300:] == [[]] * len(names)
+
+
 def test_secrets_odd(spark):
     got = by_id(secrets.secret_digest(secrets.scan_secrets(odd_docs(spark))))
     assert len(got) == len(ROWS)
