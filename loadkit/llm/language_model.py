@@ -1,16 +1,23 @@
 """Language-model scores: a log-bilinear model trained by noise-contrastive estimation in numpy.
 
-Words of all training documents are counted by Spark; the most frequent form the model's vocabulary,
-the others share one class, inside which a word has its smoothed share. Each task runs over its part
-of the training documents by minibatches, and the tasks' parameters are averaged by Spark, weighted
-by tokens. The model predicts a token from the two before it by a linear combination of their
-vectors. Matrix products over all contexts give the normalisers, so every token probability is exact.
-
-Counts of frequent words, whose number is bounded, go to the tasks; all others are joined.
+Words of all training documents are counted by Spark. Every word that is counted often enough has
+vectors of its own; the others share one, inside which a word has its smoothed share. Words are
+predicted in two levels, the class and then the word in its class, by linear combinations of the
+vectors of the two tokens before. Classes go by frequency: a frequent word is a class of its own, the
+others are cut into classes of equal size. Each task trains on its part of the documents by
+minibatches, and Spark averages the tasks' rows, weighted by how often each was trained. Matrix
+products over all classes, and over all words of the token's class, give the normalisers, so every
+token probability is exact.
+
+The parts are made by a hash of the row, and their number follows the root of the number of tokens, so
+parts and their sizes grow alike, and scores do not depend on how the input is cut into files. Counts of
+words of the model, whose number is bounded by their share of the tokens, go to the tasks; all others
+are joined.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,17 +31,20 @@ from pyspark.sql import types as T
 from loadkit.llm.common import bounded_batches, held_out, may_learn, texts
 from loadkit.session import materialise
 
-#: Classes of the model: the shared class, the end of a document, and the most frequent words.
-VOCABULARY = 512
+#: Words of the model: counted at least so often, and at least this share of all training tokens, so
+#: there are at most as many. Words longer than `LONGEST` bytes are no words of the model.
+LEAST_COUNT, FREQUENT, LONGEST = 5, 1 << 20, 64
+#: The first tokens of the model: the shared one and the end of a document.
 SHARED, END = 0, 1
+#: Tokens that are classes of their own, and words in each class of the others.
+HEAD, MEMBERS = 128, 256
 DIMENSIONS = 16
-NOISE, BATCH, RATE = 64, 2_048, 0.1
-#: A task with little text goes over its last documents again until it has made so many steps.
-LEAST_STEPS = 200
-#: Words that are at least this share of all training tokens are broadcast; so there are at most as
-#: many. Words longer than `LONGEST` bytes are joined, however frequent.
-FREQUENT = 1 << 19
-LONGEST = 64
+#: Noise of the classes for a batch and of a class for each token.
+NOISE, INNER_NOISE, BATCH, RATE = 64, 3, 2_048, 0.15
+#: Parts of n tokens: the root of n by this number.
+PART = 50_000
+#: Tokens that are scored at a time, and rows of a product, whose numbers fit a processor's cache.
+SCORED, ROWS = 1 << 18, 256
 #: Distinct words a task holds before it hands its counts on.
 HELD = 200_000
 
@@ -69,35 +79,63 @@ def count_words(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """The tokens of the model by frequency, their classes, and how often they are expected."""
+
+    words: dict[bytes, int]
+    #: Per token one more than its count, and the sums of these over classes.
+    mass: np.ndarray
+    class_mass: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return len(self.mass)
+
+    def classes(self, tokens: np.ndarray) -> np.ndarray:
+        return np.where(tokens < HEAD, tokens, HEAD + (tokens - HEAD) // MEMBERS)
+
+    def places(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of several documents with their ends, and where the documents start."""
+        get = self.words.get
+        lengths = np.array([len(words) + 1 for words in found])
+        first = np.cumsum(lengths) - lengths
+        out = np.empty(lengths.sum(), np.int32)
+        for start, words in zip(first, found, strict=True):
+            out[start : start + len(words)] = [get(w, SHARED) for w in words]
+            out[start + len(words)] = END
+        return out, first
+
+
+def vocabulary_of(words: list[bytes], counts: np.ndarray, shared: int, ends: int) -> Vocabulary:
+    """The vocabulary of `words` by falling count; `shared` tokens are other words."""
+    mass = np.concatenate([[shared, ends], counts]).astype(float) + 1
+    mass = np.append(mass, np.zeros(max(0, HEAD - len(mass))))
+    tail = np.append(mass[HEAD:], np.zeros(-len(mass[HEAD:]) % MEMBERS)).reshape(-1, MEMBERS)
+    return Vocabulary({w: i + 2 for i, w in enumerate(words)}, mass, np.append(mass[:HEAD], tail.sum(1)))
+
+
 @dataclass(frozen=True)
 class Parameters:
-    """Vectors of context and predicted words, a matrix for each place, and biases."""
+    """Vectors of context tokens, and vectors with a bias of classes and of words in their classes."""
 
     context: np.ndarray
-    predicted: np.ndarray
+    outer: np.ndarray
+    inner: np.ndarray
     places: np.ndarray
-    bias: np.ndarray
-
-    def pack(self) -> np.ndarray:
-        """All parameters as rows of `DIMENSIONS` numbers."""
-        return np.concatenate(
-            [self.context, self.predicted, self.places.reshape(-1, DIMENSIONS), self.bias.reshape(-1, DIMENSIONS)]
-        )
 
-    @staticmethod
-    def unpack(rows: np.ndarray) -> Parameters:
-        at = [VOCABULARY, 2 * VOCABULARY, 2 * VOCABULARY + 2 * DIMENSIONS]
-        context, predicted, places, bias = np.split(rows, at)
-        return Parameters(context, predicted, places.reshape(2, DIMENSIONS, DIMENSIONS), bias.ravel())
 
-
-def first_parameters(noise: np.ndarray, seed: int = 11) -> Parameters:
-    """Small random vectors, and biases that make the model the unigram distribution."""
+def first_parameters(words: Vocabulary, seed: int = 11) -> Parameters:
+    """Small random context vectors, and biases that make the model the unigram distribution."""
     rng = np.random.default_rng(seed)
-    small = lambda *shape: rng.normal(0, 0.1, shape)
-    places = np.stack([np.eye(DIMENSIONS), np.eye(DIMENSIONS) * 0.5])
+    start = lambda mass: np.column_stack(
+        [np.zeros((len(mass), DIMENSIONS)), np.log(np.maximum(mass, 1e-9))]
+    ).astype(np.float32)
     return Parameters(
-        small(VOCABULARY, DIMENSIONS), small(VOCABULARY, DIMENSIONS), places, np.log(noise)
+        rng.normal(0, 0.1, (words.size, DIMENSIONS)).astype(np.float32),
+        start(words.class_mass / words.class_mass.sum()),
+        start(words.mass[HEAD:] / words.class_mass[words.classes(np.arange(HEAD, words.size))]),
+        np.stack([np.eye(DIMENSIONS), np.eye(DIMENSIONS) * 0.5]).astype(np.float32),
     )
 
 
@@ -112,218 +150,296 @@ def contexts(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Trainer:
-    """Noise-contrastive estimation with a rate that falls for every parameter (Adagrad)."""
-
-    def __init__(self, start: Parameters, noise: np.ndarray, seed: int) -> None:
-        self.context, self.predicted = start.context.copy(), start.predicted.copy()
-        self.places, self.bias = start.places.copy(), start.bias.copy()
-        self.noise, self.rng = noise, np.random.default_rng(seed)
-        self.cumulated = np.cumsum(noise)
-        self.log_noise = np.log(noise * NOISE)
-        self.squares = [np.full(p.shape, 1e-2) for p in self.parameters()]
-        self.steps = 0
+    """Noise-contrastive estimation of both levels, with a rate that falls for every parameter."""
+
+    def __init__(self, start: Parameters, words: Vocabulary, seed: int) -> None:
+        self.context, self.outer = start.context.copy(), start.outer.copy()
+        self.inner, self.places = start.inner.copy(), start.places.copy()
+        self.words, self.rng = words, np.random.default_rng(seed)
+        self.class_sums = np.cumsum(words.class_mass)
+        self.class_share = (words.class_mass / self.class_sums[-1]).astype(np.float32)
+        self.tail_sums = np.concatenate([[0], np.cumsum(words.mass[HEAD:])])
+        self.log_class = start.outer[:, -1] + np.float32(np.log(NOISE))
+        self.log_inner = start.inner[:, -1] + np.float32(np.log(INNER_NOISE))
+        self.squares = {id(p): np.full(p.shape, 1e-3, np.float32) for p in self.parameters()}
+        self.seen = [np.zeros(len(p), np.int64) for p in (self.context, self.outer, self.inner)]
+        self.tokens = 0
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.context, self.predicted, self.places, self.bias]
+        return [self.context, self.outer, self.inner, self.places]
 
-    def _scatter(self, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-        slots = rows[:, None] * DIMENSIONS + np.arange(DIMENSIONS)
-        size = VOCABULARY * DIMENSIONS
-        return np.bincount(slots.ravel(), values.ravel(), size).reshape(VOCABULARY, DIMENSIONS)
+    def _climb(self, value: np.ndarray, rows, slope: np.ndarray) -> None:
+        square = self.squares[id(value)]
+        square[rows] += slope * slope
+        value[rows] += RATE * slope / np.sqrt(square[rows])
+
+    def _climb_rows(self, value: np.ndarray, rows: np.ndarray, slopes: np.ndarray) -> None:
+        """One step along the mean slope of each row."""
+        rows, sums, many = _summed(rows, slopes)
+        self._climb(value, rows, sums / many[:, None])
 
     def step(self, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> None:
-        """One minibatch: raise the tokens over noise words that the whole batch shares."""
-        drawn = np.searchsorted(self.cumulated, self.rng.random(NOISE) * self.cumulated[-1])
-        drawn = np.minimum(drawn, VOCABULARY - 1)
+        """One minibatch: raise the tokens over noise, of classes for the batch, of words for each token."""
         a, b, p = self.context[one], self.context[two], self.places
         hidden = a @ p[0] + b @ p[1]
-        target, others = self.predicted[token], self.predicted[drawn]
-        real = (hidden * target).sum(1) + self.bias[token] - self.log_noise[token]
-        fake = hidden @ others.T + self.bias[drawn] - self.log_noise[drawn]
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-        back = up[:, None] * target + down @ others
-        predicted = self._scatter(token, up[:, None] * hidden)
-        np.add.at(predicted, drawn, down.T @ hidden)
-        bias = np.bincount(token, up, VOCABULARY)
-        np.add.at(bias, drawn, down.sum(0))
-        context = self._scatter(one, back @ p[0].T) + self._scatter(two, back @ p[1].T)
-        places = np.stack([a.T @ back, b.T @ back])
-        for value, slope, square in zip(
-            self.parameters(), (context, predicted, places, bias), self.squares, strict=True
-        ):
-            slope = slope / len(token)
-            square += slope * slope
-            value += RATE * slope / np.sqrt(square)
-        self.steps += 1
+        of = self.words.classes(token)
+        drawn = np.searchsorted(self.class_sums, self.rng.random(NOISE) * self.class_sums[-1], "right")
+        drawn = np.minimum(drawn, len(self.class_sums) - 1)
+        target, others = self.outer[of], self.outer[drawn]
+        real = (hidden * target[:, :-1]).sum(1) + target[:, -1] - self.log_class[of]
+        fake = hidden @ others[:, :-1].T + others[:, -1] - self.log_class[drawn]
+        up, down = _up(real), -_up(-fake)
+        back = up[:, None] * target[:, :-1] + down @ others[:, :-1]
+        # Over the tokens of a class that a batch should have, at least one.
+        slope = np.zeros_like(self.outer)
+        rows, sums, _ = _summed(of, _joined(up[:, None] * hidden, up))
+        slope[rows] = sums
+        np.add.at(slope, drawn, _joined(down.T @ hidden, down.sum(0)))
+        rows = np.flatnonzero(slope[:, -1])
+        expected = np.maximum(len(token) * self.class_share[rows], 1)
+        self._climb(self.outer, rows, slope[rows] / expected[:, None])
+        if (tail := np.flatnonzero(token >= HEAD)).size:
+            back[tail] += self._inner_step(hidden[tail], token[tail] - HEAD)
+        self._climb_rows(
+            self.context, np.concatenate([one, two]), np.concatenate([back @ p[0].T, back @ p[1].T])
+        )
+        self._climb(self.places, slice(None), np.stack([a.T @ back, b.T @ back]) / len(token))
+
+    def _inner_step(self, hidden: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Raise words over others of their classes; the slopes of the hidden vectors."""
+        low = word // MEMBERS * MEMBERS
+        high = np.minimum(low + MEMBERS, len(self.inner))
+        bottom, top = self.tail_sums[low], self.tail_sums[high]
+        at = bottom[:, None] + self.rng.random((len(word), INNER_NOISE)) * (top - bottom)[:, None]
+        drawn = np.searchsorted(self.tail_sums, at, "right") - 1
+        drawn = np.clip(drawn, low[:, None], high[:, None] - 1)
+        target, others = self.inner[word], self.inner[drawn]
+        real = (hidden * target[:, :-1]).sum(1) + target[:, -1] - self.log_inner[word]
+        fake = np.einsum("nkd,nd->nk", others[:, :, :-1], hidden) + others[:, :, -1] - self.log_inner[drawn]
+        up, down = _up(real), -_up(-fake)
+        noise = (down[:, :, None] * hidden[:, None]).reshape(-1, DIMENSIONS)
+        self._climb_rows(
+            self.inner,
+            np.concatenate([word, drawn.ravel()]),
+            np.concatenate([_joined(up[:, None] * hidden, up), _joined(noise, down.ravel())]),
+        )
+        return up[:, None] * target[:, :-1] + np.einsum("nk,nkd->nd", down, others[:, :, :-1])
 
     def learn(self, tokens: np.ndarray, first: np.ndarray) -> None:
         one, two = contexts(tokens, first)
         for at in range(0, len(tokens), BATCH):
             part = slice(at, at + BATCH)
             self.step(one[part], two[part], tokens[part])
+        self.seen[0] += np.bincount(one, minlength=len(self.context))
+        self.seen[1] += np.bincount(self.words.classes(tokens), minlength=len(self.outer))
+        self.seen[2] += np.bincount(tokens[tokens >= HEAD] - HEAD, minlength=len(self.inner))
+        self.tokens += len(tokens)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row numbers, rows of `DIMENSIONS` + 1 numbers, and how often each was trained, if ever."""
+        places = self.places.reshape(-1, DIMENSIONS)
+        rows = [np.pad(self.context, ((0, 0), (0, 1))), self.outer, self.inner, np.pad(places, ((0, 0), (0, 1)))]
+        seen = np.concatenate([*self.seen, np.full(len(places), self.tokens)])
+        found = np.flatnonzero(seen)
+        return found, np.concatenate(rows)[found], seen[found].astype(float)
 
-    def result(self) -> Parameters:
-        return Parameters(self.context, self.predicted, self.places, self.bias)
 
+def _up(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
 
-def classes(found: list[list[bytes]], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of several documents' tokens with their ends, and where the documents start."""
-    lengths = np.array([len(words) + 1 for words in found])
-    first = np.cumsum(lengths) - lengths
-    out = np.empty(lengths.sum(), np.int64)
-    for start, words in zip(first, found, strict=True):
-        out[start : start + len(words)] = [vocabulary.get(w, SHARED) for w in words]
-        out[start + len(words)] = END
-    return out, first
 
+def _summed(rows: np.ndarray, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows, their sums, and how many slopes each has."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+    many = np.diff(np.append(starts, len(rows))).astype(np.float32)
+    return rows[starts], np.add.reduceat(slopes[order], starts), many
 
-def train(docs: DataFrame, vocabulary: dict[bytes, int], noise: np.ndarray) -> Parameters:
-    """Train on the whole texts of all rows of `docs` (text) and average over the tasks.
 
-    The driver gets the average alone: a fixed number of rows, however many tasks there are.
+def _joined(vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
+    return np.column_stack([vectors, biases])
+
+
+def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """Per row of `docs` (doc_id, text): a hash of the row and the whole text's tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)  # at most FREQUENT words
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                tokens, first = shared.value.places([words_of(t) for t in batch.column("text").to_pylist()])
+                offsets = pa.array(np.append(first, len(tokens)), pa.int32())
+                lists = pa.ListArray.from_arrays(offsets, pa.array(tokens))
+                yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "tokens"])
+
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text")
+    return rows.mapInArrow(encode, "row bigint, tokens array<int>")
+
+
+def train(docs: DataFrame, words: Vocabulary, n_tokens: int) -> Parameters:
+    """Train on the whole texts of all rows of `docs` (doc_id, text) and average over the parts.
+
+    The driver gets the average alone, whose rows are bounded, however many parts there are.
     """
-    start = first_parameters(noise)
+    start = first_parameters(words)
+    shared = docs.sparkSession.sparkContext.broadcast((start, words))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, waiting, size, tokens, last = Trainer(start, noise, 5), [], 0, 0, None
+        trainer, waiting, size = Trainer(*shared.value, 5), [], 0
+
+        def flush() -> None:
+            lengths = np.array([len(t) for t in waiting])
+            trainer.learn(np.concatenate(waiting), np.cumsum(lengths) - lengths)
+            waiting.clear()
+
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                waiting.append(words_of(text))
-                size += len(waiting[-1]) + 1
+            for tokens in batch.column("tokens"):
+                waiting.append(tokens.values.to_numpy())
+                size += len(waiting[-1])
                 if size >= 32 * BATCH:
-                    trainer.learn(*(last := classes(waiting, vocabulary)))
-                    waiting, size, tokens = [], 0, tokens + size
+                    flush()
+                    size = 0
         if waiting:
-            trainer.learn(*(last := classes(waiting, vocabulary)))
-            tokens += size
-        if tokens:
-            while trainer.steps < LEAST_STEPS:
-                trainer.learn(*last)
-            rows = trainer.result().pack()
+            flush()
+        found, rows, seen = trainer.result()
+        for at in range(0, len(found), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            flat = pa.array(rows[part].ravel(), pa.float32())
+            offsets = pa.array(np.arange(len(found[part]) + 1) * rows.shape[1], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(len(rows))),
-                    pa.array(list(rows), pa.list_(pa.float64())),
-                    pa.array(np.full(len(rows), float(tokens))),
-                ],
+                [pa.array(found[part]), pa.ListArray.from_arrays(offsets, flat), pa.array(seen[part])],
                 names=["row", "numbers", "weight"],
             )
 
-    parts = docs.select("text").mapInArrow(learn, "row bigint, numbers array<double>, weight double")
+    parts = math.isqrt(n_tokens // PART) + 1
+    cut = encoded(docs, words).repartition(parts, "row").sortWithinPartitions("row", "tokens")
+    trained = cut.mapInArrow(learn, "row bigint, numbers array<float>, weight double")
     mean = [
-        (F.sum(F.col("numbers")[i] * F.col("weight")) / F.sum("weight")).alias(f"n{i}")
-        for i in range(DIMENSIONS)
+        (F.sum(F.col("numbers")[i] * F.col("weight")) / F.sum("weight")).cast("float").alias(f"n{i}")
+        for i in range(DIMENSIONS + 1)
     ]
-    rows = parts.groupBy("row").agg(*mean).collect()
-    if not rows:
-        return start
-    return Parameters.unpack(np.array([list(r)[1:] for r in sorted(rows)]))
+    rows = trained.groupBy("row").agg(*mean).toArrow()
+    sizes = [len(start.context), len(start.outer), len(start.inner)]
+    places = start.places.reshape(-1, DIMENSIONS)
+    pad = lambda x: np.pad(x, ((0, 0), (0, 1)))
+    every = np.concatenate([pad(start.context), start.outer, start.inner, pad(places)])
+    every[rows.column("row").to_numpy()] = np.column_stack([c.to_numpy() for c in rows.columns[1:]])
+    context, outer, inner, places = np.split(every, np.cumsum(sizes))
+    return Parameters(
+        context[:, :-1], outer, inner, places[:, :-1].reshape(2, DIMENSIONS, DIMENSIONS)
+    )
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """What tasks need to score: counts, classes and the tables of the log-bilinear model."""
+    """What tasks need to score: counts, words and the vectors of the log-bilinear model."""
 
     tokens: int
     distinct: int
     end_count: int
     shared_mass: float
-    #: Frequent words by place, with the logarithm of their count plus one and their class.
-    frequent: dict[bytes, int]
+    words: Vocabulary
+    #: Per token the logarithm of its count plus one; 0 for the shared one and the end.
     log_counts: np.ndarray
-    class_of: np.ndarray
-    #: Scores by (word before, word), (word before that, word), and minus the normaliser by context.
+    #: Context vectors moved by their place, and vectors and biases of classes and of words.
     near: np.ndarray
     far: np.ndarray
-    normal: np.ndarray
-
-
-def tables(parameters: Parameters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log-probabilities (base 10) as sums of three table entries, normalised for every context."""
-    near = parameters.context @ parameters.places[0] @ parameters.predicted.T + parameters.bias
-    far = parameters.context @ parameters.places[1] @ parameters.predicted.T
-    normal = np.empty((VOCABULARY, VOCABULARY))
-    for one in range(VOCABULARY):
-        scores = near[one] + far
+    outer: np.ndarray
+    inner: np.ndarray
+
+    def log10(self, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The exact log10 probability of each token behind the two tokens before it."""
+        hidden = np.empty((len(token), DIMENSIONS + 1), np.float32)
+        np.add(self.near[one], self.far[two], out=hidden[:, :-1])
+        hidden[:, -1] = 1
+        of, value = self.words.classes(token), np.empty(len(token))
+        for at in range(0, len(token), ROWS):
+            part = slice(at, at + ROWS)
+            value[part] = _log_share(hidden[part], self.outer, of[part])
+        tail = np.flatnonzero(token >= HEAD)
+        tail = tail[np.argsort(of[tail], kind="stable")]
+        starts = np.flatnonzero(np.diff(of[tail], prepend=-1))
+        for some in np.split(tail, starts[1:]) if len(tail) else []:
+            low = (of[some[0]] - HEAD) * MEMBERS
+            for at in range(0, len(some), ROWS):
+                part = some[at : at + ROWS]
+                vectors = self.inner[low : low + MEMBERS]
+                value[part] += _log_share(hidden[part], vectors, token[part] - HEAD - low)
+        return value * np.log10(np.e)
+
+
+def _log_share(hidden: np.ndarray, vectors: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The log of each chosen row's share among all rows of `vectors`; `hidden` ends with ones."""
+    scores = hidden @ vectors.T
+    found = scores[np.arange(len(scores)), chosen]
+    with np.errstate(over="ignore"):
+        total = np.exp(scores, out=scores) @ np.ones(len(vectors), np.float32)
+    total = np.log(total, where=total > 0, out=np.full(len(total), -np.inf, np.float32))
+    if len(far := np.flatnonzero(~np.isfinite(total))):  # beyond the range of the numbers
+        scores = (hidden[far] @ vectors.T).astype(float)
         top = scores.max(1)
-        normal[one] = top + np.log(np.exp(scores - top[:, None]).sum(1))
-    to_log10 = np.log10(np.e)
-    return near * to_log10, far * to_log10, normal * to_log10
+        total[far] = top + np.log(np.exp(scores - top[:, None]).sum(1))
+    return found - total
 
 
 def fit_language_model(docs: DataFrame, counts: DataFrame) -> LanguageModel:
-    """Fit on the rows of `docs` (text), whose words are counted in `counts`."""
+    """Fit on the rows of `docs` (doc_id, text), whose words are counted in `counts`."""
     n_docs = docs.count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = total["n"] + n_docs, total["v"] + bool(n_docs)
-    short = counts.filter((F.length("word") <= LONGEST) & (F.col("c") * FREQUENT >= tokens))
-    found = sorted(((-r["c"], bytes(r["word"])) for r in short.collect()))
-    frequent = {word: i for i, (_, word) in enumerate(found)}
-    number = np.array([-c for c, _ in found], float)
-    listed = number[: VOCABULARY - 2]
-    class_of = np.full(len(found) + 1, SHARED)  # the last place is for all other words
-    class_of[: len(listed)] = np.arange(2, 2 + len(listed))
-    vocabulary = {word: i + 2 for word, i in frequent.items() if i < len(listed)}
-    # The tokens of each class, one more than counted, as noise.
-    noise = np.ones(VOCABULARY)
-    noise[2 : 2 + len(listed)] += listed
-    noise[END] += n_docs
-    noise[SHARED] += max(0, tokens - n_docs - listed.sum())
-    parameters = train(docs, vocabulary, noise / noise.sum())
-    named = (listed + 1).sum() + n_docs + 1
-    shared_mass = max(1.0, tokens + distinct + 1 - named)
+    often = (F.col("c") >= LEAST_COUNT) & (F.col("c") * FREQUENT >= tokens)
+    found = counts.filter((F.length("word") <= LONGEST) & often).select("word", "c").toArrow()
+    found = sorted(zip(*(found.column(n).to_pylist() for n in ("word", "c"))), key=lambda x: (-x[1], x[0]))
+    number = np.array([c for _, c in found], np.int64)
+    shared = total["n"] - int(number.sum())
+    words = vocabulary_of([w for w, _ in found], number, shared, n_docs)
+    fitted = train(docs, words, tokens) if n_docs else first_parameters(words)
+    fitted.outer[words.class_mass == 0, -1] = -np.inf  # there are no such classes
+    logs = np.log10(np.maximum(words.mass, 1))
+    logs[[SHARED, END]] = 0.0
     return LanguageModel(
         tokens,
         distinct,
         n_docs,
-        shared_mass,
-        frequent,
-        np.append(np.log10(number + 1), 0.0),
-        class_of,
-        *tables(parameters),
+        # Other words by one more than their count, and one for all that were never counted.
+        float(shared + total["v"] - len(found) + 1),
+        words,
+        logs,
+        fitted.context @ fitted.places[0],
+        fitted.context @ fitted.places[1],
+        fitted.outer,
+        fitted.inner,
     )
 
 
 def score_batch(found: list[list[bytes]], model: LanguageModel) -> tuple[np.ndarray, ...]:
-    """Per document: n_tokens, known frequent tokens, sums of log counts (all, shared class), the
-    model's sum over classes, tokens of the shared class; and the place of every word."""
-    rare = len(model.frequent)
-    get = model.frequent.get
-    lengths = np.array([len(words) + 1 for words in found])
-    first = np.cumsum(lengths) - lengths
-    last = first + lengths - 1
-    places = np.empty(lengths.sum(), np.int64)
-    for start, words in zip(first, found, strict=True):
-        places[start : start + len(words)] = [get(w, rare) for w in words]
-    places[last] = rare
-    token = model.class_of[places]
-    token[last] = END
-    one, two = contexts(token, first)
-    value = model.near[one, token] + model.far[two, token] - model.normal[one, two]
-    logs = model.log_counts[places]
-    logs[last] = 0.0
-    known = places < rare
+    """Per document: n_tokens, tokens of model words, sums of their log counts, the model's sum over
+    tokens, tokens of the shared one; and the place of every word."""
+    places, first = model.words.places(found)
+    one, two = contexts(places, first)
+    value = np.empty(len(places))
+    for at in range(0, len(places), SCORED):
+        part = slice(at, at + SCORED)
+        value[part] = model.log10(one[part], two[part], places[part])
     total = lambda x: np.add.reduceat(x, first)
-    shared = token == SHARED
     return (
-        lengths,
-        total(known.astype(np.int64)),
-        total(logs),
-        total(np.where(shared, logs, 0.0)),
+        np.diff(np.append(first, len(places))),
+        total((places > END).astype(np.int64)),
+        total(model.log_counts[places]),
         total(value),
-        total(shared.astype(np.int64)),
+        total((places == SHARED).astype(np.int64)),
         places,
     )
 
 
 def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> DataFrame:
     """Per row of `docs` (doc_id, held_out, text): n_tokens, n_known, train_tokens, base_score, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FREQUENT words, fixed tables
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FREQUENT words
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"row bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, known bigint, logs double,"
-        " shared_logs double, value double, n_shared bigint, rare array<binary>, times array<bigint>"
+        " value double, n_shared bigint, rare array<binary>, times array<bigint>"
     )
     names = T.StructType.fromDDL(schema).fieldNames()
 
@@ -336,7 +452,7 @@ def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> Dat
             *sums, places = score_batch(found, model)
             at, rare, times = 0, [], []
             for words in found:
-                unknown = np.flatnonzero(places[at : at + len(words)] == len(model.frequent))
+                unknown = np.flatnonzero(places[at : at + len(words)] == SHARED)
                 seen = Counter([words[i] for i in unknown])
                 rare.append(list(seen.keys()))
                 times.append(list(seen.values()))
@@ -379,7 +495,6 @@ def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> Dat
         (F.col("logs") + rare_logs + end_log - F.col("n_tokens") * mass).alias("base_score"),
         (
             F.col("value")
-            + F.col("shared_logs")
             + rare_logs
             - F.col("n_shared") * float(np.log10(model.shared_mass))
         ).alias("score"),
@@ -391,11 +506,12 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. Null and empty
     texts have the end as their only token. Rows without an id are scored and not learned from; rows
-    repeated get the same score. With nothing to learn from, base scores are 0 and the model is
-    uniform over its classes.
+    repeated get the same score. With nothing to learn from, base scores are 0 and the model knows the
+    shared token and the end alone, each with half of the mass. Texts of any length are scored whole, a
+    stretch at a time; an empty table gives an empty result.
     """
     rows = texts(docs, id_col, text_col)
-    learn = rows.filter(may_learn(F.col("doc_id"), LEARN_FOLDS, HELD_OUT)).select("text")
+    learn = rows.filter(may_learn(F.col("doc_id"), LEARN_FOLDS, HELD_OUT)).select("doc_id", "text")
     counts = materialise(count_words(learn), "word-counts")
     model = fit_language_model(learn, counts)
     rows = rows.withColumn("held_out", held_out(F.col("doc_id"), LEARN_FOLDS, HELD_OUT))

@@ -427,15 +427,30 @@ def test_language_model_odd(spark):
 
 
 def test_language_model_is_normalised(spark):
-    docs = spark.createDataFrame([("a b a c a b d",)] * 30, "text string")
+    """Over the whole vocabulary, in which every word counted five times has vectors of its own."""
+    rng = random.Random(7)
+    pool = [f"w{i}" for i in range(700)]
+    texts = [" ".join([*pool, *(rng.choice(pool[:40]) for _ in range(300)), f"rare{i}"]) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     counts = language_model.count_words(docs)
     model = language_model.fit_language_model(docs, counts)
-    for one, two in [(0, 0), (1, 1), (2, 1), (3, 2)]:
-        logs = model.near[one] + model.far[two] - model.normal[one, two]
-        assert (10.0**logs).sum() == pytest.approx(1)
-    # All tokens of the shared class, an unseen one included, share its mass.
-    assert model.shared_mass == pytest.approx(max(1, model.tokens + model.distinct + 1 - sum(
-        r["c"] + 1 for r in counts.collect()) - (model.end_count + 1)))
+    assert set(model.words.words) == {w.encode() for w in pool}
+    every = np.arange(702)
+    for one, two in [(0, 0), (1, 1), (2, 1), (300, 690), (701, 0)]:
+        logs = model.log10(np.full(702, one), np.full(702, two), every)
+        assert (10.0**logs).sum() == pytest.approx(1, abs=1e-4)
+    # All tokens of the shared one, an unseen one included, share its mass.
+    named = sum(r["c"] + 1 for r in counts.collect() if r["c"] >= language_model.LEAST_COUNT)
+    assert model.shared_mass == model.tokens + model.distinct + 1 - named - (model.end_count + 1)
+
+
+def test_language_model_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    one, four = (
+        {r["doc_id"]: r["score"] for r in language_model.model_scores(cut).collect()}
+        for cut in (docs.coalesce(1), docs.repartition(4, "text"))
+    )
+    assert one == pytest.approx(four, rel=1e-5)
 
 
 def test_language_model_learns_order(spark):
