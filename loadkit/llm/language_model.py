@@ -4,7 +4,7 @@ Words of all training documents are counted by Spark. Every word that is counted
 vectors of its own; the others share one, inside which a word has its smoothed share. Words are
 predicted in two levels, the class and then the word in its class, by linear combinations of the
 vectors of the two tokens before. Classes go by frequency: a frequent word is a class of its own, the
-others are cut into classes of equal size. Each task trains on its part of the documents by
+others are cut into classes that grow with the root of the rank. Each task trains on its part of the documents by
 minibatches, and Spark averages the tasks' rows, weighted by how often each was trained. Matrix
 products over all classes, and over all words of the token's class, give the normalisers, so every
 token probability is exact.
@@ -18,12 +18,12 @@ are joined.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,43 +36,51 @@ from loadkit.session import materialise
 LEAST_COUNT, FREQUENT, LONGEST = 5, 1 << 20, 64
 #: The first tokens of the model: the shared one and the end of a document.
 SHARED, END = 0, 1
-#: Tokens that are classes of their own, and words in each class of the others.
-HEAD, MEMBERS = 128, 256
+#: Tokens that are classes of their own; a class of others has so many words times the root of its first
+#: word's rank, which by Zipf's law keeps the numbers under a token's two normalisers few.
+HEAD, MEMBERS = 128, 4
 DIMENSIONS = 16
 #: Noise of the classes for a batch and of a class for each token.
-NOISE, INNER_NOISE, BATCH, RATE = 64, 3, 2_048, 0.15
+NOISE, INNER_NOISE, BATCH, RATE = 64, 2, 2_048, 0.15
 #: Parts of n tokens: the root of n by this number.
 PART = 50_000
 #: Tokens that are scored at a time, and rows of a product, whose numbers fit a processor's cache.
 SCORED, ROWS = 1 << 18, 256
-#: Distinct words a task holds before it hands its counts on.
-HELD = 200_000
 
 LEARN_FOLDS, HELD_OUT = 7, 2
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words in lower case (A-Z only); `bytes.split` cuts at U+0020 and U+0009 to U+000D."""
-    return (text or "").encode().lower().split()
+@dataclass(frozen=True)
+class Words:
+    """The words of several texts in lower case (A-Z only), cut at U+0020 and U+0009 to U+000D."""
+
+    #: The distinct words, and of every word its place among them.
+    distinct: pa.Array
+    index: np.ndarray
+    #: The first word of each text.
+    first: np.ndarray
+
+
+def words_of(texts: pa.Array) -> Words:
+    """The words of a column of texts, null ones empty; equal words are found by Arrow."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = cut.flatten()
+    # White space at the ends of a text leaves empty strings, which are no words.
+    full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    edge = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    first = np.concatenate([[0], np.cumsum(full)])[edge[:-1]]
+    found = flat.filter(pa.array(full)).cast(pa.binary()).dictionary_encode()
+    return Words(found.dictionary, found.indices.to_numpy(), first)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """word (bytes) and c, over the whole texts of all rows of `docs` (text)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flush() -> pa.RecordBatch:
-            words, numbers = pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())
-            counts.clear()
-            return pa.RecordBatch.from_arrays([words, numbers], names=["word", "c"])
-
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(words_of(text))
-                if len(counts) >= HELD:
-                    yield flush()
-        yield flush()
+            found = words_of(batch.column("text"))
+            times = np.bincount(found.index, minlength=len(found.distinct))
+            yield pa.RecordBatch.from_arrays([found.distinct, pa.array(times, pa.int64())], names=["word", "c"])
 
     bounded_batches(docs.sparkSession)
     found = docs.select("text").mapInArrow(count, "word binary, c bigint")
@@ -81,29 +89,35 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The tokens of the model by frequency, their classes, and how often they are expected."""
+    """The tokens of the model by frequency, their classes, and how often they are expected.
+
+    The words of `listed` are the tokens behind the shared one and the end.
+    """
 
-    words: dict[bytes, int]
+    listed: pa.Array
     #: Per token one more than its count, and the sums of these over classes.
     mass: np.ndarray
     class_mass: np.ndarray
+    #: Per token its class, and the first token of each class with the number of all tokens behind.
+    of: np.ndarray
+    starts: np.ndarray
+
+    @property
+    def words(self) -> list[bytes]:
+        return self.listed.to_pylist()
 
     @property
     def size(self) -> int:
         return len(self.mass)
 
-    def classes(self, tokens: np.ndarray) -> np.ndarray:
-        return np.where(tokens < HEAD, tokens, HEAD + (tokens - HEAD) // MEMBERS)
-
-    def places(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, found: Words) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of several documents with their ends, and where the documents start."""
-        get = self.words.get
-        lengths = np.array([len(words) + 1 for words in found])
-        first = np.cumsum(lengths) - lengths
-        out = np.empty(lengths.sum(), np.int32)
-        for start, words in zip(first, found, strict=True):
-            out[start : start + len(words)] = [get(w, SHARED) for w in words]
-            out[start + len(words)] = END
+        known = pc.fill_null(pc.index_in(found.distinct, self.listed), SHARED - 2).to_numpy() + 2
+        first = found.first + np.arange(len(found.first))
+        out = np.full(len(found.index) + len(first), END, np.int32)
+        own = np.ones(len(out), bool)
+        own[np.append(first[1:], len(out)) - 1] = False
+        out[own] = known[found.index]
         return out, first
 
 
@@ -111,8 +125,14 @@ def vocabulary_of(words: list[bytes], counts: np.ndarray, shared: int, ends: int
     """The vocabulary of `words` by falling count; `shared` tokens are other words."""
     mass = np.concatenate([[shared, ends], counts]).astype(float) + 1
     mass = np.append(mass, np.zeros(max(0, HEAD - len(mass))))
-    tail = np.append(mass[HEAD:], np.zeros(-len(mass[HEAD:]) % MEMBERS)).reshape(-1, MEMBERS)
-    return Vocabulary({w: i + 2 for i, w in enumerate(words)}, mass, np.append(mass[:HEAD], tail.sum(1)))
+    starts = list(range(HEAD))
+    at = HEAD
+    while at < len(mass):
+        starts.append(at)
+        at += int(MEMBERS * math.sqrt(at))
+    starts = np.append(starts, len(mass))
+    of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    return Vocabulary(pa.array(words, pa.binary()), mass, np.add.reduceat(mass, starts[:-1]), of, starts)
 
 
 @dataclass(frozen=True)
@@ -134,7 +154,7 @@ def first_parameters(words: Vocabulary, seed: int = 11) -> Parameters:
     return Parameters(
         rng.normal(0, 0.1, (words.size, DIMENSIONS)).astype(np.float32),
         start(words.class_mass / words.class_mass.sum()),
-        start(words.mass[HEAD:] / words.class_mass[words.classes(np.arange(HEAD, words.size))]),
+        start(words.mass[HEAD:] / words.class_mass[words.of[HEAD:]]),
         np.stack([np.eye(DIMENSIONS), np.eye(DIMENSIONS) * 0.5]).astype(np.float32),
     )
 
@@ -153,114 +173,135 @@ class Trainer:
     """Noise-contrastive estimation of both levels, with a rate that falls for every parameter."""
 
     def __init__(self, start: Parameters, words: Vocabulary, seed: int) -> None:
-        self.context, self.outer = start.context.copy(), start.outer.copy()
-        self.inner, self.places = start.inner.copy(), start.places.copy()
+        # Behind its numbers each row has the mean square of its vector's slopes, and that of its bias's.
+        self.rows = [_with_squares(x) for x in (start.context, start.outer, start.inner, start.places)]
         self.words, self.rng = words, np.random.default_rng(seed)
         self.class_sums = np.cumsum(words.class_mass)
         self.class_share = (words.class_mass / self.class_sums[-1]).astype(np.float32)
         self.tail_sums = np.concatenate([[0], np.cumsum(words.mass[HEAD:])])
+        # Per class its first word, its last one, and the sums of mass before it and in it.
+        starts = np.maximum(words.starts - HEAD, 0)
+        self.low, self.high = starts[:-1], starts[1:] - 1
+        self.bottom = self.tail_sums[starts[:-1]]
+        self.span = self.tail_sums[starts[1:]] - self.bottom
         self.log_class = start.outer[:, -1] + np.float32(np.log(NOISE))
         self.log_inner = start.inner[:, -1] + np.float32(np.log(INNER_NOISE))
-        self.squares = {id(p): np.full(p.shape, 1e-3, np.float32) for p in self.parameters()}
-        self.seen = [np.zeros(len(p), np.int64) for p in (self.context, self.outer, self.inner)]
+        self.seen = [np.zeros(len(rows), np.int64) for rows in self.rows[:3]]
         self.tokens = 0
 
-    def parameters(self) -> list[np.ndarray]:
-        return [self.context, self.outer, self.inner, self.places]
+    def parameters(self) -> Parameters:
+        context, outer, inner, places = self.rows
+        n = DIMENSIONS
+        return Parameters(context[:, :n], outer[:, : n + 1], inner[:, : n + 1], places[..., :n])
 
     def _climb(self, value: np.ndarray, rows, slope: np.ndarray) -> None:
-        square = self.squares[id(value)]
-        square[rows] += slope * slope
-        value[rows] += RATE * slope / np.sqrt(square[rows])
-
-    def _climb_rows(self, value: np.ndarray, rows: np.ndarray, slopes: np.ndarray) -> None:
-        """One step along the mean slope of each row."""
+        found, n = value[rows], slope.shape[-1]
+        vectors, biases = slope[..., :DIMENSIONS], slope[..., DIMENSIONS:]
+        found[..., n] += np.einsum("...d,...d->...", vectors, vectors) / DIMENSIONS
+        found[..., n + 1 :] += biases**2
+        rate = RATE / np.sqrt(found[..., n:])
+        found[..., :DIMENSIONS] += vectors * rate[..., :1]
+        found[..., DIMENSIONS:n] += biases * rate[..., 1:]
+        value[rows] = found
+
+    def _climb_rows(self, value: np.ndarray, rows: np.ndarray, slopes: np.ndarray, of: int = 1) -> None:
+        """One step along the mean slope of each row; each of `slopes` is the sum of so many."""
         rows, sums, many = _summed(rows, slopes)
-        self._climb(value, rows, sums / many[:, None])
+        self._climb(value, rows, sums / (many[:, None] * of))
 
     def step(self, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> None:
         """One minibatch: raise the tokens over noise, of classes for the batch, of words for each token."""
-        a, b, p = self.context[one], self.context[two], self.places
-        hidden = a @ p[0] + b @ p[1]
-        of = self.words.classes(token)
+        context, outer, _, places = self.rows
+        n = DIMENSIONS
+        a, b, p = context[one][:, :n], context[two][:, :n], places[..., :n].copy()
+        hidden = np.ones((len(token), n + 1), np.float32)  # ends with a one for the bias
+        np.add(a @ p[0], b @ p[1], out=hidden[:, :-1])
+        of = self.words.of[token]
         drawn = np.searchsorted(self.class_sums, self.rng.random(NOISE) * self.class_sums[-1], "right")
         drawn = np.minimum(drawn, len(self.class_sums) - 1)
-        target, others = self.outer[of], self.outer[drawn]
-        real = (hidden * target[:, :-1]).sum(1) + target[:, -1] - self.log_class[of]
-        fake = hidden @ others[:, :-1].T + others[:, -1] - self.log_class[drawn]
-        up, down = _up(real), -_up(-fake)
-        back = up[:, None] * target[:, :-1] + down @ others[:, :-1]
+        target, others = outer[of][:, : n + 1], outer[drawn][:, : n + 1]
+        up = 1 - _sigmoid(np.einsum("nd,nd->n", hidden, target) - self.log_class[of])
+        biased = others.copy()
+        biased[:, -1] -= self.log_class[drawn]
+        down = _sigmoid(hidden @ biased.T)
+        back = up[:, None] * target[:, :-1]
+        back -= down @ others[:, :-1]
         # Over the tokens of a class that a batch should have, at least one.
-        slope = np.zeros_like(self.outer)
-        rows, sums, _ = _summed(of, _joined(up[:, None] * hidden, up))
+        slope = np.zeros((len(outer), n + 1), np.float32)
+        rows, sums, _ = _summed(of, up[:, None] * hidden)
         slope[rows] = sums
-        np.add.at(slope, drawn, _joined(down.T @ hidden, down.sum(0)))
+        np.subtract.at(slope, drawn, down.T @ hidden)
         rows = np.flatnonzero(slope[:, -1])
         expected = np.maximum(len(token) * self.class_share[rows], 1)
-        self._climb(self.outer, rows, slope[rows] / expected[:, None])
+        self._climb(outer, rows, slope[rows] / expected[:, None])
         if (tail := np.flatnonzero(token >= HEAD)).size:
-            back[tail] += self._inner_step(hidden[tail], token[tail] - HEAD)
-        self._climb_rows(
-            self.context, np.concatenate([one, two]), np.concatenate([back @ p[0].T, back @ p[1].T])
-        )
-        self._climb(self.places, slice(None), np.stack([a.T @ back, b.T @ back]) / len(token))
-
-    def _inner_step(self, hidden: np.ndarray, word: np.ndarray) -> np.ndarray:
+            back[tail] += self._inner_step(hidden[tail], token[tail] - HEAD, of[tail])
+        # The token two before is the one before of the token before; at the start of a document both are
+        # the same. So a row of slopes for each token is enough, and one for the first of the batch.
+        near, far = back @ p[0].T, back @ p[1].T
+        first = np.flatnonzero(two[1:] != one[:-1]) + 1
+        near[first] += far[first]
+        far[first] = 0
+        near[:-1] += far[1:]
+        self._climb_rows(context, np.append(one, two[0]), np.concatenate([near, far[:1]]), 2)
+        self._climb(places, slice(None), np.stack([a.T @ back, b.T @ back]) / len(token))
+
+    def _inner_step(self, hidden: np.ndarray, word: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Raise words over others of their classes; the slopes of the hidden vectors."""
-        low = word // MEMBERS * MEMBERS
-        high = np.minimum(low + MEMBERS, len(self.inner))
-        bottom, top = self.tail_sums[low], self.tail_sums[high]
-        at = bottom[:, None] + self.rng.random((len(word), INNER_NOISE)) * (top - bottom)[:, None]
+        at = self.bottom[of, None] + self.rng.random((len(word), INNER_NOISE)) * self.span[of, None]
         drawn = np.searchsorted(self.tail_sums, at, "right") - 1
-        drawn = np.clip(drawn, low[:, None], high[:, None] - 1)
-        target, others = self.inner[word], self.inner[drawn]
-        real = (hidden * target[:, :-1]).sum(1) + target[:, -1] - self.log_inner[word]
-        fake = np.einsum("nkd,nd->nk", others[:, :, :-1], hidden) + others[:, :, -1] - self.log_inner[drawn]
-        up, down = _up(real), -_up(-fake)
-        noise = (down[:, :, None] * hidden[:, None]).reshape(-1, DIMENSIONS)
-        self._climb_rows(
-            self.inner,
-            np.concatenate([word, drawn.ravel()]),
-            np.concatenate([_joined(up[:, None] * hidden, up), _joined(noise, down.ravel())]),
-        )
-        return up[:, None] * target[:, :-1] + np.einsum("nk,nkd->nd", down, others[:, :, :-1])
+        drawn = np.clip(drawn, self.low[of, None], self.high[of, None])
+        both = np.column_stack([word, drawn])
+        inner = self.rows[2]
+        found = inner[both][:, :, : DIMENSIONS + 1]
+        up = -_sigmoid(np.einsum("nkd,nd->nk", found, hidden) - self.log_inner[both])
+        up[:, 0] += 1
+        slopes = (up[:, :, None] * hidden[:, None]).reshape(-1, DIMENSIONS + 1)
+        self._climb_rows(inner, both.ravel(), slopes)
+        return np.einsum("nk,nkd->nd", up, found[:, :, :-1])
 
     def learn(self, tokens: np.ndarray, first: np.ndarray) -> None:
         one, two = contexts(tokens, first)
         for at in range(0, len(tokens), BATCH):
             part = slice(at, at + BATCH)
-            self.step(one[part], two[part], tokens[part])
-        self.seen[0] += np.bincount(one, minlength=len(self.context))
-        self.seen[1] += np.bincount(self.words.classes(tokens), minlength=len(self.outer))
-        self.seen[2] += np.bincount(tokens[tokens >= HEAD] - HEAD, minlength=len(self.inner))
+            with np.errstate(over="ignore"):
+                self.step(one[part], two[part], tokens[part])
+        self.seen[0] += np.bincount(one, minlength=len(self.seen[0]))
+        self.seen[1] += np.bincount(self.words.of[tokens], minlength=len(self.seen[1]))
+        self.seen[2] += np.bincount(tokens[tokens >= HEAD] - HEAD, minlength=len(self.seen[2]))
         self.tokens += len(tokens)
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row numbers, rows of `DIMENSIONS` + 1 numbers, and how often each was trained, if ever."""
-        places = self.places.reshape(-1, DIMENSIONS)
-        rows = [np.pad(self.context, ((0, 0), (0, 1))), self.outer, self.inner, np.pad(places, ((0, 0), (0, 1)))]
+        found = self.parameters()
+        places = found.places.reshape(-1, DIMENSIONS)
+        rows = [np.pad(found.context, ((0, 0), (0, 1))), found.outer, found.inner, np.pad(places, ((0, 0), (0, 1)))]
         seen = np.concatenate([*self.seen, np.full(len(places), self.tokens)])
         found = np.flatnonzero(seen)
         return found, np.concatenate(rows)[found], seen[found].astype(float)
 
 
-def _up(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.clip(x, -30, 30)))
+def _with_squares(rows: np.ndarray) -> np.ndarray:
+    more = 1 + rows.shape[-1] - DIMENSIONS
+    return np.concatenate([rows, np.full((*rows.shape[:-1], more), 1e-3, np.float32)], axis=-1)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.exp(np.negative(x, out=x), out=x)  # infinite where the result is 0
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _summed(rows: np.ndarray, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct rows, their sums, and how many slopes each has."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
+    # The places go into the keys, so that a plain sort keeps their order.
+    keys = np.sort((rows.astype(np.int64) << 32) + np.arange(len(rows)))
+    order, rows = keys & 0xFFFFFFFF, keys >> 32
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     many = np.diff(np.append(starts, len(rows))).astype(np.float32)
     return rows[starts], np.add.reduceat(slopes[order], starts), many
 
 
-def _joined(vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
-    return np.column_stack([vectors, biases])
-
-
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """Per row of `docs` (doc_id, text): a hash of the row and the whole text's tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(words)  # at most FREQUENT words
@@ -268,7 +309,7 @@ def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                tokens, first = shared.value.places([words_of(t) for t in batch.column("text").to_pylist()])
+                tokens, first = shared.value.places(words_of(batch.column("text")))
                 offsets = pa.array(np.append(first, len(tokens)), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(tokens))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "tokens"])
@@ -350,29 +391,38 @@ class LanguageModel:
 
     def log10(self, one: np.ndarray, two: np.ndarray, token: np.ndarray) -> np.ndarray:
         """The exact log10 probability of each token behind the two tokens before it."""
-        hidden = np.empty((len(token), DIMENSIONS + 1), np.float32)
-        np.add(self.near[one], self.far[two], out=hidden[:, :-1])
+        # The places go into the keys, as in `_summed`: 40 bits of two words and 18 of a place at most.
+        key = np.sort(((one.astype(np.int64) * self.words.size + two) << 18) + np.arange(len(token)))
+        place, key = key & (SCORED - 1), key >> 18
+        new = np.flatnonzero(np.diff(key, prepend=-1))
+        pair, back = key[new], np.empty(len(token), np.int64)
+        back[place] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(key))))
+        hidden = np.empty((len(pair), DIMENSIONS + 1), np.float32)
+        np.add(self.near[pair // self.words.size], self.far[pair % self.words.size], out=hidden[:, :-1])
         hidden[:, -1] = 1
-        of, value = self.words.classes(token), np.empty(len(token))
-        for at in range(0, len(token), ROWS):
-            part = slice(at, at + ROWS)
-            value[part] = _log_share(hidden[part], self.outer, of[part])
+        # A normaliser of the classes for each pair of words before, however many tokens follow it.
+        total = np.empty(len(pair))
+        for at in range(0, len(pair), ROWS):
+            total[at : at + ROWS] = _log_total(hidden[at : at + ROWS], self.outer)
+        hidden, of = hidden[back], self.words.of[token]
+        value = np.einsum("nd,nd->n", hidden, self.outer[of]) - total[back]
         tail = np.flatnonzero(token >= HEAD)
         tail = tail[np.argsort(of[tail], kind="stable")]
-        starts = np.flatnonzero(np.diff(of[tail], prepend=-1))
-        for some in np.split(tail, starts[1:]) if len(tail) else []:
-            low = (of[some[0]] - HEAD) * MEMBERS
-            for at in range(0, len(some), ROWS):
-                part = some[at : at + ROWS]
-                vectors = self.inner[low : low + MEMBERS]
-                value[part] += _log_share(hidden[part], vectors, token[part] - HEAD - low)
+        hidden, word, of = hidden[tail], token[tail] - HEAD, of[tail]
+        inside = np.einsum("nd,nd->n", hidden, self.inner[word])
+        edge = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of))
+        for start, end in zip(edge[:-1], edge[1:], strict=True):
+            low, high = self.words.starts[of[start] :][:2] - HEAD
+            for at in range(start, end, ROWS):
+                part = slice(at, min(at + ROWS, end))
+                inside[part] -= _log_total(hidden[part], self.inner[low:high])
+        value[tail] += inside
         return value * np.log10(np.e)
 
 
-def _log_share(hidden: np.ndarray, vectors: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The log of each chosen row's share among all rows of `vectors`; `hidden` ends with ones."""
+def _log_total(hidden: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The log of the sum over all rows of `vectors`; `hidden` ends with ones."""
     scores = hidden @ vectors.T
-    found = scores[np.arange(len(scores)), chosen]
     with np.errstate(over="ignore"):
         total = np.exp(scores, out=scores) @ np.ones(len(vectors), np.float32)
     total = np.log(total, where=total > 0, out=np.full(len(total), -np.inf, np.float32))
@@ -380,7 +430,7 @@ def _log_share(hidden: np.ndarray, vectors: np.ndarray, chosen: np.ndarray) -> n
         scores = (hidden[far] @ vectors.T).astype(float)
         top = scores.max(1)
         total[far] = top + np.log(np.exp(scores - top[:, None]).sum(1))
-    return found - total
+    return total
 
 
 def fit_language_model(docs: DataFrame, counts: DataFrame) -> LanguageModel:
@@ -413,7 +463,7 @@ def fit_language_model(docs: DataFrame, counts: DataFrame) -> LanguageModel:
     )
 
 
-def score_batch(found: list[list[bytes]], model: LanguageModel) -> tuple[np.ndarray, ...]:
+def score_batch(found: Words, model: LanguageModel) -> tuple[np.ndarray, ...]:
     """Per document: n_tokens, tokens of model words, sums of their log counts, the model's sum over
     tokens, tokens of the shared one; and the place of every word."""
     places, first = model.words.places(found)
@@ -448,21 +498,22 @@ def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> Dat
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [words_of(text) for text in batch.column("text").to_pylist()]
+            found = words_of(batch.column("text"))
             *sums, places = score_batch(found, model)
-            at, rare, times = 0, [], []
-            for words in found:
-                unknown = np.flatnonzero(places[at : at + len(words)] == SHARED)
-                seen = Counter([words[i] for i in unknown])
-                rare.append(list(seen.keys()))
-                times.append(list(seen.values()))
-                at += len(words) + 1
+            # Per document its distinct words that are no words of the model, and how often each occurs.
+            ends = np.cumsum(sums[0])
+            at = np.flatnonzero(places == SHARED)
+            doc = np.searchsorted(ends, at, "right")
+            key, times = np.unique(doc * len(found.distinct) + found.index[at - doc], return_counts=True)
+            edge = np.searchsorted(key, np.arange(len(ends) + 1) * len(found.distinct))
+            edge = pa.array(edge, pa.int32())
+            rare = found.distinct.take(pa.array(key % max(len(found.distinct), 1)))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(n) for n in ("row", "doc_id", "held_out")],
                     *map(pa.array, sums),
-                    pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(edge, rare),
+                    pa.ListArray.from_arrays(edge, pa.array(times, pa.int64())),
                 ],
                 names=names,
             )
@@ -476,7 +527,8 @@ def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> Dat
     )
     log_count = F.log10(F.coalesce(F.col("c"), F.lit(0)) + 1.0)
     of_rare = (
-        rare.join(counts, "word", "left")
+        # The counts have each word once, so hashing a partition of them saves sorting both sides.
+        rare.join(counts.hint("shuffle_hash"), "word", "left")
         .groupBy("row")
         .agg(
             F.sum(F.col("times") * log_count).alias("rare_logs"),

@@ -14,6 +14,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
@@ -461,3 +462,23 @@ def test_language_model_learns_order(spark):
     rows = language_model.model_scores(docs).filter("held_out").collect()
     tokens = sum(r["n_tokens"] for r in rows)
     assert sum(r["score"] - r["base_score"] for r in rows) / tokens > 0.15
+
+
+def test_language_model_words_of_columns():
+    texts = [t for _, t, _, _ in ROWS] + ["\t", "", None, " a\x0bA\x0c b\xa0c\x1cd ", "É é\u2003x"]
+    for column in (pa.array(texts, pa.string()), pa.array(["cut off", *texts], pa.string())[1:], pa.array([], pa.string())):
+        found = language_model.words_of(column)
+        distinct = found.distinct.to_pylist()
+        edge = [*found.first.tolist(), len(found.index)]
+        got = [[distinct[i] for i in found.index[a:b]] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        assert got == [words_of(t) for t in column.to_pylist()]
+
+
+def test_language_model_normalises_over_few_numbers():
+    """Of 100,000 words by Zipf's law, both normalisers of a token together."""
+    counts = 10**7 // np.arange(1, 100_001)
+    words = language_model.vocabulary_of([b"%d" % i for i in range(len(counts))], counts, 1, 1)
+    classes = [np.arange(words.size)[words.of == c] for c in range(len(words.class_mass))]
+    assert np.concatenate(classes).tolist() == list(range(words.size))
+    inner = sum(len(c) * words.mass[c].sum() for c in classes if len(c) > 1) / words.mass.sum()
+    assert len(classes) + inner < 500
