@@ -113,8 +113,11 @@ def _digest() -> Column:
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node and gram: the whole sets of the nodes (node, first, digest, one), from their first documents.
 
-    Nodes whose documents all lack an id take the text with the node's digest.
+    Nodes whose documents all lack an id take the text with the node's digest. Where every node has a
+    first document, `digest` may be absent.
     """
+    if "digest" not in nodes.columns:
+        nodes = nodes.withColumn("digest", F.lit(None).cast("binary"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
