@@ -80,15 +80,17 @@ class WordTokenizer:
         return np.array(ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        if not _LETTERS.fullmatch(part):
-            return self._library(part)
+        return self._letters(part) if _LETTERS.fullmatch(part) else self._library(part)
+
+    def _letters(self, part: str) -> bytes:
         found = self.model.tokenize(part if part.isascii() else part.translate(self.alphabet))
         return struct.pack(f"<{len(found)}I", *[token.id for token in found])
 
     def _plain_word(self, word: str) -> bytes:
         if simple := _SIMPLE.fullmatch(word):
             letters, signs = simple.groups()
-            return self.parts[letters] + self.parts[signs] if signs else self.parts[letters]
+            # Letters are kept once, whether signs follow them or not.
+            return self.plain_words[letters] + self.parts[signs] if signs else self._letters(letters)
         return b"".join(map(self.parts.__getitem__, _PRE_TOKEN.findall(word)))
 
     def _plain(self, text: str) -> bytes:

@@ -464,6 +464,14 @@ def test_language_model_learns_order(spark):
     assert sum(r["score"] - r["base_score"] for r in rows) / tokens > 0.15
 
 
+def test_letters_are_cached_once():
+    words = token_files.WordTokenizer(WORD_BPE)
+    for text in ("Mountain mountain, garden", "garden; MOUNTAIN", "mountain"):
+        assert words.encode(text) == words._library(text)
+    assert {"mountain", "mountain,", "garden", "garden;"} <= set(words.plain_words)
+    assert not {"mountain", "garden"} & set(words.parts)
+
+
 def test_language_model_words_of_columns():
     texts = [t for _, t, _, _ in ROWS] + ["\t", "", None, " a\x0bA\x0c b\xa0c\x1cd ", "É é\u2003x"]
     for column in (pa.array(texts, pa.string()), pa.array(["cut off", *texts], pa.string())[1:], pa.array([], pa.string())):
