@@ -144,6 +144,51 @@ def test_words_encode_like_texts():
         assert np.frombuffer(words.encode(text), "<u4").tolist() == want, repr(text)
 
 
+def test_batches_encode_like_texts(monkeypatch):
+    """All texts of a batch together, with few kept parts, a model that marks no ends, and slices."""
+    monkeypatch.setattr(token_files, "KEPT_PARTS", 20)
+    monkeypatch.setattr(token_files, "TOGETHER", 3)
+    library, rng = Tokenizer.from_file(WORD_BPE), random.Random(2)
+    unmarked = token_files.WordTokenizer(WORD_BPE)
+    unmarked.ends[:] = False
+    parts = ["the", "Garden", "É", "ÿß", "x" * 70, "ing", "'s", "don't", ",", "--", "?!", "'", "7", "\x7f", "\x00",
+             " ", " ", "  ", "\t\n", "\x0b", "\xa0", "\x1c", "中", "İ", "<|endoftext|>"]
+    for words in (token_files.WordTokenizer(WORD_BPE), unmarked):
+        assert words.plain
+        for many in (0, 1, 3, 19, 400):
+            some = parts if many % 2 else parts[:-5]
+            texts = ["".join(rng.choice(some) for _ in range(rng.randint(0, 9))) for _ in range(many)]
+            texts = [rng.choice([text] * 9 + [None, ""]) for text in texts]
+            column = pa.array(["cut off", *texts], pa.string())[1:]
+            want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+            assert words.encode_all(column).to_pylist() == want
+            assert len(words.kept) == len(words.kept_ids) <= 20
+
+
+def test_batches_are_encoded_in_groups(monkeypatch):
+    monkeypatch.setattr(token_files, "GROUP_BYTES", 10)
+    texts = ["a b", None, "a text longer than a group", "", "c", "d e f g", "h", None]
+    columns = [pa.array(range(8)), pa.array(texts)]
+    batches = [pa.RecordBatch.from_arrays([c[:n] for c in columns], names=["doc_id", "text"]) for n in (8, 0, 2)]
+    words, at = token_files.WordTokenizer(WORD_BPE), 0
+    found = list(token_files.tokenize(iter(batches), words, 2))
+    rows = [row for batch in found for row in batch.to_pylist()]
+    assert len(found) > 4 and [r["doc_id"] for r in rows] == [*range(8), 0, 1]
+    for row, text in zip(rows, texts + texts[:2], strict=True):
+        assert row["tokens"] == [*words.tokenizer.encode(text or "").ids, 2]
+        assert row["shard_start"] == at and row["n_tokens"] == len(row["tokens"])
+        at += row["n_tokens"]
+
+
+def test_batches_encode_parts_once(monkeypatch):
+    words, seen = token_files.WordTokenizer(WORD_BPE), []
+    together = words._letters_together
+    monkeypatch.setattr(words, "_letters_together", lambda parts: together(seen.append(sorted(parts)) or parts))
+    for text in ("Harbour harbour, lantern; LANTERN", "lantern? pebble harbour"):
+        assert words.encode_all(pa.array([text, text])).to_pylist()[1] == words.tokenizer.encode(text).ids
+    assert seen == [["harbour", "lantern"], ["pebble"]]
+
+
 # Pieces
 
 
